@@ -61,7 +61,7 @@ def _sums() -> dict[str, Column]:
     }
 
 
-METRICS = tuple(_sums())
+
 
 
 def metric_sums(flat: DataFrame) -> DataFrame:
@@ -71,7 +71,7 @@ def metric_sums(flat: DataFrame) -> DataFrame:
 
 def add_metrics(parts: DataFrame) -> DataFrame:
     """Sums of several batches added up."""
-    return parts.agg(*[F.sum(n).alias(n) for n in METRICS]).fillna(0)
+    return parts.agg(*[F.sum(n).alias(n) for n in _sums()]).fillna(0)
 
 
 def latest_events(flat: DataFrame) -> DataFrame:
