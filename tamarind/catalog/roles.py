@@ -13,6 +13,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tamarind.functions.text import trimmed
 from tamarind.plans import reports, silver, staging
 from tamarind.session import scratch_path
 from tamarind.sources.tables import Lake
@@ -226,7 +227,9 @@ class Roles:
 
     @cached_property
     def orders(self) -> silver.Entity:
-        return silver.orders(self.role("raw_orders"), self.use("customers"))
+        # the customers only decide which orders are flagged, and only by their ids
+        known = self.role("raw_customers").select(trimmed("customer_id").alias("customer_id"))
+        return silver.orders(self.role("raw_orders"), known)
 
     @cached_property
     def products(self) -> silver.Entity:

@@ -38,8 +38,8 @@ def state_code(c: str | Column) -> Column:
 
 def lookup(key: str | Column, table: dict[str, str], default: str | Column | None = None) -> Column:
     """Value of ``key`` in a literal table, else ``default``."""
-    literal_map = F.create_map(*[F.lit(x) for x in chain.from_iterable(table.items())])
-    found = F.element_at(literal_map, as_col(key))
+    literals = ", ".join("'" + x.replace("'", "\\'") + "'" for x in chain.from_iterable(table.items()))
+    found = F.element_at(F.expr(f"map({literals})"), as_col(key))
     if default is None:
         return found
     return F.coalesce(found, default if isinstance(default, Column) else F.lit(default))

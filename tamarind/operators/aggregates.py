@@ -57,7 +57,7 @@ def scalar_or(one_row: DataFrame, default: int | float) -> Column:
 def pivot_counts(df: DataFrame, by: str, label: str, labels: Sequence[str]) -> DataFrame:
     """One count column per label, zero where absent; labels are given, so no extra
     job has to discover them (A11)."""
-    return df.groupBy(by).pivot(label, list(labels)).agg(F.count("*")).fillna(0, subset=list(labels))
+    return df.groupBy(by).pivot(label, list(labels)).agg(F.count(F.lit(1))).fillna(0, subset=list(labels))
 
 
 def crosstab(df: DataFrame, a: str, b: str, name: str = "frequency") -> DataFrame:
