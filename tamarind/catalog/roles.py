@@ -28,6 +28,7 @@ def _state(index: str) -> str:
 
 
 _PRICE = "CAST(l_extendedprice AS DECIMAL(18,2))"
+_CENT = "CAST(0.01 AS DECIMAL(3,2))"  # a factor, because division leaves decimals in one engine
 _FREIGHT = f"CAST({_PRICE} * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(18,2))"
 
 ROLES = {
@@ -164,11 +165,11 @@ ROLES = {
                l_linenumber AS product_photos_qty,
                CAST(l_quantity AS INT) * 100 AS product_weight_g,
                CAST(l_partkey % 300 AS INT) AS product_description_length,
-               CAST(CAST({_PRICE} / 100 AS DECIMAL(18,2)) AS DOUBLE) AS price,
-               CAST(CAST({_FREIGHT} / 100 AS DECIMAL(18,2)) AS DOUBLE) AS freight_value,
+               CAST(CAST({_PRICE} * {_CENT} AS DECIMAL(18,2)) AS DOUBLE) AS price,
+               CAST(CAST({_FREIGHT} * {_CENT} AS DECIMAL(18,2)) AS DOUBLE) AS freight_value,
                CASE l_returnflag WHEN 'A' THEN 'credit_card' WHEN 'N' THEN 'boleto' ELSE 'voucher' END AS payment_type,
                CASE WHEN l_discount = 0.1 THEN CAST(0 AS DOUBLE)
-                    ELSE CAST(CAST(({_PRICE} + {_FREIGHT}) / 100 AS DECIMAL(18,2)) AS DOUBLE) END AS payment_value,
+                    ELSE CAST(CAST(({_PRICE} + {_FREIGHT}) * {_CENT} AS DECIMAL(18,2)) AS DOUBLE) END AS payment_value,
                l_linenumber AS payment_installments,
                CAST(1 + l_quantity AS INT) % 5 + 1 AS review_score,
                l_discount > 0.05 AS review_has_comment

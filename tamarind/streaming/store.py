@@ -46,9 +46,11 @@ def file_source(spark: SparkSession, folder: str, schema, fmt: str = "parquet",
     return spark.readStream.format(fmt).schema(schema).options(**options).load(folder)
 
 
-def archive(flat: DataFrame, path: str, checkpoint: str, trigger: Mapping[str, object]) -> StreamingQuery:
-    """Flat events as parquet, one folder per event day."""
-    dated = flat.withColumn("event_date", F.to_date(wall_clock("event_timestamp")))
+def archive(
+    flat: DataFrame, path: str, checkpoint: str, trigger: Mapping[str, object], grain: str = "yyyy-MM-dd"
+) -> StreamingQuery:
+    """Flat events as parquet, one folder per event day, or per coarser ``grain``."""
+    dated = flat.withColumn("event_date", F.date_format(wall_clock("event_timestamp"), grain))
     return (
         dated.writeStream.format("parquet")
         .partitionBy("event_date")
