@@ -101,10 +101,11 @@ def histogram(df: DataFrame, measure: str, bins: int = 20) -> DataFrame:
     bounds = df.agg(F.min(measure).cast("double").alias("lo"), F.max(measure).cast("double").alias("hi"))
     lo, hi = bounds.select("lo").scalar(), bounds.select("hi").scalar()
     value = F.col(measure).cast("double")
-    index = F.least(F.floor(F.try_divide((value - lo) * bins, hi - lo)), F.lit(bins - 1))
+    scaled = F.floor((value - lo) * bins / F.nullif(hi - lo, F.lit(0.0)))
+    index = F.when(scaled < bins, scaled).when(scaled >= bins, bins - 1).otherwise(0)
     return (
         df.where(F.col(measure).isNotNull())
-        .groupBy(F.coalesce(index, F.lit(0)).cast("int").alias("bin"))
+        .groupBy(index.cast("int").alias("bin"))
         .agg(F.count("*").alias("row_count"))
         .withColumn("bin_start", lo + F.col("bin") * (hi - lo) / bins)
     )

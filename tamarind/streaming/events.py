@@ -47,20 +47,16 @@ FLAT_FIELDS = {
 def parse(raw: DataFrame, value: str = "value") -> DataFrame:
     """Messages with their parsed event in ``data`` and a verdict in ``is_valid``.
 
-    A message is valid when it is well-formed JSON that names its order.
+    A message is valid when it is well-formed JSON that names its order. The parsed
+    struct is passed through a one-element ``explode``: as a projection it would be
+    copied into every filter on the verdict, and each message parsed several times.
     """
-    parsed = raw.withColumn(
-        "data", F.from_json(F.col(value).cast("string"), EVENT_SCHEMA, {"columnNameOfCorruptRecord": _CORRUPT})
-    )
+    event = F.from_json(F.col(value).cast("string"), EVENT_SCHEMA, {"columnNameOfCorruptRecord": _CORRUPT})
+    parsed = raw.select("*", F.explode(F.array(event)).alias("data"))
     valid = F.col(f"data.{_CORRUPT}").isNull() & F.col("data.order.order_id").isNotNull()
     return parsed.withColumn("is_valid", F.coalesce(valid, F.lit(False)))
 
 
-def rejected(parsed: DataFrame, value: str = "value") -> DataFrame:
-    """Messages that cannot be used, as received."""
-    return parsed.where(~F.col("is_valid")).select(F.col(value).cast("string").alias("value"))
-
-
 def _fields() -> list[Column]:
     return [F.col(f"data.{part}.{field}") for part, fields in FLAT_FIELDS.items() for field in fields]
 
@@ -68,3 +64,9 @@ def _fields() -> list[Column]:
 def flatten(parsed: DataFrame) -> DataFrame:
     """Valid events as 21 flat columns."""
     return parsed.where("is_valid").select(F.col("data.event_timestamp"), *_fields())
+
+
+def flatten_all(parsed: DataFrame, value: str = "value") -> DataFrame:
+    """All messages, flat, with the verdict; only invalid ones keep their text."""
+    text = F.when(~F.col("is_valid"), F.col(value).cast("string"))
+    return parsed.select("is_valid", text.alias(value), F.col("data.event_timestamp"), *_fields())

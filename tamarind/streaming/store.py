@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tamarind.functions.temporal import wall_clock
 from tamarind.operators.dedupe import latest_per_key
-from tamarind.streaming.events import flatten, parse, rejected
+from tamarind.streaming.events import flatten, flatten_all, parse
 from tamarind.streaming.measures import (
     add_metrics,
     dimension_counts,
@@ -86,23 +86,23 @@ class EventStore:
         }
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
-        """Sink of ``foreachBatch`` over parsed messages."""
+        """Sink of ``foreachBatch`` over messages from :func:`flatten_all`."""
         batch = batch.persist()
         try:
             if batch.isEmpty():
                 return
-            flat = flatten(batch)
+            flat = batch.where("is_valid").drop("is_valid", "value")
             for table, (fold, _) in self._folds.items():
                 fold(flat).write.mode("overwrite").parquet(f"{self.root}/{table}/batch_id={batch_id}")
-            rejected(batch).write.mode("overwrite").parquet(f"{self.root}/rejects/batch_id={batch_id}")
+            rejects = batch.where("NOT is_valid").select("value")
+            rejects.write.mode("overwrite").parquet(f"{self.root}/rejects/batch_id={batch_id}")
         finally:
             batch.unpersist()
 
     def start(self, raw: DataFrame, checkpoint: str, trigger: Mapping[str, object] | None = None) -> StreamingQuery:
         """Run over a stream of messages; by default a micro-batch every 10 seconds."""
         return (
-            parse(raw)
-            .select("value", "data", "is_valid")
+            flatten_all(parse(raw))
             .writeStream.foreachBatch(self.apply)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "10 seconds"}))
