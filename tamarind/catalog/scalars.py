@@ -119,13 +119,13 @@ def _(r):
 
 @query("json_field", "F26 F27 F34", sql("""
     SELECT event_type, CAST(min(k) AS BIGINT) AS min_k, CAST(max(k) AS BIGINT) AS max_k, CAST(sum(k) AS BIGINT) AS sum_k,
-           count(*) FILTER (k % 2 = 1) AS odd
+           count(*) FILTER (k > 50) AS large
     FROM (SELECT event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events) GROUP BY event_type"""))
 def _(r):
     parsed = r.table("events").select("event_type", F.from_json("props", "k BIGINT").alias("data"))
     return parsed.groupBy("event_type").agg(
         F.min("data.k").alias("min_k"), F.max("data.k").alias("max_k"), F.sum("data.k").alias("sum_k"),
-        F.count_if(F.expr("data.k % 2 = 1")).alias("odd"),
+        F.count_if(F.expr("data.k > 50")).alias("large"),
     )
 
 

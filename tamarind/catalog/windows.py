@@ -49,7 +49,7 @@ def _(r):
         SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events)"""))
 def _(r):
     events = r.table("events").select("event_id", "user_id", "event_type", "ts")
-    lagged = ordered_lag(events, ["user_id"], ["ts", "event_id"], {"before": "ts"})
+    lagged = ordered_lag(events, ["user_id"], ["ts", "event_id"], {"before": "ts"}, distinct=True)
     return lagged.select("event_id", "user_id", hours_between("before", "ts").alias("hours_since"), "event_type")
 
 
@@ -58,7 +58,7 @@ def _(r):
         false) AS is_changed FROM events"""))
 def _(r):
     events = r.table("events").select("event_id", "user_id", "event_type", "ts")
-    lagged = ordered_lag(events, ["user_id"], ["ts", "event_id"], {"before": "event_type"})
+    lagged = ordered_lag(events, ["user_id"], ["ts", "event_id"], {"before": "event_type"}, distinct=True)
     changed = F.coalesce(F.col("event_type") != F.col("before"), F.lit(False))
     return lagged.select("event_id", "user_id", changed.alias("is_changed"))
 

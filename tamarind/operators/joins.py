@@ -103,7 +103,8 @@ def salted_attach(
 
     Rows of a hot key get a salt from a hash of the whole row (stable when a task
     is retried); only the matching rows on the right are repeated once per salt.
-    Cold keys join as usual. ``how`` is inner or left: the left side is split.
+    Full copies of a row share a salt; adaptive execution splits what is left of
+    them by map output, as in any other join. Cold keys join as usual. ``how`` is inner or left: the left side is split.
     """
     if how not in ("inner", "left"):
         raise ValueError("only the left side is split, so the join must be inner or left")

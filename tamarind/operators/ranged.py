@@ -21,15 +21,24 @@ from tamarind.session import ready_for_checkpoints
 # monotonically_increasing_id() puts the partition number above this bit and the
 # position within the partition below it.
 _POSITION_BITS = 33
-_AT, _PART = "__at", "__part"
+_AT, _PART, _COPY = "__at", "__part", "__copy"
 
 
-def _frozen(df: DataFrame, order: Sequence[str]) -> DataFrame:
+def _frozen(df: DataFrame, order: Sequence[str], distinct: bool) -> DataFrame:
     """Rows range-partitioned and sorted by ``order`` (then all other columns),
-    checkpointed, with their global position encoded in ``__at``."""
+    checkpointed, with their global position encoded in ``__at``.
+
+    Range borders cannot part rows that are equal in every column. Unless the caller
+    knows the rows to be ``distinct``, they get a running id as last sort column, so
+    that a large group of copies is spread as well. The id is taken from a first
+    checkpoint, because it must not change when a task is retried.
+    """
     ready_for_checkpoints(df.sparkSession)
     total = [*order, *[c for c in df.columns if c not in order]]
-    ranged = df.repartitionByRange(*total).sortWithinPartitions(*total).checkpoint()
+    if not distinct:
+        df = df.checkpoint().withColumn(_COPY, F.monotonically_increasing_id())
+        total.append(_COPY)
+    ranged = df.repartitionByRange(*total).sortWithinPartitions(*total).checkpoint().drop(_COPY)
     return ranged.withColumn(_AT, F.monotonically_increasing_id()).withColumn(
         _PART, F.shiftright(F.col(_AT), _POSITION_BITS)
     )
@@ -39,13 +48,14 @@ def _position() -> Column:
     return F.col(_AT) - F.shiftleft(F.col(_PART), _POSITION_BITS)
 
 
-def dense_key(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
-    """Add ``name``: 1..n without gaps, in the order of the natural key.
+def dense_key(df: DataFrame, order: Sequence[str], name: str, *, distinct: bool = False) -> DataFrame:
+    """Add ``name``: 1..n without gaps, in the order of the natural key. Pass
+    ``distinct`` when no row is a full copy of another, as in keyed tables.
 
     Per-partition row counts become offsets; they number one row per partition,
     which is what bounds the broadcast.
     """
-    rows = _frozen(df, order)
+    rows = _frozen(df, order, distinct)
     before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         rows.groupBy(_PART)
@@ -56,13 +66,20 @@ def dense_key(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     return keyed.select((F.col("__offset") + _position() + 1).cast("long").alias(name), *df.columns)
 
 
-def ordered_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], lagged: Mapping[str, str]) -> DataFrame:
+def ordered_lag(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    lagged: Mapping[str, str],
+    *,
+    distinct: bool = False,
+) -> DataFrame:
     """Add ``{new name: column}`` holding the previous row's value within the key.
 
     Inside a partition this is an ordinary lag. The first row of a partition takes
     the last row of the partition before it when both have the same key.
     """
-    rows = _frozen(df, [*keys, *order])
+    rows = _frozen(df, [*keys, *order], distinct)
     inner = Window.partitionBy(_PART, *keys).orderBy(_AT)
     carried = F.struct(
         F.struct(*keys).alias("key"), F.struct(*[F.col(c).alias(new) for new, c in lagged.items()]).alias("values")

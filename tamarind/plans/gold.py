@@ -10,13 +10,18 @@ from pyspark.sql import functions as F
 from tamarind.functions import classify as rule
 from tamarind.functions.predicates import is_true
 from tamarind.functions.temporal import calendar_attributes, date_key
+from tamarind.operators import ranged
 from tamarind.operators.joins import lookup_key
-from tamarind.operators.ranged import dense_key
 from tamarind.plans.silver import stamped
 
 _AUDIT = ("source_system", "transformation_version")
 
 
+def dense_key(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """Surrogate key of a table that has a natural key, hence no copies."""
+    return ranged.dense_key(df, order, name, distinct=True)
+
+
 def date_dimension(spark: SparkSession, start: date = date(2015, 1, 1), end: date = date(2020, 12, 31)) -> DataFrame:
     """One row per day of the range with its calendar attributes."""
     days = spark.range(1).select(

@@ -25,12 +25,26 @@ def adaptive(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def build_session(app: str = "tamarind", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with adaptive execution. Storage secrets and cluster sizes belong
-    to the deployment (spark-defaults), not to this function."""
+def initial_partitions(data_bytes: int, target: int = 128 << 20) -> int:
+    """Shuffle partitions to start from for the largest shuffled input, so that one
+    partition fits in a task's memory. Adaptive execution can merge partitions that
+    turn out small, but it cannot add any."""
+    return max(200, -(-data_bytes // target))
+
+
+def build_session(
+    app: str = "tamarind", master: str | None = None, data_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """A session with adaptive execution, sized for the data when ``data_bytes`` is
+    given. Storage secrets and cluster sizes belong to the deployment
+    (spark-defaults), not to this function."""
     builder = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC")
+    builder = builder.config("spark.checkpoint.compress", "true")
     if master:
         builder = builder.master(master)
+    if data_bytes is not None:
+        partitions = str(initial_partitions(data_bytes))
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", partitions)
     for key, value in {**ADAPTIVE, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

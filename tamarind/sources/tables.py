@@ -67,7 +67,7 @@ class Lake:
         so no cache and no second job is needed (S14)."""
         seen = Observation(f"rows_{table}")
         stored = self.write(df.observe(seen, F.count(F.lit(1)).alias("n")), table)
-        return stored, seen.get["n"]
+        return stored, seen.get.get("n", 0)
 
     def append(self, df: DataFrame, table: str, *, partition_by: Sequence[str] = ()) -> None:
         """Append; new columns are allowed and old rows read as null."""

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -112,9 +113,31 @@ class EventStore:
     def _batches(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{table}")
 
+    def _parts(self, table: str, upto: int | None = None) -> DataFrame:
+        """The newest fold and the batches after it, optionally only up to a batch."""
+        batches = self._batches(table)
+        if upto is not None:
+            batches = batches.where(F.col("batch_id") <= upto)
+        try:
+            folds = self.spark.read.parquet(f"{self.root}/{table}_folded")
+        except AnalysisException:  # nothing was folded yet
+            return batches.drop("batch_id")
+        if upto is not None:
+            folds = folds.where(F.col("upto") < upto)
+        newest = folds.agg(F.coalesce(F.max("upto"), F.lit(-1))).scalar()
+        later = batches.where(F.col("batch_id") > newest).drop("batch_id")
+        return folds.where(F.col("upto") == newest).drop("upto").unionByName(later)
+
     def read(self, table: str) -> DataFrame:
         """Total over all batches of ``counters``, ``metrics``, ``latest`` or ``recent``."""
-        return self._folds[table][1](self._batches(table).drop("batch_id"))
+        return self._folds[table][1](self._parts(table))
+
+    def fold(self, upto: int) -> None:
+        """Fold the batches up to ``upto`` into one, so that reads stay short however
+        long the stream runs. Give a batch that can no longer be replayed: one that
+        is older than the stream's last. Folding again gives the same result."""
+        for table, (_, add) in self._folds.items():
+            add(self._parts(table, upto)).write.mode("overwrite").parquet(f"{self.root}/{table}_folded/upto={upto}")
 
     def live(self, hours: int = 24) -> DataFrame:
         """Newest event per order that has not expired."""

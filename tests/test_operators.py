@@ -78,13 +78,29 @@ def test_dense_key_is_dense_and_ordered(hot):
 
 def test_dense_key_uses_several_tasks(hot):
     df, _ = hot
-    frozen = ranged._frozen(df, ["k", "t"])
+    frozen = ranged._frozen(df, ["k", "t"], True)
     sizes = [r["count"] for r in frozen.groupBy("__part").count().collect()]
     assert len(sizes) >= 1 and sum(sizes) == 3000
     plan = ranged.dense_key(df, ["k"], "sk")._jdf.queryExecution().executedPlan().toString()
     assert "row_number" not in plan and "CartesianProduct" not in plan
 
 
+def test_copies_are_spread_and_numbered(spark):
+    """Two thirds of the rows are copies of one row."""
+    df = spark.range(3000, numPartitions=4).select(
+        F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(F.lit(7)).alias("k"), F.lit("x").alias("v")
+    )
+    assert sorted(r.sk for r in ranged.dense_key(df, ["k"], "sk").collect()) == list(range(1, 3001))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        frozen = ranged._frozen(df, ["k"], False).where("k = 7")
+        assert frozen.select("__part").distinct().count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    lagged = ranged.ordered_lag(df, ["k"], ["v"], {"before": "v"})
+    assert lagged.where("before IS NULL").count() == df.select("k").distinct().count()
+
+
 def test_dense_key_of_nothing(spark):
     empty = spark.createDataFrame([], "k string")
     assert ranged.dense_key(empty, ["k"], "sk").collect() == []

@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from tamarind.session import build_session, scratch_path, shared_folder
+from tamarind.plans.marts import publish
+from tamarind.session import build_session, initial_partitions, scratch_path, shared_folder
 from tamarind.sources import tables
 from tamarind.sources.jdbc import Warehouse
 
@@ -11,6 +12,7 @@ def test_write_replaces_schema_and_counts(spark, tmp_path):
     lake = tables.Lake(spark, str(tmp_path))
     lake.write(spark.range(3), "t")
     stored, n = lake.write_counted(spark.range(5).select(F.col("id").alias("other")), "t")
+    assert lake.write_counted(spark.range(5).where("id > 9"), "none")[1] == 0
     assert n == 5 and stored.columns == ["other"] and lake.read("t").count() == 5
 
 
@@ -60,9 +62,23 @@ def test_scratch_follows_the_named_folder(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark) == folder
     assert scratch_path(spark, "x").startswith(folder) and scratch_path(spark, "x") != scratch_path(spark, "x")
+    assert initial_partitions(10**14) > 700_000 and initial_partitions(1) == 200
     assert build_session().conf.get("spark.sql.adaptive.enabled") == "true"
 
 
+def test_publishing_names_every_table(spark):
+    class Recorder:
+        def __init__(self):
+            self.written = {}
+
+        def write(self, df, table):
+            self.written[table] = df.count()
+
+    recorder = Recorder()
+    publish({"a": spark.range(2), "b": spark.range(3)}, recorder, "mart")
+    assert recorder.written == {"mart.a": 2, "mart.b": 3}
+
+
 def test_jdbc_settings(spark):
     w = Warehouse(spark, "jdbc:example:db", {"user": "u"})
     assert w.properties == {"user": "u"} and w.url == "jdbc:example:db"

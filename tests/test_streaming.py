@@ -91,6 +91,18 @@ def test_replayed_batch_changes_nothing(spark, played):
     assert (counters(played.read("counters")), played.read("metrics").first(), played.read("latest").count()) == before
 
 
+def test_folding_batches_keeps_the_totals(spark, played):
+    tables = ("counters", "metrics", "latest", "recent")
+    before = {t: sorted(map(str, played.read(t).collect())) for t in tables}
+    played.fold(0)
+    assert {t: sorted(map(str, played.read(t).collect())) for t in tables} == before
+    played.fold(1)
+    played.fold(1)
+    assert {t: sorted(map(str, played.read(t).collect())) for t in tables} == before
+    played.apply(flatten_all(parse(spark.createDataFrame([(message("o9", 40),)], "value string"))), 2)
+    assert played.read("metrics").first().total_orders == 5
+
+
 def test_empty_batch_writes_nothing(spark, played):
     before = counters(played.read("counters"))
     played.apply(flatten_all(parse(spark.createDataFrame([], "value string"))), 99)
