@@ -9,7 +9,6 @@ from tamarind.catalog.oracle import sql
 from tamarind.functions.numbers import money
 from tamarind.operators.joins import (
     attach,
-    flag_match,
     full_merge,
     orphans,
     rekey_orphans,

@@ -61,7 +61,9 @@ def has_bad_limit(
     return c.isNull() | is_true(c < F.col(purchased)) | is_true(c < F.col(approved))
 
 
-def fill_milestones(orders: DataFrame, status: str = "order_status", defaults: Mapping[str, int] = fixed.DEFAULT_GAPS) -> DataFrame:
+def fill_milestones(
+    orders: DataFrame, status: str = "order_status", defaults: Mapping[str, int] = fixed.DEFAULT_GAPS
+) -> DataFrame:
     """Missing milestones of an order derived from its neighbours (Q26).
 
     The purchase date is walked back from the first later milestone that is known;
@@ -88,7 +90,8 @@ def fill_milestones(orders: DataFrame, status: str = "order_status", defaults: M
     }
     out = orders.withColumn(bought, F.coalesce(F.col(bought), *[plus_seconds(c, -s) for c, s in back.items()]))
     delivered = F.col(status) == "delivered"
-    for before, stage, name in ((bought, approved, "approval"), (approved, carrier, "carrier"), (carrier, customer, "customer")):
+    steps = ((bought, approved, "approval"), (approved, carrier, "carrier"), (carrier, customer, "customer"))
+    for before, stage, name in steps:
         derived = F.when(delivered, plus_seconds(before, gap[name]))
         out = out.withColumn(stage, F.coalesce(F.col(stage), derived))
     return out

@@ -382,7 +382,8 @@ def sellers(raw: DataFrame, geo: DataFrame, items: DataFrame, acquisition: DataF
         ["seller_id"],
         "won_date",
     ).drop("won_date")
-    enriched = attach(attach(attach(base, _zip_centres(geo), zip_link), seller_matrix(items), "seller_id"), first_deal, "seller_id")
+    placed = attach(base, _zip_centres(geo), zip_link)
+    enriched = attach(attach(placed, seller_matrix(items), "seller_id"), first_deal, "seller_id")
     rows = enriched.fillna(
         {
             **{c: 0 for c in _MATRIX_COUNTS},

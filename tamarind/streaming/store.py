@@ -64,7 +64,7 @@ def archive(
 
 @dataclass(frozen=True)
 class EventStore:
-    """Counters, sums, newest and recent events below one folder."""
+    """Parsed messages, counters, sums, newest and recent events below one folder."""
 
     spark: SparkSession
     root: str
@@ -87,18 +87,19 @@ class EventStore:
         }
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
-        """Sink of ``foreachBatch`` over messages from :func:`flatten_all`."""
-        batch = batch.persist()
-        try:
-            if batch.isEmpty():
-                return
-            flat = batch.where("is_valid").drop("is_valid", "value")
-            for table, (fold, _) in self._folds.items():
-                fold(flat).write.mode("overwrite").parquet(f"{self.root}/{table}/batch_id={batch_id}")
-            rejects = batch.where("NOT is_valid").select("value")
-            rejects.write.mode("overwrite").parquet(f"{self.root}/rejects/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
+        """Sink of ``foreachBatch`` over messages from :func:`flatten_all`.
+
+        The parsed messages are written first and read back for each aggregate: they
+        are parsed once, and a lost executor does not send the batch to the source
+        again.
+        """
+        if batch.isEmpty():
+            return
+        events = f"{self.root}/events/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(events)
+        flat = self.spark.read.parquet(events).where("is_valid").drop("is_valid", "value")
+        for table, (fold, _) in self._folds.items():
+            fold(flat).write.mode("overwrite").parquet(f"{self.root}/{table}/batch_id={batch_id}")
 
     def start(self, raw: DataFrame, checkpoint: str, trigger: Mapping[str, object] | None = None) -> StreamingQuery:
         """Run over a stream of messages; by default a micro-batch every 10 seconds."""
@@ -144,7 +145,7 @@ class EventStore:
         return unexpired(self.read("latest"), hours)
 
     def rejects(self) -> DataFrame:
-        return self._batches("rejects").select("value")
+        return self._batches("events").where("NOT is_valid").select("value")
 
 
 def running_counts(parsed: DataFrame) -> DataFrame:
