@@ -100,7 +100,8 @@ def _(r):
 
 
 @query("safe_ratio_pct", "F18 F20 F21 F24 F35", sql(f"""
-    SELECT CAST(s_nationkey AS BIGINT) AS s_nationkey, CAST(sum(pos) AS BIGINT) AS positive, count(*) AS suppliers, {pct('sum(pos)', 'count(*)')} AS positive_pct,
+    SELECT CAST(s_nationkey AS BIGINT) AS s_nationkey, CAST(sum(pos) AS BIGINT) AS positive,
+           count(*) AS suppliers, {pct('sum(pos)', 'count(*)')} AS positive_pct,
            {pct('sum(pos)', 'sum(zero)')} AS undefined_pct,
            CASE WHEN sum(zero) > 0 THEN 1.0 ELSE 0.0E0 END AS guarded,
            round(abs(CAST(sum(CAST(s_acctbal AS DECIMAL(18,2))) AS DOUBLE)), 6) AS abs_balance
