@@ -157,6 +157,8 @@ def test_audit_log_is_idempotent(run, spark):
         log_rejects(lake, two, "t", "r2", RUN_AT)
     got = sorted(tuple(r) for r in read_log(lake, "t").select("id", "error_reason", "extra", "run_id").fillna("-").collect())
     assert got == [("a", "x", None, "r1"), ("b", "-", 1, "r2")]
+    log_rejects(lake, one.limit(0), "t", "r1", RUN_AT)
+    assert [r.id for r in read_log(lake, "t").collect()] == ["b"]
 
 
 def test_enrichment_write_back(run):
