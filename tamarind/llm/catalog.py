@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tamarind.llm import licenses, packing, quality_rules, sharding, token_counts
+from tamarind.llm import licenses, near_dedup, packing, quality_rules, sharding, token_counts
 from tamarind.llm.common import table
 
 
@@ -30,12 +30,23 @@ def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"))
 
 
+def op8_bbit_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.linked(table(spark, folder, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.counted(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_quality_rules, op3_license_scan, op5_jump_shards, op6_best_fit_packing, op10_token_counts)
+    for f in (
+        op1_quality_rules,
+        op3_license_scan,
+        op5_jump_shards,
+        op6_best_fit_packing,
+        op8_bbit_minhash,
+        op10_token_counts,
+    )
 }
 SQL: dict[str, str] = {}
