@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tamarind.llm import licenses, near_dedup, packing, quality_rules, sharding, token_counts
+from tamarind.llm import decontaminate, licenses, near_dedup, packing, quality_rules, sharding, token_counts
 from tamarind.llm.common import table
 
 
@@ -30,6 +30,11 @@ def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"))
 
 
+def op7_greedy_string_tiling(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.drop("text_hash")
+
+
 def op8_bbit_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.linked(table(spark, folder, "documents"))
 
@@ -45,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_license_scan,
         op5_jump_shards,
         op6_best_fit_packing,
+        op7_greedy_string_tiling,
         op8_bbit_minhash,
         op10_token_counts,
     )
