@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tamarind.llm import decontaminate, licenses, near_dedup, packing, quality_rules, sharding, token_counts
+from tamarind.llm import decontaminate, licenses, near_dedup, packing, quality_rules, sharding, site_quality, token_counts, toxicity
 from tamarind.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scanned(table(spark, folder, "documents"))
 
 
+def op4_weak_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op5_jump_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.sharded(table(spark, folder, "documents"))
 
@@ -39,6 +43,10 @@ def op8_bbit_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.linked(table(spark, folder, "documents"))
 
 
+def op9_hierarchical_bayes(spark: SparkSession, folder: str) -> DataFrame:
+    return site_quality.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.counted(table(spark, folder, "documents"))
 
@@ -48,10 +56,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_quality_rules,
         op3_license_scan,
+        op4_weak_toxicity,
         op5_jump_shards,
         op6_best_fit_packing,
         op7_greedy_string_tiling,
         op8_bbit_minhash,
+        op9_hierarchical_bayes,
         op10_token_counts,
     )
 }
