@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tamarind.llm import decontaminate, licenses, near_dedup, packing, quality_rules, sharding, site_quality, token_counts, toxicity
+from tamarind.llm import decontaminate, licenses, near_dedup, packing, page_text, quality_rules, sharding, site_quality, token_counts, toxicity
 from tamarind.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.measured(table(spark, folder, "documents"))
 
 
+def op2_site_templates(spark: SparkSession, folder: str) -> DataFrame:
+    return page_text.extracted(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scanned(table(spark, folder, "documents"))
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules,
+        op2_site_templates,
         op3_license_scan,
         op4_weak_toxicity,
         op5_jump_shards,
