@@ -152,5 +152,5 @@ def _(r):
 def _(r):
     # every supplier holds a percent of the lines here, so all of them are salted
     lines = r.table("lineitem").select("l_suppkey", "l_extendedprice", "l_orderkey", "l_linenumber")
-    joined = salted_attach(lines, r.table("supplier"), {"l_suppkey": "s_suppkey"}, share=0.005, buckets=16)
+    joined = salted_attach(lines, r.table("supplier"), {"l_suppkey": "s_suppkey"}, rows_per_task=200, buckets=16)
     return joined.groupBy("s_nationkey").agg(F.count("*").alias("lines"), F.sum(money("l_extendedprice")).alias("value"))

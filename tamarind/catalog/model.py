@@ -97,13 +97,14 @@ _CALENDAR = """SELECT {key} AS date_sk, strftime(d, '%Y-%m-%d') AS full_date, CA
 
 @query("dim_date_sales", "D02 F33 J02", sql(f"""
     SELECT c.*, coalesce(n, 0) AS order_count FROM ({_CALENDAR.replace('{days}', '''(
-        SELECT CAST(unnest(generate_series(TIMESTAMP '2015-01-01', TIMESTAMP '2020-12-31', INTERVAL 1 DAY)) AS DATE)
-            AS d)''')}) c
+        SELECT CAST(unnest(generate_series(date_trunc('year', min(o_orderdate)),
+            date_trunc('year', max(o_orderdate)) + INTERVAL 1 YEAR - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS d
+        FROM orders)''')}) c
     LEFT JOIN (SELECT strftime(o_orderdate, '%Y%m%d') AS k, count(*) AS n FROM orders GROUP BY 1) o
         ON CAST(c.date_sk AS VARCHAR) = o.k"""))
 def _(r):
     orders = r.table("orders").groupBy(gold.date_key("o_orderdate").alias("k")).agg(F.count("*").alias("order_count"))
-    calendar = gold.date_dimension(r.spark)
+    calendar = gold.date_dimension(gold.calendar_bounds((r.table("orders"), "o_orderdate")))
     return calendar.join(orders, F.col("date_sk") == F.col("k"), "left").drop("k").fillna(0, ["order_count"])
 
 

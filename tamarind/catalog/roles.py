@@ -220,7 +220,7 @@ class Roles:
 
     @cached_property
     def geolocation(self) -> silver.Entity:
-        return silver.geolocation(self.role("raw_geo"), accuracy=1_000_000)
+        return silver.geolocation(self.role("raw_geo"))
 
     @cached_property
     def customers(self) -> silver.Entity:

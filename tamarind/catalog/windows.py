@@ -74,12 +74,14 @@ def _(r):
 
 
 @query("sum_over_key", "W08", sql(f"""
-    SELECT {_LINE}, CAST(sum(CAST(l_quantity AS BIGINT)) OVER (PARTITION BY l_orderkey) AS BIGINT) AS order_quantity
-    FROM lineitem"""))
+    SELECT {_LINE}, k, CAST(sum(CAST(l_quantity AS BIGINT)) OVER (PARTITION BY k) AS BIGINT) AS key_quantity
+    FROM (SELECT *, CAST(nullif(l_suppkey % 23, 3) AS BIGINT) AS k FROM lineitem)"""))
 def _(r):
+    # few keys, all of them hot, and one of them null
     lines = r.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-    total = {"order_quantity": F.sum(F.col("l_quantity").cast("long"))}
-    return with_group_measures(lines, ["l_orderkey"], total, salted=True).drop("l_quantity")
+    keyed = lines.withColumn("k", F.nullif(F.col("l_suppkey") % 23, F.lit(3)))
+    total = {"key_quantity": F.sum(F.col("l_quantity").cast("long"))}
+    return with_group_measures(keyed, ["k"], total, salted=True, rows_per_task=1_000).drop("l_quantity")
 
 
 @query("median_over_key", "W09", sql("""

@@ -60,7 +60,7 @@ def mask_id(c: str | Column, keep: int = 8) -> Column:
 
 def strip_prefix(c: str | Column, prefix: str) -> Column:
     c = as_col(c)
-    return F.when(c.startswith(prefix), F.substring(c, len(prefix) + 1, 1_000_000)).otherwise(c)
+    return F.when(c.startswith(prefix), c.substr(F.lit(len(prefix) + 1), F.length(c))).otherwise(c)
 
 
 def titled(df: DataFrame) -> DataFrame:

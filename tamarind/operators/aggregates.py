@@ -122,10 +122,11 @@ def bottom_1(df: DataFrame, measure: str, *ties: str) -> DataFrame:
     return df.orderBy(F.col(measure).asc_nulls_last(), *ties).limit(1)
 
 
-def label_rank(label: str, order: Sequence[str], missing: int = 99) -> Column:
-    """0-based position of a label in a custom order; unknown labels go last."""
+def label_rank(label: str, order: Sequence[str]) -> Column:
+    """0-based position of a label in a custom order; unknown labels go last, with the
+    length of the order (O06)."""
     position = F.array_position(F.array(*[F.lit(x) for x in order]), F.col(label)).cast("int")
-    return F.when(position > 0, position - 1).otherwise(F.lit(missing))
+    return F.when(position > 0, position - 1).otherwise(F.lit(len(order)))
 
 
 def numeric_order(label: str) -> Column:

@@ -74,20 +74,22 @@ def full_merge(left: DataFrame, right: DataFrame, on: Sequence[str], fill: float
     return merged.fillna(fill, subset=[c for c in merged.columns if c not in on])
 
 
-def heavy_hashes(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> list[int]:
-    """Hashes of the key values that hold at least ``share`` of all rows.
+# More rows of one key than this are dealt out to several tasks, and so many hot keys are
+# looked for; adaptive execution splits what lies beyond.
+ROWS_PER_TASK = 2_000_000
+MOST_HOT_KEYS = 10_000
 
-    One streaming-sketch aggregate over the key columns; at most ``1/share``
-    values can qualify, so the list on the driver is bounded. The list only
-    steers the physical plan, so an estimate is enough.
+
+def heavy_hashes(df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> list[int]:
+    """Hashes of the key values that hold more rows than one task should read.
+
+    One streaming-sketch aggregate over the key columns, run while the plan is built: the
+    list only steers the physical plan, so an estimate is enough, and at most
+    ``MOST_HOT_KEYS`` hashes reach the driver.
     """
-    most = int(1 / share)
-    row = (
-        df.select(F.xxhash64(*keys).alias("h"))
-        .agg(F.expr(f"approx_top_k(h, {most}, {max(most * 10, 1000)})").alias("top"), F.count("*").alias("n"))
-        .first()
-    )
-    return [item["item"] for item in row["top"] or [] if item["count"] >= share * row["n"]]
+    top = F.expr(f"approx_top_k(h, {MOST_HOT_KEYS}, {20 * MOST_HOT_KEYS})")
+    row = df.select(F.xxhash64(*keys).alias("h")).agg(top.alias("top")).first()
+    return [item["item"] for item in row["top"] or [] if item["count"] > rows_per_task]
 
 
 def salted_attach(
@@ -96,7 +98,8 @@ def salted_attach(
     on: Keys,
     how: str = "left",
     *,
-    share: float = 0.01,
+    null_safe: bool = False,
+    rows_per_task: int = ROWS_PER_TASK,
     buckets: int = 64,
 ) -> DataFrame:
     """:func:`attach` whose hot keys are spread over ``buckets`` tasks.
@@ -104,14 +107,15 @@ def salted_attach(
     Rows of a hot key get a salt from a hash of the whole row (stable when a task
     is retried); only the matching rows on the right are repeated once per salt.
     Full copies of a row share a salt; adaptive execution splits what is left of
-    them by map output, as in any other join. Cold keys join as usual. ``how`` is inner or left: the left side is split.
+    them by map output, as in any other join. Cold keys join as usual. A null key matches
+    nothing, unless ``null_safe``. ``how`` is inner or left: the left side is split.
     """
     if how not in ("inner", "left"):
         raise ValueError("only the left side is split, so the join must be inner or left")
     keys = key_map(on)
-    hot = heavy_hashes(left, list(keys), share)
+    hot = heavy_hashes(left, list(keys), rows_per_task)
     if not hot:
-        return attach(left, right, on, how)
+        return attach(left, right, on, how, null_safe=null_safe)
 
     def is_hot(cols: Sequence[str]) -> Column:
         return F.xxhash64(*cols).isin(hot)
@@ -123,6 +127,7 @@ def salted_attach(
         right.withColumn(_SALT, F.explode(salts)),
         {**keys, _SALT: _SALT},
         how,
+        null_safe=null_safe,
     )
     return joined.drop(_SALT)
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamarind.operators.aggregates import median
-from tamarind.operators.joins import attach, salted_attach
+from tamarind.operators.joins import ROWS_PER_TASK, attach, salted_attach
 
 
 def previous_active(df: DataFrame, keys: Sequence[str], order: Sequence[str], lagged: Mapping[str, str]) -> DataFrame:
@@ -22,7 +22,12 @@ def previous_active(df: DataFrame, keys: Sequence[str], order: Sequence[str], la
 
 
 def with_group_measures(
-    df: DataFrame, keys: Sequence[str], measures: Mapping[str, Column], *, salted: bool = False
+    df: DataFrame,
+    keys: Sequence[str],
+    measures: Mapping[str, Column],
+    *,
+    salted: bool = False,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Every row with aggregates of its group.
 
@@ -32,7 +37,7 @@ def with_group_measures(
     """
     totals = df.groupBy(*keys).agg(*[c.alias(n) for n, c in measures.items()])
     if salted:
-        return salted_attach(df, totals, list(keys))
+        return salted_attach(df, totals, list(keys), null_safe=True, rows_per_task=rows_per_task)
     return attach(df, totals, list(keys), null_safe=True)
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamarind.functions import classify as rule
@@ -22,11 +23,18 @@ def dense_key(df: DataFrame, order: list[str], name: str) -> DataFrame:
     return ranged.dense_key(df, order, name, distinct=True)
 
 
-def date_dimension(spark: SparkSession, start: date = date(2015, 1, 1), end: date = date(2020, 12, 31)) -> DataFrame:
-    """One row per day of the range with its calendar attributes."""
-    days = spark.range(1).select(
-        F.explode(F.sequence(F.lit(start), F.lit(end), F.expr("interval 1 day"))).alias("full_date")
+def calendar_bounds(*dates: tuple[DataFrame, str]) -> DataFrame:
+    """One row: the first and the last day of the years that the date columns touch."""
+    spans = [df.agg(F.min(F.to_date(c)).alias("first"), F.max(F.to_date(c)).alias("last")) for df, c in dates]
+    both = reduce(DataFrame.unionAll, spans).agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    return both.select(
+        F.trunc("first", "year").alias("first"), F.date_sub(F.add_months(F.trunc("last", "year"), 12), 1).alias("last")
     )
+
+
+def date_dimension(bounds: DataFrame) -> DataFrame:
+    """One row per day between the bounds with its calendar attributes."""
+    days = bounds.select(F.explode(F.sequence("first", "last", F.expr("interval 1 day"))).alias("full_date"))
     return stamped(days.select(*[c.alias(n) for n, c in calendar_attributes().items()]))
 
 

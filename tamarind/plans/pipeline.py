@@ -124,7 +124,17 @@ def build_gold(run: Run) -> None:
     def keep(name: str, df: DataFrame) -> DataFrame:
         return run.keep("gold", name, df.withColumn("gold_loaded_at", F.lit(run.run_at)))
 
-    keep("dim_date", gold.date_dimension(run.spark))
+    sold, sent, judged = t["sales_staging"], t["order_delivery_staging"], t["reviews_staging"]
+    days = gold.calendar_bounds(
+        (sold, "order_purchase_timestamp"),
+        (sent, "order_purchase_timestamp"),
+        (sent, "order_estimated_delivery_date"),
+        (sent, "order_delivered_customer_date"),
+        (judged, "review_creation_date"),
+        (judged, "review_answer_timestamp"),
+        (t["seller_fulfillment_staging"], "order_purchase_timestamp"),
+    )
+    keep("dim_date", gold.date_dimension(days))
     keep("dim_geolocation", gold.geolocation_dimension(t["silver_geolocation"]))
     customers = keep("dim_customer", gold.customer_dimension(t["silver_customers"]))
     sellers = keep("dim_seller", gold.seller_dimension(t["silver_sellers"], run.run_at.date()))

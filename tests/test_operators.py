@@ -23,18 +23,18 @@ def hot(spark):
 def test_salted_join_equals_plain_join(spark, hot, rows):
     df, data = hot
     lookup = spark.createDataFrame([(f"k{i}", i) for i in range(0, 300)] + [("hot", -1)], "key string, n int")
-    assert joins.heavy_hashes(df, ["k"], 0.05), "the hot key must be found"
+    assert joins.heavy_hashes(df, ["k"], 150), "the hot key must be found"
     for how in ("left", "inner"):
-        salted = joins.salted_attach(df, lookup, {"k": "key"}, how, share=0.05, buckets=8)
+        salted = joins.salted_attach(df, lookup, {"k": "key"}, how, rows_per_task=150, buckets=8)
         assert rows(salted) == rows(joins.attach(df, lookup, {"k": "key"}, how))
-    assert joins.salted_attach(df, lookup, {"k": "key"}, share=0.05).count() == len(data)
+    assert joins.salted_attach(df, lookup, {"k": "key"}, rows_per_task=150).count() == len(data)
 
 
 def test_salted_join_without_hot_keys(spark, hot, rows):
     df, _ = hot
     lookup = spark.createDataFrame([("k1", 1)], "k string, n int")
     cold = df.where("k <> 'hot'")
-    assert rows(joins.salted_attach(cold, lookup, "k", share=0.9)) == rows(joins.attach(cold, lookup, "k"))
+    assert rows(joins.salted_attach(cold, lookup, "k")) == rows(joins.attach(cold, lookup, "k"))
     with pytest.raises(ValueError):
         joins.salted_attach(cold, lookup, "k", "full")
 
@@ -128,8 +128,8 @@ def test_group_measures_keep_every_row(hot):
         sizes[r[1]] += 1
     plain = windows.group_count(df, ["k"], "n")
     assert {r.id: r.n for r in plain.collect()} == {r[0]: sizes[r[1]] for r in data}
-    salted = windows.with_group_measures(df.where("k IS NOT NULL"), ["k"], {"n": F.count("*")}, salted=True)
-    assert {r.id: r.n for r in salted.collect()} == {r[0]: sizes[r[1]] for r in data if r[1] is not None}
+    salted = windows.with_group_measures(df, ["k"], {"n": F.count("*")}, salted=True, rows_per_task=150)
+    assert {r.id: r.n for r in salted.collect()} == {r[0]: sizes[r[1]] for r in data}
 
 
 def test_keep_first_is_deterministic_and_idempotent(hot, rows):

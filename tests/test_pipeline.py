@@ -115,7 +115,17 @@ def test_dimensions_are_dense(run):
             continue
         r = run.tables[name].agg(F.count("*"), F.min(key), F.max(key), F.count_distinct(key)).first()
         assert tuple(r) == (r[0], 1, r[0], r[0]), name
-    assert run.tables["dim_date"].count() == 2192
+    days = run.tables["dim_date"]
+    assert days.count() == days.agg(F.countDistinct("date_sk")).first()[0] and days.count() % 365 in (0, 1)
+    assert days.agg(F.min("is_year_start"), F.max("is_year_end")).first() == (False, True)
+
+
+def test_every_fact_has_a_day(run):
+    known = {r.date_sk for r in run.tables["dim_date"].collect()}
+    for name in [t for t in run.tables if t.startswith("fct_")]:
+        fact = run.tables[name]
+        for key in [c for c in fact.columns if c.endswith("date_sk")]:
+            assert {r[0] for r in fact.select(key).distinct().collect() if r[0] is not None} <= known, (name, key)
 
 
 def test_facts_keep_every_row(run):

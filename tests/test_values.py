@@ -91,7 +91,7 @@ def test_enforce_types_and_columns(spark):
 def test_shares_ranks_and_bins(spark, rows):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 9)], "k string, v int")
     assert rows(share_of_total(df, "k")) == [(None, 1, 25.0), ("a", 2, 50.0), ("b", 1, 25.0)]
-    assert rows(df.select(label_rank("k", ["b", "a"]))) == [(0,), (1,), (1,), (99,)]
+    assert rows(df.select(label_rank("k", ["b", "a"]))) == [(0,), (1,), (1,), (2,)]
     assert [r[0] for r in df.select(F.col("v").cast("string").alias("v")).orderBy(numeric_order("v")).collect()] == ["1", "2", "3", "9"]
     assert rows(histogram(df, "v", 4)) == [(0, 2, 1.0), (1, 1, 3.0), (3, 1, 7.0)]
     assert rows(histogram(df.where("v = 1"), "v", 4)) == [(0, 1, 1.0)]
