@@ -38,7 +38,16 @@ class Star:
         return gold.geolocation_dimension(self.r.use("geolocation"))
 
     def _dim_date(self):
-        return gold.date_dimension(self.r.spark)
+        r = self.r
+        return gold.date_dimension(
+            gold.calendar_bounds(
+                (r.use("orders"), "order_purchase_timestamp"),
+                (r.use("orders"), "order_estimated_delivery_date"),
+                (r.use("orders"), "order_delivered_customer_date"),
+                (r.use("reviews"), "review_creation_date"),
+                (r.use("reviews"), "review_answer_timestamp"),
+            )
+        )
 
     def _dim_delivery_status(self):
         return gold.delivery_status_dimension(self.r.use("delivery"))
@@ -248,18 +257,20 @@ def _(r):
     SELECT CAST(sum(CASE WHEN e.seller_sk IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_sellers,
            CAST(sum(CASE WHEN p.product_sk IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_products,
            CAST(sum(CASE WHEN d.k IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_purchase_dates
-    FROM fct_seller_fulfillment f LEFT JOIN dim_seller e ON f.seller_sk_fk = e.seller_sk
-    LEFT JOIN dim_product p ON f.product_sk_fk = p.product_sk
-    LEFT JOIN (SELECT CAST(strftime(unnest(generate_series(TIMESTAMP '2015-01-01', TIMESTAMP '2020-12-31',
-        INTERVAL 1 DAY)), '%Y%m%d') AS BIGINT) AS k) d ON f.purchase_date_sk = d.k"""))
+    FROM fct_seller_fulfillment f LEFT JOIN dim_seller e ON f.seller_sk_fk = e.seller_sk AND e.seller_sk % 10 <> 3
+    LEFT JOIN dim_product p ON f.product_sk_fk = p.product_sk AND p.product_sk % 7 <> 2
+    LEFT JOIN (SELECT DISTINCT purchase_date_sk AS k FROM fct_seller_fulfillment) d
+        ON f.purchase_date_sk = d.k AND d.k % 100 <> 15"""))
 def _(r):
+    # members that are left out of the dimensions must show as missing
     s = Star(r)
+    sellers, products = s["dim_seller"].where("seller_sk % 10 <> 3"), s["dim_product"].where("product_sk % 7 <> 2")
     return missing_counts(
         s["fct_seller_fulfillment"],
         {
-            "missing_sellers": ("seller_sk_fk", s["dim_seller"], "seller_sk"),
-            "missing_products": ("product_sk_fk", s["dim_product"], "product_sk"),
-            "missing_purchase_dates": ("purchase_date_sk", s["dim_date"], "date_sk"),
+            "missing_sellers": ("seller_sk_fk", sellers, "seller_sk"),
+            "missing_products": ("product_sk_fk", products, "product_sk"),
+            "missing_purchase_dates": ("purchase_date_sk", s["dim_date"].where("date_sk % 100 <> 15"), "date_sk"),
         },
     )
 
@@ -289,29 +300,35 @@ def _constraint_sql() -> str:
     from tamarind.plans.marts import FOREIGN_KEYS, PRIMARY_KEYS
 
     parts = [
-        f"""SELECT 'pk_{t}' AS dq_rule, (SELECT count(*) FROM (SELECT {k} FROM {t} GROUP BY {k}
-            HAVING count(*) > 1 OR {k} IS NULL)) AS issue_count"""
+        f"""SELECT 'pk_{t}' AS dq_rule, (SELECT count(*) FROM (
+            SELECT {k} FROM (SELECT {k} FROM {t} WHERE {k} % 10 <> 3 UNION ALL SELECT {k} FROM {t} WHERE {k} % 10 = 4)
+            GROUP BY {k} HAVING count(*) > 1 OR {k} IS NULL)) AS issue_count"""
         for t, k in PRIMARY_KEYS.items()
         if t in _CHECKED
     ]
     for col, dim in FOREIGN_KEYS["fct_order_sales"].items():
         if dim == "dim_date":
-            member = "SELECT * FROM (SELECT 20150101) WHERE col BETWEEN 20150101 AND 20201231".replace("col", f"f.{col}")
+            member = f"SELECT 1 WHERE f.{col} % 10 <> 3"
         else:
-            member = f"SELECT 1 FROM {dim} d WHERE d.{PRIMARY_KEYS[dim]} = f.{col}"
+            member = f"SELECT 1 FROM {dim} d WHERE d.{PRIMARY_KEYS[dim]} = f.{col} AND f.{col} % 10 <> 3"
+        fact = f"{PRIMARY_KEYS['fct_order_sales']} % 10"
         parts.append(
-            f"""SELECT 'fk_fct_order_sales_{col}' AS dq_rule, (SELECT count(*) FROM fct_order_sales f
-            WHERE f.{col} IS NOT NULL AND NOT EXISTS ({member})) AS issue_count"""
+            f"""SELECT 'fk_fct_order_sales_{col}' AS dq_rule, (
+            SELECT CAST(coalesce(sum(CASE WHEN {fact} = 4 THEN 2 ELSE 1 END), 0) AS BIGINT) FROM fct_order_sales f
+            WHERE {fact} <> 3 AND f.{col} IS NOT NULL AND NOT EXISTS ({member})) AS issue_count"""
         )
     return sql(" UNION ALL ".join(parts))
 
 
 @query("pk_fk_check", "D15 D16 M01", _constraint_sql())
 def _(r):
+    # of every table a tenth of the keys is left out and another tenth is repeated
     s = Star(r)
-    tables = {t: s[t] for t in (*_CHECKED, "dim_date")}
-    rules = [c for c in marts.gold_constraints(_CHECKED)]
-    return summarise(rules, tables)
+    tables = {}
+    for t in (*_CHECKED, "dim_date"):
+        key = F.col(marts.PRIMARY_KEYS[t]) % 10
+        tables[t] = s[t].where(key != 3).unionAll(s[t].where(key == 4))
+    return summarise(marts.gold_constraints(_CHECKED), tables)
 
 
 @query("mart_counts", "M03 M04 M07 Q19 U03", sql(" UNION ALL ".join(

@@ -34,6 +34,9 @@ BRONZE_FILES = {
     "closed_deals": "closed_deals.csv",
 }
 
+# Bronze tables whose fields may hold line breaks.
+MULTI_LINE = ("order_reviews",)
+
 # The standing quality rules.
 RULES: tuple[Rule, ...] = (
     NotNull("customers_null_customer_id", "silver_customers", ("customer_id",)),

@@ -6,7 +6,7 @@ The format defaults to parquet; any installed table format can be passed.
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -16,13 +16,15 @@ from pyspark.sql.types import StructType
 LINEAGE = ("_ingested_at", "_source_file")
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """Header CSV with quoted, multi-line fields.
+def read_csv(
+    spark: SparkSession, path: str, schema: StructType | str | None = None, *, multi_line: bool = False
+) -> DataFrame:
+    """Header CSV with quoted fields.
 
-    Give a schema at scale: inference reads the whole input once more, and a
-    multi-line file cannot be split.
+    Give a schema at scale: inference reads the whole input once more. Files whose
+    fields hold line breaks need ``multi_line``; such a file cannot be split.
     """
-    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True)
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", multi_line)
     return reader.schema(schema).csv(path) if schema is not None else reader.option("inferSchema", True).csv(path)
 
 
@@ -86,11 +88,13 @@ def ingest(
     files: Mapping[str, str],
     schemas: Mapping[str, str] | None = None,
     ingested_at: Column | None = None,
+    multi_line: Collection[str] = (),
 ) -> dict[str, int]:
-    """Load every registered CSV into its bronze table (S02); returns rows per table."""
+    """Load every registered CSV into its bronze table (S02); returns rows per table.
+    ``multi_line`` names the tables whose fields may hold line breaks."""
     counts = {}
     for table, file in files.items():
-        raw = read_csv(lake.spark, os.path.join(folder, file), (schemas or {}).get(table))
+        raw = read_csv(lake.spark, os.path.join(folder, file), (schemas or {}).get(table), multi_line=table in multi_line)
         _, counts[table] = lake.write_counted(with_lineage(raw, ingested_at, file), table)
     return counts
 

@@ -21,7 +21,7 @@ def run(spark, tmp_path_factory):
         (folder / "csv" / pipeline.BRONZE_FILES[name]).write_text(text)
     run = pipeline.Run(spark, str(folder / "lake"), "run-1", RUN_AT)
     bronze = run.lake("bronze")
-    run.ingested = ingest(bronze, str(folder / "csv"), pipeline.BRONZE_FILES, ingested_at=F.lit(RUN_AT))
+    run.ingested = ingest(bronze, str(folder / "csv"), pipeline.BRONZE_FILES, ingested_at=F.lit(RUN_AT), multi_line=pipeline.MULTI_LINE)
     run.summary = pipeline.run_pipeline(run, {t: bronze.read(t) for t in pipeline.BRONZE_FILES})
     return run
 

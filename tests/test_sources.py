@@ -55,7 +55,7 @@ def test_lineage(spark, tmp_path):
 
 def test_csv_with_schema(spark, tmp_path):
     (tmp_path / "a.csv").write_text('a,b\n1,"x\ny"\n')
-    assert tables.read_csv(spark, str(tmp_path / "a.csv"), "a int, b string").first() == (1, "x\ny")
+    assert tables.read_csv(spark, str(tmp_path / "a.csv"), "a int, b string", multi_line=True).first() == (1, "x\ny")
 
 
 def test_scratch_follows_the_named_folder(spark):
