@@ -113,7 +113,9 @@ def _(r):
 
 @query("reviews_rejected", "E07 Q02 Q06", sql("""
     SELECT 'Review critical key or score missing' AS error_reason, count(*) AS row_count FROM reviews_typed
-    WHERE review_id IS NULL OR order_id IS NULL OR review_score IS NULL"""))
+    WHERE review_id IS NULL OR order_id IS NULL OR review_score IS NULL
+    UNION ALL SELECT 'Review order_id missing from silver_orders', count(*) FROM reviews_usable
+    WHERE order_id NOT IN (SELECT order_id FROM silver_orders)"""))
 def _(r):
     return r.reviews.rejects.groupBy("error_reason").agg(F.count("*").alias("row_count"))
 

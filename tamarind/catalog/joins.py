@@ -79,12 +79,12 @@ def _(r):
 
 @query("outer_merge_fill", "J07", sql("""
     SELECT coalesce(a.k, b.k) AS nation, coalesce(a.n, 0) AS customers, coalesce(b.n, 0) AS suppliers
-    FROM (SELECT CAST(c_nationkey AS BIGINT) AS k, count(*) AS n FROM customer WHERE c_acctbal > 0 GROUP BY 1) a
-    FULL JOIN (SELECT CAST(s_nationkey AS BIGINT) AS k, count(*) AS n FROM supplier WHERE s_acctbal > 0 GROUP BY 1) b
+    FROM (SELECT CAST(c_nationkey AS BIGINT) AS k, count(*) AS n FROM customer WHERE c_nationkey % 5 <> 1 GROUP BY 1) a
+    FULL JOIN (SELECT CAST(s_nationkey AS BIGINT) AS k, count(*) AS n FROM supplier WHERE s_nationkey % 4 <> 2 GROUP BY 1) b
         ON a.k = b.k"""))
 def _(r):
-    bought = r.table("customer").where("c_acctbal > 0").groupBy(F.col("c_nationkey").alias("nation"))
-    sold = r.table("supplier").where("s_acctbal > 0").groupBy(F.col("s_nationkey").alias("nation"))
+    bought = r.table("customer").where("c_nationkey % 5 <> 1").groupBy(F.col("c_nationkey").alias("nation"))
+    sold = r.table("supplier").where("s_nationkey % 4 <> 2").groupBy(F.col("s_nationkey").alias("nation"))
     return full_merge(
         bought.agg(F.count("*").alias("customers")), sold.agg(F.count("*").alias("suppliers")), ["nation"], 0
     )

@@ -27,8 +27,14 @@ def _state(index: str) -> str:
     return f"split_part('{_STATES}', ',', CAST({index} AS INT) + 1)"
 
 
+def _order_id(rate: int) -> str:
+    """Order of a line; every ``rate``-th part belongs to orders that nobody knows."""
+    return f"CASE WHEN l_partkey % {rate} = 0 THEN concat('lost-', CAST(l_orderkey AS STRING)) ELSE CAST(l_orderkey AS STRING) END"
+
+
 _PRICE = "CAST(l_extendedprice AS DECIMAL(18,2))"
 _CENT = "CAST(0.01 AS DECIMAL(3,2))"  # a factor, because division leaves decimals in one engine
+_HALF = f"CAST({_PRICE} * CAST(0.5 AS DECIMAL(2,1)) AS DECIMAL(18,2))"
 _FREIGHT = f"CAST({_PRICE} * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(18,2))"
 
 ROLES = {
@@ -55,32 +61,35 @@ ROLES = {
                o_orderdate + INTERVAL '1' DAY * 14 AS order_estimated_delivery_date
         FROM {orders}""",
     "raw_items": f"""
-        SELECT CAST(l_orderkey AS STRING) AS order_id, l_linenumber AS order_item_id,
+        SELECT {_order_id(41)} AS order_id, l_linenumber AS order_item_id,
                CAST(l_partkey AS STRING) AS product_id, CAST(l_suppkey AS STRING) AS seller_id,
-               CASE WHEN l_discount = 0.0 THEN NULL ELSE l_shipdate END AS shipping_limit_date,
+               CASE WHEN l_discount = 0.0 THEN NULL
+                    ELSE o_orderdate + INTERVAL '1' DAY * (l_linenumber % 4 + l_suppkey % 16) END
+                   AS shipping_limit_date,
                {_PRICE} AS price, {_FREIGHT} AS freight_value
-        FROM {{lineitem}}""",
+        FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey""",
     "raw_payments": f"""
-        SELECT CAST(l_orderkey AS STRING) AS order_id, l_linenumber AS payment_sequential,
+        SELECT {_order_id(43)} AS order_id, l_linenumber AS payment_sequential,
                CASE WHEN l_returnflag = 'A' THEN ' Credit_Card ' WHEN l_returnflag = 'N' THEN 'boleto'
                     WHEN l_linestatus = 'O' THEN 'voucher' WHEN l_discount = 0.05 THEN 'not_defined'
                     ELSE 'debit_card' END AS payment_type,
                l_linenumber - 1 AS payment_installments,
-               CASE WHEN l_discount > 0.08 THEN {_PRICE} WHEN l_discount = 0.01 THEN {_PRICE} + {_FREIGHT} + 10
+               CASE WHEN l_discount > 0.08 THEN {_HALF} WHEN l_discount = 0.02 THEN {_PRICE} + {_PRICE}
+                    WHEN l_discount = 0.01 THEN {_PRICE} + {_FREIGHT} + 10
                     ELSE {_PRICE} + {_FREIGHT} END AS payment_value
         FROM {{lineitem}}""",
-    "raw_reviews": """
+    "raw_reviews": f"""
         SELECT CASE WHEN l_partkey % 53 = 0 THEN NULL
                     ELSE md5(concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING), '-',
                                     CAST(l_partkey AS STRING), '-', CAST(l_suppkey AS STRING))) END AS review_id,
-               CAST(l_orderkey AS STRING) AS order_id,
+               {_order_id(47)} AS order_id,
                CASE WHEN l_tax = 0.08 THEN NULL ELSE CAST(1 + CAST(l_quantity AS INT) % 5 AS STRING) END AS review_score,
                l_returnflag AS review_comment_title, l_linestatus AS review_comment_message,
                CASE WHEN l_suppkey % 23 = 0 THEN NULL ELSE CAST(l_shipdate AS STRING) END AS review_creation_date,
                CASE WHEN l_suppkey % 19 = 0 THEN NULL
                     ELSE CAST(l_shipdate + INTERVAL '1' HOUR * (CAST(l_quantity AS INT) * 3 % 97 - 4) AS STRING)
                     END AS review_answer_timestamp
-        FROM {lineitem}""",
+        FROM {{lineitem}}""",
     "raw_customers": f"""
         SELECT concat(' ', CAST(c_custkey AS STRING), ' ') AS customer_id,
                concat('u', CAST(CASE WHEN c_custkey % 3 = 0 THEN c_custkey % 40
@@ -130,7 +139,8 @@ ROLES = {
                CAST(-27 - s_suppkey % 50 AS DOUBLE), 'Marília', {_state('s_nationkey')}
         FROM {{supplier}}""",
     "raw_leads": """
-        SELECT CASE WHEN user_id % 37 = 0 THEN NULL ELSE concat('m', CAST(user_id AS STRING)) END AS mql_id,
+        SELECT CASE WHEN user_id % 37 = 0 THEN NULL WHEN event_id % 19 = 0 THEN concat('x', CAST(event_id AS STRING))
+                    ELSE concat('m', CAST(user_id AS STRING)) END AS mql_id,
                CAST(date_trunc('second', ts) AS STRING) AS first_contact_date,
                concat('LP', CAST(event_id % 5 AS STRING)) AS landing_page_id,
                CASE event_id % 4 WHEN 0 THEN ' Organic_Search' WHEN 1 THEN 'paid_search' WHEN 2 THEN 'Social' END
