@@ -246,7 +246,8 @@ def _cluster_rows(docs: DataFrame, nodes: DataFrame, clusters: DataFrame) -> Dat
 
     # an id may belong to several texts: the key says which of them is the node's
     wanted = rows.select(F.col("low_id").alias("wanted_id")).distinct()
-    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi")
+    # a merge join at every size: what is moved then grows with the input, not in a step
+    texts = docs.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi")
     copies = texts.withColumn("copy", F.col("text"))
     texts = with_text_columns(copies, keys, keyed).groupBy("key_a2", "key_b2").agg(F.first("copy").alias("text"))
     same = (F.col("key_a") == F.col("key_a2")) & (F.col("key_b") == F.col("key_b2"))
