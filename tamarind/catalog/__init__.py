@@ -16,6 +16,7 @@ def load() -> dict[str, Query]:
         model,
         quality,
         reports,
+        refined,
         roundtrips,
         scalars,
         streams,

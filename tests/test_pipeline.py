@@ -6,7 +6,7 @@ import pytest
 from fixtures import BRONZE
 from pyspark.sql import functions as F
 
-from tamarind.plans import marts, pipeline, staging
+from tamarind.plans import marts, pipeline, refined, staging
 from tamarind.sources.audit import log_rejects, read_log
 from tamarind.sources.tables import Lake, ingest
 
@@ -182,3 +182,21 @@ def test_enrichment_write_back(run):
         "o1": ("matched",), "o2": ("overpaid",), "o3": ("underpaid",), "o4": ("matched",), "o5": ("no payment record",),
         "o6": ("matched",),
     }
+
+
+def test_refined_lineage_by_policy(run):
+    bronze = {t: run.lake("bronze").read(t) for t in pipeline.BRONZE_FILES}
+    rekeyed = refined.build_refined(Lake(run.spark, f"{run.root}/refined"), bronze, "rekey")
+    dropped = refined.build_refined(Lake(run.spark, f"{run.root}/refined_drop"), bronze, "drop")
+    assert set(rekeyed) == set(dropped) and len(rekeyed) == 8
+    for name, key in (("orders", "order_id"), ("customers", "customer_id"), ("sellers", "seller_id"), ("products", "product_id")):
+        for tables in (rekeyed, dropped):
+            assert tables[name].where(F.col(key) == "-1").count() == 1
+    items, kept = rekeyed["order_items"], dropped["order_items"]
+    assert items.where("order_id = '-1'").count() > 0 and kept.where("order_id = '-1'").count() == 0
+    assert kept.count() < items.count()
+    for name in ("order_items", "order_payments", "order_reviews"):
+        known = rekeyed["orders"].select("order_id")
+        assert rekeyed[name].join(known, "order_id", "left_anti").count() == 0
+    with pytest.raises(ValueError):
+        refined.settled(items, kept, "order_id", "guess")
