@@ -118,8 +118,10 @@ def test_minima_do_not_depend_on_parts():
     assert (near_dedup.minima_of(shingles) == near_dedup.minima_of(shingles, 7)).all()
 
 
+@pytest.mark.parametrize("at_once", [0, 40, 100_000])
 @pytest.mark.parametrize("shape", ["path", "star", "random", "none"])
-def test_components(spark, shape):
+def test_components(spark, shape, at_once, monkeypatch):
+    monkeypatch.setattr(graphs, "FINISHED_AT_ONCE", at_once)
     draw = random.Random(8)
     if shape == "path":
         edges = [(i, i + 1) for i in range(300)]
