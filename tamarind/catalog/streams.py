@@ -167,12 +167,8 @@ def _(r):
         FROM flat_events GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT {k})"""
     for d, k in (("category", 10), ("customer_city", 10), ("seller_city", 10), ("state", 15)))))
 def _(r):
-    counts = measures.dimension_counts(r.role("flat_events"))
-    tops = [
-        serving.top_labels(counts, dim, k).withColumn("dim", F.lit(dim))
-        for dim, k in (("category", 10), ("customer_city", 10), ("seller_city", 10), ("state", 15))
-    ]
-    return tops[0].unionByName(tops[1]).unionByName(tops[2]).unionByName(tops[3])
+    sizes = {"category": 10, "customer_city": 10, "seller_city": 10, "state": 15}
+    return serving.top_labels_of(measures.dimension_counts(r.role("flat_events"), list(sizes)), sizes)
 
 
 @query("state_compare", "V05 J07", sql("""
@@ -181,21 +177,22 @@ def _(r):
     FULL JOIN (SELECT seller_state AS s, count(*) AS n FROM flat_events GROUP BY 1) b ON a.s = b.s
     ORDER BY 2 DESC, 1 LIMIT 10"""))
 def _(r):
-    return serving.state_comparison(measures.dimension_counts(r.role("flat_events")))
+    return serving.state_comparison(measures.dimension_counts(r.role("flat_events"), ["state", "seller_state"]))
 
 
 @query("bucket_distribution", "V06 O06", sql(f"""
     SELECT label, event_count, CAST(list_position({list(serving.FREIGHT_LABELS)}, label) - 1 AS BIGINT) AS sort_order
     FROM (SELECT {_DIMS['freight_bucket']} AS label, count(*) AS event_count FROM flat_events GROUP BY 1)"""))
 def _(r):
-    counts = measures.dimension_counts(r.role("flat_events"))
+    counts = measures.dimension_counts(r.role("flat_events"), ["freight_bucket"])
     return serving.bucket_distribution(counts, "freight_bucket", serving.FREIGHT_LABELS)
 
 
 @query("numeric_distribution", "V07 O07", sql("""
     SELECT concat(CAST(payment_installments AS VARCHAR), 'x') AS label, count(*) AS event_count FROM flat_events GROUP BY 1"""))
 def _(r):
-    return serving.numeric_distribution(measures.dimension_counts(r.role("flat_events")), "installments", "x")
+    counts = measures.dimension_counts(r.role("flat_events"), ["installments"])
+    return serving.numeric_distribution(counts, "installments", "x")
 
 
 @query("state_map", "V08 F06", sql(f"""
@@ -203,4 +200,4 @@ def _(r):
         {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in fixed.STATE_NAME.items())} ELSE customer_state END AS state_name
     FROM flat_events GROUP BY 1"""))
 def _(r):
-    return serving.state_map(measures.dimension_counts(r.role("flat_events")))
+    return serving.state_map(measures.dimension_counts(r.role("flat_events"), ["state"]))

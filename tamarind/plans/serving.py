@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamarind.functions import fixed
@@ -51,6 +51,14 @@ def top_labels(counts: DataFrame, dim: str, k: int = 10) -> DataFrame:
     return top_k(_counter(counts, dim), k, "event_count", "label")
 
 
+def top_labels_of(counts: DataFrame, sizes: Mapping[str, int]) -> DataFrame:
+    """The most frequent labels of several dimensions, ranked in one pass."""
+    place = F.row_number().over(Window.partitionBy("dim").orderBy(F.desc("event_count"), "label"))
+    wanted = F.coalesce(*[F.when(F.col("dim") == dim, F.lit(k)) for dim, k in sizes.items()])
+    ranked = counts.withColumns({"__place": place, "__wanted": wanted})
+    return ranked.where("__place <= __wanted").select("dim", "label", "event_count")
+
+
 def state_comparison(counts: DataFrame, k: int | None = 10) -> DataFrame:
     """Orders bought and sold per state, zero where a state has only one side."""
     bought = _counter(counts, "state").withColumnRenamed("event_count", "customer_orders")

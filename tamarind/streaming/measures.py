@@ -3,6 +3,8 @@ batch, a micro-batch and a stateful streaming aggregate."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,8 +31,9 @@ def _dimensions() -> dict[str, Column]:
     }
 
 
-def dimension_counts(flat: DataFrame) -> DataFrame:
-    """Events per label of each of the 13 dimensions, as (dim, label, event_count).
+def dimension_counts(flat: DataFrame, dims: Sequence[str] | None = None) -> DataFrame:
+    """Events per label of each of the 13 dimensions, or of the named ones, as
+    (dim, label, event_count).
 
     All dimensions are counted in one aggregate with map-side combine; a missing
     label is counted as ``None``.
@@ -38,6 +41,7 @@ def dimension_counts(flat: DataFrame) -> DataFrame:
     entries = [
         F.struct(F.lit(dim).alias("dim"), F.coalesce(c.cast("string"), F.lit("None")).alias("label"))
         for dim, c in _dimensions().items()
+        if dims is None or dim in dims
     ]
     labelled = flat.select(F.explode(F.array(*entries)).alias("e")).select("e.dim", "e.label")
     return labelled.groupBy("dim", "label").agg(F.count("*").alias("event_count"))
@@ -62,8 +66,6 @@ def _sums() -> dict[str, Column]:
 
 
 
-
-
 def metric_sums(flat: DataFrame) -> DataFrame:
     """One row of running sums and counts; sums over nothing are zero."""
     return flat.agg(*[c.alias(n) for n, c in _sums().items()]).fillna(0)

@@ -69,6 +69,10 @@ class EventStore:
     spark: SparkSession
     root: str
     keep_recent: int = 200
+    # after so many batches the older ones are folded; 0 leaves folding to the caller
+    fold_every: int = 360
+    # folds drop the newest event of orders that have been silent for so long
+    expire_hours: int | None = None
 
     # table -> how one batch, or the union of several, is folded
     @property
@@ -79,13 +83,17 @@ class EventStore:
                 lambda d: d.groupBy("dim", "label").agg(F.sum("event_count").alias("event_count")),
             ),
             "metrics": (metric_sums, add_metrics),
-            "latest": (latest_events, lambda d: latest_per_key(d, ["order_id"], "event_time")),
+            "latest": (latest_events, self._latest),
             "recent": (
                 lambda d: recent_events(d, self.keep_recent),
                 lambda d: recent_events(d, self.keep_recent),
             ),
         }
 
+    def _latest(self, parts: DataFrame) -> DataFrame:
+        newest = latest_per_key(parts, ["order_id"], "event_time")
+        return newest if self.expire_hours is None else unexpired(newest, self.expire_hours)
+
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """Sink of ``foreachBatch`` over messages from :func:`flatten_all`.
 
@@ -100,6 +108,9 @@ class EventStore:
         flat = self.spark.read.parquet(events).where("is_valid").drop("is_valid", "value")
         for table, (fold, _) in self._folds.items():
             fold(flat).write.mode("overwrite").parquet(f"{self.root}/{table}/batch_id={batch_id}")
+        if self.fold_every and batch_id and batch_id % self.fold_every == 0:
+            # the stream has committed all batches before this one
+            self.fold(batch_id - 1)
 
     def start(self, raw: DataFrame, checkpoint: str, trigger: Mapping[str, object] | None = None) -> StreamingQuery:
         """Run over a stream of messages; by default a micro-batch every 10 seconds."""

@@ -131,3 +131,25 @@ def test_serving(played):
     assert [tuple(r) for r in serving.state_comparison(counts).collect()] == [("SP", 3, 0), ("RJ", 1, 4)]
     feed = serving.live_feed(serving.recent_details(played.read("recent"), played.read("latest"), 2))
     assert feed.columns[0] == "Order Id" and feed.count() == 2
+
+
+def test_batches_are_folded_on_an_interval(spark, tmp_path):
+    store = EventStore(spark, str(tmp_path / "store"), fold_every=4, expire_hours=1)
+    plain = EventStore(spark, str(tmp_path / "plain"), fold_every=0)
+    for batch in range(6):
+        rows = spark.createDataFrame([(message(f"o{batch}", 10 * batch),)], "value string")
+        for s in (store, plain):
+            s.apply(flatten_all(parse(rows)), batch)
+    folds = {p.name for p in (tmp_path / "store" / "counters_folded").iterdir() if p.is_dir()}
+    assert folds == {"upto=3"} and not (tmp_path / "plain" / "counters_folded").exists()
+    assert counters(store.read("counters")) == counters(plain.read("counters"))
+    assert store.read("metrics").first() == plain.read("metrics").first()
+    newest = plain.read("latest")
+    assert store.read("latest").count() == measures.unexpired(newest, 1).count() <= newest.count()
+
+
+def test_counts_of_named_dimensions(spark, played):
+    flat = spark.read.parquet(f"{played.root}/events").where("is_valid")
+    full = counters(measures.dimension_counts(flat))
+    some = counters(measures.dimension_counts(flat, ["state", "status"]))
+    assert some == [c for c in full if c[0] in ("state", "status")] and some
