@@ -1,5 +1,7 @@
 """Quality rules and license scan against brute force."""
 
+import base64
+import random
 import re
 from collections import Counter
 
@@ -64,6 +66,48 @@ def test_bands_split_repetition_noise_and_prose(frame):
     assert not quality_rules.measured(frame([(3, noise)]), tight).first().kept
 
 
+def in_words(letters):
+    return " ".join(letters[i : i + 8] for i in range(0, len(letters), 8))
+
+
+def echoing(draw, n):
+    """Long lines that recur once with every third word changed: most 3-word windows are
+    unique, the bytes repeat."""
+    words = ["".join(draw.choices("abcdefghijklmnop", k=9)) for _ in range(n)]
+    return " ".join(w if i % 3 else "".join(draw.choices("qrst", k=3)) for _ in range(4) for i, w in enumerate(words))
+
+
+def test_default_bands_reject_noise_and_repetition(frame):
+    draw = random.Random(6)
+    rows = []
+    for size in (1_000, 3_000, 20_000, 100_000):
+        rows.append((len(rows), in_words(base64.b64encode(draw.randbytes(size)).decode())))
+    for size in (2_000, 3_000, 20_000, 100_000):
+        rows.append((len(rows), in_words(draw.randbytes(size).hex())))
+    for size in (60, 200, 2_000):
+        rows.append((len(rows), echoing(draw, size)))
+    for found in (quality_rules.measured(frame(rows)), quality_rules.measured(frame(rows), quality_rules.Bands())):
+        found = found.collect()
+        assert len(found) == len(rows) and not any(r.base_failed or r.kept for r in found)
+    assert quality_rules.keep_good(frame(rows)).collect() == []
+
+
+def test_bands_follow_the_documents(frame):
+    """Symbols behind every word, inside the outer limits: far from the other documents."""
+    draw = random.Random(7)
+    syllables = "an er the tion ou re st nd ing ly or ha es il um ak po vi du ge".split()
+
+    def prose(n, mark=str):
+        return " ".join("".join(draw.choices(syllables, k=draw.randint(1, 4))) + mark() for _ in range(n))
+
+    rows = [(i, prose(420)) for i in range(300)]
+    rows += [(300 + i, prose(280, lambda: draw.choice(["%%%", "$$$"]))) for i in range(20)]
+    alone = quality_rules.measured(frame(rows), quality_rules.Bands()).collect()
+    assert all(r.kept for r in alone)
+    kept = {r.doc_id for r in quality_rules.measured(frame(rows)).collect() if r.kept}
+    assert kept == set(range(300)) == {r.doc_id for r in quality_rules.keep_good(frame(rows)).collect()}
+
+
 def test_chunks_cover_the_text():
     for size in (0, 1, 4095, 4096, 4097, 6143, 6144, 20_000):
         raw = bytes(size)
