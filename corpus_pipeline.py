@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tamarind.llm import decontaminate, near_dedup, packing, quality_rules, toxicity
 from tamarind.llm.common import prepared, stored, table
 
+# Similarity of near-duplicates in percent; tests/llm/test_corpus_pipeline.py holds the
+# stage against all pairs at this threshold.
+NEAR_PERCENT = 85
+
 
 def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that weak supervision does not predict toxic."""
@@ -25,7 +29,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class."""
     prepared(spark)
-    return near_dedup.keep_one(docs)
+    return near_dedup.keep_one(docs, percent=NEAR_PERCENT)
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,7 +44,7 @@ def op7_greedy_string_tiling(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_bbit_minhash(spark: SparkSession, folder: str) -> DataFrame:
-    return near_dedup.linked(table(spark, folder, "documents"))
+    return near_dedup.linked(table(spark, folder, "documents"), percent=85)
 
 
 def op9_hierarchical_bayes(spark: SparkSession, folder: str) -> DataFrame:

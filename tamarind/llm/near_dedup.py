@@ -1,9 +1,11 @@
 """Near-duplicates by b-bit MinHash.
 
-Every text gets 125 minima over its distinct 5-word shingles. Bands of five minima bring
-candidates together; the low four bits of all minima are packed into 64 bytes, from which
-bit counts give a similarity corrected for chance collisions. Pairs whose estimate is far
-below the threshold are left; all others are confirmed on their full shingle sets.
+Every text gets minima over its distinct 5-word shingles (at 85 percent 125, at 80
+percent 175). Bands of five minima bring candidates together; the low four bits of all
+minima are packed (at 85 percent into 64 bytes), from which bit counts give a similarity
+corrected for chance collisions. Pairs whose estimate is far below the threshold are left;
+all others are confirmed on their full shingle sets. The number of bands and the least
+estimate follow from the threshold.
 
 How hot groups are met:
 
@@ -25,6 +27,7 @@ an id take part but cannot name a class that has an id.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -39,19 +42,40 @@ from tamarind.llm.graphs import components
 
 SHINGLE = 5
 PERCENT = 85
-BANDS, ROWS, BITS = 25, 5, 4
-HASHES = BANDS * ROWS
-SIGNATURE_BYTES = 64
-# Estimates vary by about 0.033 around the threshold: 4.5 times that below it is safe.
-LEAST_ESTIMATE = 0.70
+ROWS, BITS = 5, 4
+MISS = 1e-6
+SPREADS = 4.5
 BLOCK, PIVOTS = 256, 32
 REMEMBERED = 400_000
 
-_draw = np.random.default_rng(20_240_229)
-_A = _draw.integers(0, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)
-_B = _draw.integers(0, 1 << 32, HASHES, dtype=np.uint32)
-_PLACE = _draw.integers(0, 1 << 63, SHINGLE, dtype=np.uint64) | np.uint64(1)
-_BAND = _draw.integers(0, 1 << 63, (BANDS, ROWS), dtype=np.uint64) | np.uint64(1)
+
+def bands_at(percent: int) -> int:
+    """Bands, in fives, of which a pair at the threshold shares none with a chance below
+    ``MISS``."""
+    alike = (min(percent, 99) / 100) ** ROWS
+    return 5 * math.ceil(math.log(MISS) / math.log(1 - alike) / 5)
+
+
+def least_estimate(percent: int) -> float:
+    """The threshold less ``SPREADS`` times the spread of estimates around it."""
+    chance, hashes = 1 / (1 << BITS), bands_at(percent) * ROWS
+    agree = percent / 100 * (1 - chance) + chance
+    spread = math.sqrt(agree * (1 - agree) / hashes) / (1 - chance)
+    return math.floor(100 * (percent / 100 - SPREADS * spread)) / 100
+
+
+@lru_cache(maxsize=8)
+def _numbers(bands: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    draw = np.random.default_rng(20_240_229)
+    hashes = bands * ROWS
+    a = draw.integers(0, 1 << 32, hashes, dtype=np.uint32) | np.uint32(1)
+    b = draw.integers(0, 1 << 32, hashes, dtype=np.uint32)
+    place = draw.integers(0, 1 << 63, SHINGLE, dtype=np.uint64) | np.uint64(1)
+    band = draw.integers(0, 1 << 63, (bands, ROWS), dtype=np.uint64) | np.uint64(1)
+    return a, b, place, band
+
+
+_PLACE = _numbers(bands_at(PERCENT))[2]
 _NIBBLES = np.uint64(0x1111111111111111)
 
 
@@ -98,33 +122,35 @@ def shingles_of(words: list[bytes]) -> np.ndarray:
     return np.unique(mixed(total))
 
 
-def minima_of(shingles: np.ndarray, at_once: int = 20_000) -> np.ndarray:
-    low = np.full(HASHES, np.iinfo(np.uint32).max, np.uint32)
+def minima_of(shingles: np.ndarray, at_once: int = 20_000, percent: int = PERCENT) -> np.ndarray:
+    a, b, _, _ = _numbers(bands_at(percent))
+    low = np.full(len(a), np.iinfo(np.uint32).max, np.uint32)
     short = (shingles >> np.uint64(32)).astype(np.uint32)
     for start in range(0, len(short), at_once):
         part = short[start : start + at_once, None]
-        np.minimum(low, (part * _A + _B).min(axis=0), out=low)
+        np.minimum(low, (part * a + b).min(axis=0), out=low)
     return low
 
 
 def bands_of(minima: np.ndarray) -> np.ndarray:
-    keys = (minima.reshape(BANDS, ROWS).astype(np.uint64) * _BAND).sum(axis=1, dtype=np.uint64)
+    band = _numbers(len(minima) // ROWS)[3]
+    keys = (minima.reshape(-1, ROWS).astype(np.uint64) * band).sum(axis=1, dtype=np.uint64)
     return mixed(keys).view(np.int64)
 
 
 def signature_of(minima: np.ndarray) -> bytes:
-    """The low four bits of each minimum, two in a byte."""
-    bits = np.zeros(2 * SIGNATURE_BYTES, np.uint8)
-    bits[:HASHES] = minima & np.uint32(15)
+    """The low four bits of each minimum, two in a byte, filled up to whole 64-bit words."""
+    bits = np.zeros(16 * math.ceil(len(minima) / 16), np.uint8)
+    bits[: len(minima)] = minima & np.uint32(15)
     return (bits[0::2] << np.uint8(4) | bits[1::2]).tobytes()
 
 
-def estimates(one: np.ndarray, many: np.ndarray) -> np.ndarray:
-    """Similarities of one signature to many (8 words of 64 bits each), from the count of
+def estimates(one: np.ndarray, many: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Similarities of one signature to many (as words of 64 bits), from the count of
     different nibbles, corrected for nibbles that agree by chance."""
     x = many ^ one
     x = (x | x >> np.uint64(1) | x >> np.uint64(2) | x >> np.uint64(3)) & _NIBBLES
-    agree = 1 - np.bitwise_count(x).sum(axis=1) / HASHES
+    agree = 1 - np.bitwise_count(x).sum(axis=1) / (bands_at(percent) * ROWS)
     chance = 1 / (1 << BITS)
     return (agree - chance) / (1 - chance)
 
@@ -143,27 +169,28 @@ def _key(words: list[bytes]) -> tuple[int, int]:
     return tuple(np.frombuffer(digest, np.int64).tolist())
 
 
-def signer() -> Callable[[list], list[list]]:
+def signer(percent: int = PERCENT) -> Callable[[list], list[list]]:
     def one(text: str | None) -> tuple:
         words = words_of(text)
         if not words:
             return (None, None, 0, None, None)
         shingles = shingles_of(words)
-        minima = minima_of(shingles)
+        minima = minima_of(shingles, percent=percent)
         return (*_key(words), len(shingles), signature_of(minima), bands_of(minima))
 
     return lambda texts: list(map(list, zip(*map(one, texts)))) if texts else [[] for _ in SIGNED]
 
 
-def is_linked(a: np.ndarray, b: np.ndarray) -> bool:
+def is_linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     shared = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * shared >= PERCENT * (len(a) + len(b) - shared)
+    return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
 class Group:
     """Rows of one block: links between their classes, confirmed on full sets."""
 
-    def __init__(self, rows: list[dict]):
+    def __init__(self, rows: list[dict], percent: int = PERCENT):
+        self.percent, self.least = percent, least_estimate(percent)
         rows.sort(key=lambda r: (r["node"], r["probe"]))
         self.rows = rows
         self.signatures = np.frombuffer(b"".join(r["signature"] for r in rows), np.uint64).reshape(len(rows), -1)
@@ -189,10 +216,10 @@ class Group:
         for i in probes or bases.tolist():
             others = bases if probes else bases[bases > i]
             small, large = np.minimum(self.sizes[others], self.sizes[i]), np.maximum(self.sizes[others], self.sizes[i])
-            others = others[100 * small >= PERCENT * large]
+            others = others[100 * small >= self.percent * large]
             if len(others):
-                near = estimates(self.signatures[i], self.signatures[others])
-                found += [(-e, i, j) for e, j in zip(near.tolist(), others.tolist()) if e >= LEAST_ESTIMATE]
+                near = estimates(self.signatures[i], self.signatures[others], self.percent)
+                found += [(-e, i, j) for e, j in zip(near.tolist(), others.tolist()) if e >= self.least]
         return [(i, j) for _, i, j in sorted(found)]
 
     def links(self) -> list[tuple[int, int]]:
@@ -200,38 +227,42 @@ class Group:
         out = []
         for i, j in self.candidates():
             a, b = self.root(self.rows[i]["label"]), self.root(self.rows[j]["label"])
-            if a != b and is_linked(self.shingles(i), self.shingles(j)):
+            if a != b and is_linked(self.shingles(i), self.shingles(j), self.percent):
                 self.parent[max(a, b)] = min(a, b)
                 out.append((self.rows[i]["node"], self.rows[j]["node"]))
         return out
 
 
-def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _links(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Links within runs of rows that have the same group."""
-    held: list[dict] = []
 
-    def found(rows: list[dict]) -> Iterator[pa.RecordBatch]:
-        pairs = Group(rows).links() if len(rows) > 1 else []
-        if pairs:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*pairs)], names=["a", "b"])
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+
+        def found(rows: list[dict]) -> Iterator[pa.RecordBatch]:
+            pairs = Group(rows, percent).links() if len(rows) > 1 else []
+            if pairs:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*pairs)], names=["a", "b"])
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if held and held[-1]["part"] != row["part"]:
+                    yield from found(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield from found(held)
 
-    for batch in batches:
-        for row in batch.to_pylist():
-            if held and held[-1]["part"] != row["part"]:
-                yield from found(held)
-                held = []
-            held.append(row)
-    if held:
-        yield from found(held)
+    return links
 
 
 PARTS = ["node", "label", "probe", "signature", "n_shingles", "text"]
 
 
-def _linked(rows: DataFrame, *key: str) -> DataFrame:
+def _linked(rows: DataFrame, percent: int, *key: str) -> DataFrame:
     """Links (a, b) within the groups of the key columns, each in one run of one task."""
     rows = rows.select(*PARTS, F.concat_ws("/", *key).alias("part"))
-    return rows.repartition("part").sortWithinPartitions("part").mapInArrow(_links, "a bigint, b bigint")
+    return rows.repartition("part").sortWithinPartitions("part").mapInArrow(_links(percent), "a bigint, b bigint")
 
 
 def _cluster_rows(docs: DataFrame, nodes: DataFrame, clusters: DataFrame) -> DataFrame:
@@ -254,12 +285,12 @@ def _cluster_rows(docs: DataFrame, nodes: DataFrame, clusters: DataFrame) -> Dat
     return stored(rows.join(texts, same).drop("key_a", "key_b", "key_a2", "key_b2", "low_id"), "cluster_texts")
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, text_hash, n_shingles, component (null without
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """Classes of texts linked at ``percent`` similarity. One row per document: doc_id, text_hash, n_shingles, component (null without
     shingles), component_id (the smallest id in reach) and kept."""
     docs = texts_of(docs, id_col, text_col)
     signed = stored(
-        with_text_columns(docs.withColumn("text_hash", text_hash(F.col("text"))), SIGNED, signer), "signed"
+        with_text_columns(docs.withColumn("text_hash", text_hash(F.col("text"))), SIGNED, lambda: signer(percent)), "signed"
     )
     nodes = signed.where("n_shingles > 0").groupBy("key_a", "key_b")
     nodes = nodes.agg(
@@ -283,9 +314,9 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     every = F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)
     blocks = F.when((F.col("blocks") > 1) & pivot, every).otherwise(F.array(own))
     within = rows.withColumn("block", F.explode(blocks)).withColumn("label", F.col("node"))
-    links = stored(_linked(within.withColumn("probe", F.lit(False)), "cluster", "block"), "links")
+    links = stored(_linked(within.withColumn("probe", F.lit(False)), percent, "cluster", "block"), "links")
 
-    links = links.union(_rest(rows, links, own, every))
+    links = links.union(_rest(rows, links, own, every, percent))
     found = components(links)
     named_nodes = nodes.join(found, "node", "left")
     named_nodes = stored(
@@ -301,7 +332,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return out.select("doc_id", "text_hash", "n_shingles", "component", "component_id", kept.alias("kept"))
 
 
-def _rest(rows: DataFrame, links: DataFrame, own, every) -> DataFrame:
+def _rest(rows: DataFrame, links: DataFrame, own, every, percent: int) -> DataFrame:
     """Links between classes of clusters of several blocks that the blocks did not show:
     the nodes outside a cluster's largest class are compared with all its nodes."""
     large = rows.where("blocks > 1")
@@ -321,19 +352,19 @@ def _rest(rows: DataFrame, links: DataFrame, own, every) -> DataFrame:
     bases = labelled.withColumn("block", own).withColumn("probe_block", F.explode(probe_every))
     probes = labelled.where("label <> main").withColumn("block", F.explode(every)).withColumn("probe_block", probe_own)
     both = bases.withColumn("probe", F.lit(False)).union(probes.withColumn("probe", F.lit(True)))
-    return stored(_linked(both, "cluster", "block", "probe_block"), "links")
+    return stored(_linked(both, percent, "cluster", "block", "probe_block"), "links")
 
 
-def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per document with its class."""
-    return classes(docs, id_col, text_col).select("doc_id", "n_shingles", "component_id", "kept")
+    return classes(docs, id_col, text_col, percent).select("doc_id", "n_shingles", "component_id", "kept")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """The documents with one of each class left, all columns unchanged. Documents
     without shingles all stay. Where rows share the class's id, one text of it stays
     (that with the smallest hash), and of equal rows one."""
-    found = stored(classes(docs, id_col, text_col), "classes")
+    found = stored(classes(docs, id_col, text_col, percent), "classes")
     chosen = found.where("kept AND component IS NOT NULL").groupBy("component").agg(
         F.first("doc_id", ignorenulls=True).alias("found_id"), F.min("text_hash").alias("found_hash")
     )

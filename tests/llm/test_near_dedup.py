@@ -118,6 +118,30 @@ def test_minima_do_not_depend_on_parts():
     assert (near_dedup.minima_of(shingles) == near_dedup.minima_of(shingles, 7)).all()
 
 
+def test_thresholds(frame):
+    """At 80 percent the pairs between 0.80 and 0.85 are linked too."""
+    draw = random.Random(12)
+    rows = []
+    for i in range(150):
+        base = ["".join(draw.choices("abcdefgh", k=6)) for _ in range(draw.randint(48, 62))]
+        copy = [*base]
+        copy[draw.randrange(10, 40)] = "changed"
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(copy))]
+    sets = brute_sets(rows)
+    similar = {2 * i: len(a & b) / len(a | b) for i, (a, b) in enumerate(zip(sets[::2], sets[1::2]))}
+    for percent in (80, 85):
+        kept = {r.doc_id for r in near_dedup.keep_one(frame(rows), percent=percent).collect()}
+        assert kept == {i for i, _ in rows if i % 2 == 0 or 100 * similar[i - 1] < percent}
+    assert sum(0.80 <= x < 0.85 for x in similar.values()) > 50 and min(similar.values()) < 0.80
+
+
+def test_bands_and_estimates_follow_the_threshold():
+    assert near_dedup.bands_at(85) == 25 and near_dedup.least_estimate(85) == 0.70
+    for percent in (70, 80, 90, 99):
+        assert (1 - (percent / 100) ** near_dedup.ROWS) ** near_dedup.bands_at(percent) < near_dedup.MISS
+        assert near_dedup.least_estimate(percent) < percent / 100
+
+
 @pytest.mark.parametrize("at_once", [0, 40, 100_000])
 @pytest.mark.parametrize("shape", ["path", "star", "random", "none"])
 def test_components(spark, shape, at_once, monkeypatch):
