@@ -8,9 +8,10 @@ voters that fire together beyond what the class explains share their evidence. A
 classifier over the lexicon terms is then trained on the posterior labels.
 
 Held-out rows (crc32 of the id modulo 5 is 0) give no labels and no training rows.
-Labels, language, source and id are no inputs of a score. Fitted on at most about
-``FIT_ROWS`` labelled and as many unlabelled rows, chosen by a hash; counts of voter sets
-cover all documents, and every whole text is scored.
+Labels, language, source and id are no inputs of a score. Term counts cover all labelled
+rows that are not held out, counts of voter sets cover all documents, and every whole text
+is scored. Only the linear classifier is fitted on a share: about ``FIT_ROWS`` documents at
+most, chosen by a hash. Terms that none of them holds get the mean weight of their voter.
 
 Null and empty texts fire no voter and get the classifier's bias as score. Without usable
 labels the fixed list and the patterns are all there is. Repeated rows give repeated
@@ -33,7 +34,6 @@ from pyspark.sql import functions as F
 from tamarind.llm.common import named, rows_where, stored, texts_of, with_text_columns
 
 FIT_ROWS = 20_000
-MAX_TERMS = 2_000
 # A learned term needs this much evidence: toxic texts with it times its log odds.
 LEAST_EVIDENCE = 20.0
 LEAST_ODDS = 4.0
@@ -78,12 +78,12 @@ def _share(df: DataFrame, key: Column, rows: int) -> DataFrame:
 
 
 def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Texts with labels of a bounded share of the rows that may be learned from."""
+    """Texts with labels of all rows that may be learned from."""
     known = labels.select(named(labels, "doc_id").cast("bigint").alias("doc_id"), named(labels, "toxic").alias("toxic"))
     known = known.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    known = _share(known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")), F.col("doc_id"), FIT_ROWS)
-    # FIT_ROWS rows of two numbers: a bounded broadcast
-    return docs.join(F.broadcast(known), "doc_id").select("text", "toxic")
+    known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    # a merge join at every size: what is moved then grows with the input, not in a step
+    return docs.join(known.hint("merge"), "doc_id").select("text", "toxic")
 
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,7 +125,7 @@ def learned(docs: DataFrame, labels: DataFrame) -> Lexicon:
     odds = F.log((F.col("toxic") + 0.5) / (total.toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (total.clean + 1.0))
     found = counts.where("term <> ''").withColumn("odds", odds)
     found = found.where((F.col("odds") >= LEAST_ODDS) & (F.col("odds") * F.col("toxic") >= LEAST_EVIDENCE))
-    found = found.orderBy((F.col("odds") * F.col("toxic")).desc(), "term").limit(MAX_TERMS).select("term").collect()
+    found = found.orderBy((F.col("odds") * F.col("toxic")).desc(), "term").select("term").collect()
     fixed = set(INSULTS)
     return Lexicon(
         (*INSULTS, *(r.term for r in found if r.term not in fixed)), total.toxic / (total.toxic + total.clean)
@@ -248,6 +248,21 @@ def linear(hits: list[np.ndarray], target: np.ndarray, size: int, steps: int = 4
     return theta[:size], float(theta[size])
 
 
+def with_unseen(weights: np.ndarray, hits: list[np.ndarray], terms: tuple[str, ...]) -> np.ndarray:
+    """Terms in none of the rows get the mean weight of their voter's terms that are, or of
+    all terms that are."""
+    seen = np.bincount(np.concatenate([np.empty(0, np.int64), *hits]).astype(np.int64), minlength=len(terms)) > 0
+    if not seen.any() or seen.all():
+        return weights
+    voters = np.array(_voter_of(terms))
+    weights = weights.copy()
+    learned_terms = np.arange(len(terms)) >= len(INSULTS)
+    for voter in np.unique(voters[~seen & learned_terms]):
+        alike = seen & (voters == voter)
+        weights[~seen & (voters == voter)] = weights[alike if alike.any() else seen].mean()
+    return weights
+
+
 def fitted(found: DataFrame, lexicon: Lexicon) -> Classifier:
     """The classifier, from the stored features and voters of all documents."""
     # at most one row per set of voters
@@ -259,7 +274,7 @@ def fitted(found: DataFrame, lexicon: Lexicon) -> Classifier:
     rows = rows.select("hits", "votes").orderBy("votes", "hits").collect()
     hits = [np.array(r.hits, np.int64) for r in rows]
     weights, bias = linear(hits, np.array([posterior[r.votes] for r in rows]), len(lexicon.terms))
-    return Classifier(lexicon, weights, bias)
+    return Classifier(lexicon, with_unseen(weights, hits, lexicon.terms), bias)
 
 
 def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -60,6 +60,44 @@ def test_held_out_labels_teach_nothing(frame, spark, toxic_rows):
     assert a == b and "zugri*" in a.terms
 
 
+def test_terms_come_from_all_labels(frame, spark, toxic_rows, monkeypatch):
+    """However few rows the classifier is fitted on, and however many terms there are."""
+    rows, labels = toxic_rows
+    labels_df = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    docs = toxicity.texts_of(frame(rows))
+    whole = toxicity.learned(docs, labels_df)
+    monkeypatch.setattr(toxicity, "FIT_ROWS", 40)
+    assert toxicity.learned(docs, labels_df) == whole
+
+    draw = random.Random(8)
+    rare = ["q" + "".join(draw.choices("bcdfgjkmvwxz", k=7)) for _ in range(2_400)]
+    marked, given = [], []
+    for i in range(3_000):
+        words, toxic = prose(draw, 12), i < 600
+        if toxic:
+            words += [rare[(60 * i + k) % len(rare)] for k in range(60)]
+        marked.append((i, " ".join(words)))
+        given.append((i, 1, int(toxic)))
+    given_df = spark.createDataFrame(given, "doc_id long, quality int, toxic int")
+    lexicon = toxicity.learned(toxicity.texts_of(frame(marked)), given_df)
+    assert len(set(rare) & set(lexicon.terms)) > 2_000
+    # texts with one rare term only, which hardly any of 40 rows holds
+    alone = [(10_000 + i, " ".join([*prose(draw, 12), word])) for i, word in enumerate(rare[:300])]
+    found = toxicity.scored(frame(marked + alone), given_df).collect()
+    clean = [r.predicted for r in found if 600 <= r.doc_id < 3_000]
+    scores = [r.score for r in found if r.doc_id >= 10_000 and rare[r.doc_id - 10_000] in lexicon.terms]
+    assert sum(clean) == 0 and min(scores) > max(r.score for r in found if 600 <= r.doc_id < 3_000)
+
+
+def test_unseen_terms_get_their_voters_weight():
+    terms = (*toxicity.INSULTS, "aaaa", "bbbb", "cccc", "dddd", "eee*")
+    n, size = len(toxicity.INSULTS), len(toxicity.INSULTS) + 5
+    weights = np.zeros(size)
+    weights[[n, n + 4]] = 2.0, 3.0
+    found = toxicity.with_unseen(weights, [np.array([n]), np.array([n, n + 4])], terms)
+    assert found[n] == 2.0 and found[n + 4] == 3.0 and all(found[n + 1 : n + 4] > 0) and not found[:n].any()
+
+
 def test_toxicity_on_odd_rows(odd, empty, spark):
     labels = spark.createDataFrame([(1, 1, 0), (1, 1, 1), (None, 1, 1), (4, None, None)], "doc_id long, quality int, toxic int")
     rows = toxicity.scored(odd, labels).collect()
