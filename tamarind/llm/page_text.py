@@ -10,16 +10,20 @@ Paragraphs, headings, lists and tables of a named article are never counted as t
 an article that was copied to many pages stays whole. A host's templates are at most the
 mean number of subtrees of a page divided by ``SHARE``, so they travel as one list.
 
+Pages of a host with the same text outside marked elements are copies: they count as one
+page, so that copies are no evidence of a template. Only inside a named article, where
+nothing but what is no prose can be template, copies count as pages of their own. A subtree
+that holds all of a page's text is never deleted.
+
 Null and empty html give an empty text. A null or malformed url is one host of its own.
 Unclosed and stray tags are mended as browsers do, in one pass, whatever the depth.
-Repeated pages count as pages of their own.
 """
 
 from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from functools import lru_cache
 from html.parser import HTMLParser
 
@@ -209,12 +213,8 @@ def subtrees(page: Page) -> dict[int, int]:
     return found
 
 
-def main_text(html: str | None, templates: set[int] = frozenset()) -> str:
-    """The page's main text without the given templates."""
-    if not html:
-        return ""
-    page = parsed(html)
-    deleted = {at for at, h in subtrees(page).items() if h in templates} if templates else ()
+def _text(page: Page, deleted: Collection[int] = ()) -> str:
+    """The page's main text without marked elements and the given subtrees."""
     out: list[str] = []
     for start, stop in _main_parts(page) or [(0, len(page.items))]:
         at = start
@@ -233,19 +233,58 @@ def main_text(html: str | None, templates: set[int] = frozenset()) -> str:
     return " ".join("".join(out).split())
 
 
+def _without_whole(page: Page, deleted: set[int]) -> set[int]:
+    """The places less those whose subtree holds all main text that is not marked."""
+    places = []
+    for start, stop in _main_parts(page) or [(0, len(page.items))]:
+        at = start
+        while at < stop:
+            kind, value, dropped, _ = page.items[at]
+            if kind == OPEN and dropped:
+                at = page.end[at]
+                continue
+            if kind == TEXT and value.strip():
+                places.append(at)
+            at += 1
+    return {at for at in deleted if not places or places[0] < at or places[-1] >= page.end[at]}
+
+
+def main_text(html: str | None, templates: set[int] = frozenset()) -> str:
+    """The page's main text without the given templates."""
+    if not html:
+        return ""
+    page = parsed(html)
+    if not templates:
+        return _text(page)
+    return _text(page, _without_whole(page, {at for at, h in subtrees(page).items() if h in templates}))
+
+
 def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The subtrees of each page beside a hash of its text, once more without that hash if
+    they are inside a named main part, and the same for the page itself without subtree."""
+    schema = pa.schema([("host", pa.string()), ("hash", pa.int64()), ("page", pa.int64())])
     for batch in batches:
         for part in byte_slices(batch, "html"):
-            hosts, hashes = [], []
+            hosts, hashes, pages = [], [], []
             for host, html in zip(part.column("host").to_pylist(), part.column("html").to_pylist()):
-                found = set(subtrees(parsed(html)).values()) if html else ()
-                hosts += [host] * len(found)
-                hashes += found
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())], names=["host", "hash"])
+                page = parsed(html or "")
+                text = xxhash.xxh64_digest(_text(page).encode("utf-8", "replace"))
+                parts, found = _main_parts(page), subtrees(page)
+                every = [None, *set(found.values())]
+                inside = [None, *{h for at, h in found.items() if _within(parts, at)}]
+                hosts += [host] * (len(every) + len(inside))
+                hashes += every + inside
+                pages += [int.from_bytes(text, signed=True)] * len(every) + [None] * len(inside)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((hosts, hashes, pages), schema.types)], schema=schema)
+
+
+def _within(parts: list[tuple[int, int]], at: int) -> bool:
+    later = bisect_left(parts, (at,))
+    return later > 0 and at < parts[later - 1][1]
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,11 +300,18 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def templates(pages: DataFrame, share: float = SHARE, least: int = LEAST_PAGES) -> DataFrame:
-    """(host, templates): the hashes of the subtrees that recur on many pages of a host."""
-    counts = pages.select("host", "html").mapInArrow(_hashes, "host string, hash bigint")
-    counts = counts.groupBy("host", "hash").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    hosts = pages.groupBy("host").agg(F.count("*").alias("pages"))
-    found = counts.join(hosts, "host").where(F.col("n") >= share * F.col("pages"))
+    """(host, templates): the hashes of the subtrees that recur on many pages of a host.
+    Copies of a page count once, but for what is inside a named main part."""
+    found = pages.select("host", "html").mapInArrow(_hashes, "host string, hash bigint, page bigint")
+    found = found.groupBy("host", "hash", "page").agg(F.count("*").alias("n"))
+    copies = F.max(F.when(F.col("page").isNull(), F.col("n")))
+    counts = found.groupBy("host", "hash").agg(F.count("page").alias("n"), F.coalesce(copies, F.lit(0)).alias("n_inside"))
+    enough = F.greatest("n", "n_inside") >= least
+    counts = stored(counts.where(enough | F.col("hash").isNull()), "subtrees")
+    hosts = counts.where("hash IS NULL").select("host", F.col("n").alias("pages"), F.col("n_inside").alias("rows"))
+    recurs = (F.col("n") >= least) & (F.col("n") >= share * F.col("pages"))
+    recurs_inside = (F.col("n_inside") >= least) & (F.col("n_inside") >= share * F.col("rows"))
+    found = counts.where("hash IS NOT NULL").join(hosts, "host").where(recurs | recurs_inside)
     return found.groupBy("host").agg(F.collect_list("hash").alias("templates"))
 
 

@@ -65,6 +65,24 @@ def test_copied_articles_stay(spark):
     assert {r.text for r in page_text.extracted(spark.createDataFrame(rows, SCHEMA)).collect()} == {"T the same article"}
 
 
+def test_copied_pages_without_article_stay(spark):
+    rows, texts = site(30)
+    copy = "<body><div><div>Home</div><div>About us</div></div><div><p>the same page many times</p></div><div>All about us</div></body>"
+    # copies differ in what is no text, and some have no url
+    copies = [(100 + i, f"https://hot.example/c{i}", f"<!-- {i} --><script>{i}</script>{copy}") for i in range(40)]
+    copies += [(200 + i, None, copy) for i in range(20)]
+    found = {r.page_id: r.text for r in page_text.extracted(spark.createDataFrame(rows + copies, SCHEMA)).collect()}
+    assert [found[i] for i in range(len(rows))] == texts
+    assert all(found[100 + i] == "the same page many times" for i in range(40))
+    assert all("the same page many times" in found[200 + i] for i in range(20))
+
+
+def test_subtree_with_all_text_stays():
+    source = "<body><nav>menu</nav><div><div>all there is</div></div></body>"
+    page = page_text.parsed(source)
+    assert page_text.main_text(source, set(page_text.subtrees(page).values())) == "all there is"
+
+
 def test_odd_pages(spark):
     rows = [(1, None, None), (1, None, None), (None, "no url", ""), (2, "http://[bad", "<p>x"), (3, "HTTP://u@H.example:8/", "y" * 200_000)]
     df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "'clash' AS host", "'clash' AS text", "1 AS `a.b`")
