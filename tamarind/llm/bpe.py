@@ -8,8 +8,8 @@ rank, leftmost first, until no pair is a token; ranks of pairs come from the sam
 
 Texts are worked on in blocks that end where a white space follows another character:
 no match of the pattern reaches over such a place, so blocks bound the memory of very
-long texts and change no id. What is remembered between blocks are the ids of pre-tokens
-of the second tier, up to a bounded number.
+long texts and change no id. The ids of resolved pre-tokens are remembered from block to
+block, up to a bounded number; those beyond it are resolved again.
 
 Null counts as empty, and an empty text has no ids. One row per input row, also for
 repeated rows and null ids; other columns are ignored. An empty table gives no rows.
@@ -21,8 +21,10 @@ from __future__ import annotations
 import base64
 import heapq
 import os
+from collections import ChainMap
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import regex
@@ -34,8 +36,8 @@ from tamarind.llm.common import texts_of, with_text_columns
 from tamarind.llm.tokens import place_of
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-BLOCK = 1 << 18
-REMEMBERED = 400_000
+BLOCK = 1 << 20
+REMEMBERED = 700_000
 
 # Letters and numbers that Unicode got after version 16.0, the version of
 # the library whose results are matched. There they are neither letters nor numbers.
@@ -72,6 +74,7 @@ class PerfectHash:
 
     PER_BUCKET = 3
     TRIES = 256  # at once
+    FILTER_BITS = 20
     STEP, MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 
     def __init__(self, keys: list[bytes]):
@@ -134,57 +137,66 @@ class PerfectHash:
         same = np.fromiter((n >= 0 and own[n] == k for n, k in zip(number.tolist(), keys)), bool, len(keys))
         return np.where(same, number, -1)
 
-    def plain(self) -> Callable[[bytes], int]:
-        """The same for one key at a time."""
-        shifts, key_at, keys = self.shift.tolist(), self.key_at.tolist(), self.keys
-        seed, buckets, size, hashed = self.seed, self.buckets, self.size, xxhash.xxh3_64_intdigest
-        step, mix, low = self.STEP, self.MIX, (1 << 64) - 1
+    def plain(self, values: list[int]) -> Callable[[bytes], int]:
+        """Value of one key at a time, -1 for what is no key. A bit table answers for
+        most of those before a slot is computed."""
+        shifts, seed, buckets, size, longest = self.shift.tolist(), self.seed, self.buckets, self.size, 0
+        slot_key: list[bytes | None] = [None] * size
+        slot_value = [-1] * size
+        maybe = bytearray(1 << self.FILTER_BITS)
+        step, mix, low, part = self.STEP, self.MIX, (1 << 64) - 1, (1 << self.FILTER_BITS) - 1
+        hashed = xxhash.xxh3_64_intdigest
+        for slot, number in enumerate(self.key_at.tolist()):
+            if number >= 0:
+                key = self.keys[number]
+                slot_key[slot], slot_value[slot], longest = key, values[number], max(longest, len(key))
+                maybe[hashed(key, seed) & part] = 1
 
         def one(key: bytes) -> int:
             h = hashed(key, seed)
+            if not maybe[h & part] or len(key) > longest:
+                return -1
             shift = shifts[(h ^ (h >> 29)) % buckets]
             slot = -1 - shift if shift < 0 else (((h ^ (shift * step & low)) * mix & low) >> 32) % size
-            number = key_at[slot]
-            return number if number >= 0 and keys[number] == key else -1
+            return slot_value[slot] if slot_key[slot] == key else -1
 
         return one
 
 
-def merged(piece: bytes, rank_of: Callable[[bytes], int]) -> list[int]:
+def merged(piece: bytes, rank_of: Callable[[bytes], int], byte_rank: list[int], pair_rank: list[int]) -> list[int]:
     """Ranks of a piece after all merges: lowest rank first, leftmost among equal ones.
 
-    The bytes form a linked list by start; ``end`` of a removed part is 0. An entry of
-    the heap holds for the pair only while both parts end where they did.
+    The bytes form a linked list by start (``end``, ``before``). The heap holds rank and
+    start of a pair in one number; an entry counts only while ``offered`` still has that
+    rank at that start. The two tables answer for single bytes and pairs of them.
     """
     size = len(piece)
-    end = list(range(1, size + 1))
-    before = list(range(-1, size - 1))
-    heap: list[tuple[int, int, int, int]] = []
-
-    def offer(left: int) -> None:
-        middle = end[left]
-        if middle < size and (rank := rank_of(piece[left : end[middle]])) >= 0:
-            heapq.heappush(heap, (rank, left, middle, end[middle]))
-
-    for start in range(size - 1):
-        offer(start)
+    end, before = list(range(1, size + 1)), list(range(-1, size - 1))
+    rank = [byte_rank[b] for b in piece]
+    offered = [pair_rank[a << 8 | b] for a, b in zip(piece, piece[1:])]
+    heap = [r * size + i for i, r in enumerate(offered) if r >= 0]
+    heapq.heapify(heap)
+    push, pop = heapq.heappush, heapq.heappop
     while heap:
-        _, left, middle, stop = heapq.heappop(heap)
-        if end[left] != middle or end[middle] != stop:
+        best, left = divmod(pop(heap), size)
+        if offered[left] != best:
             continue
-        end[left], end[middle] = stop, 0
+        middle = end[left]
+        stop = end[middle]
+        rank[left], end[left], rank[middle], offered[left] = best, stop, -1, -1
+        if middle < size - 1:
+            offered[middle] = -1
         if stop < size:
             before[stop] = left
-        offer(left)
+            offered[left] = r = rank_of(piece[left : end[stop]])
+            if r >= 0:
+                push(heap, r * size + left)
         if left:
-            offer(before[left])
-    ranks, at = [], 0
-    while at < size:
-        ranks.append(rank_of(piece[at : end[at]]))
-        at = end[at]
-    if -1 in ranks:
-        raise ValueError("the vocabulary lacks a single byte")
-    return ranks
+            at = before[left]
+            offered[at] = r = rank_of(piece[at:stop])
+            if r >= 0:
+                push(heap, r * size + at)
+    return [r for r in rank if r >= 0]
 
 
 class Ranks:
@@ -199,33 +211,35 @@ class Ranks:
         self.by_rank = dict(zip(ranks, self.tokens))
         self.hash = PerfectHash(self.tokens)
         self.rank_at = np.asarray([*ranks, -1], np.int64)  # the last entry answers for -1
-        one, rank_at = self.hash.plain(), self.rank_at.tolist()
-        self.rank_of = lambda key: rank_at[one(key)]
+        self.rank_of = self.hash.plain(ranks)
+        self.byte_rank = [self.rank_of(bytes((b,))) for b in range(256)]
+        if -1 in self.byte_rank:
+            raise ValueError(f"{vocabulary} lacks a single byte")
+        self.pair_rank = [self.rank_of(bytes((a, b))) for a in range(256) for b in range(256)]
+        self.packed = {r: int(r).to_bytes(4, "little") for r in ranks}
         pattern = pattern or public_pattern()
         self.cut = regex.compile(pattern).findall
         known = pattern.replace(r"\p{L}", rf"[\p{{L}}--[{NEWER_LETTERS}]]")
         self.cut_newer = regex.compile(known.replace(r"\p{N}", rf"[\p{{N}}--[{NEWER_NUMBERS}]]"), regex.V1).findall
-        self.newer = regex.compile(f"[{NEWER_LETTERS}{NEWER_NUMBERS}]").search
+        self.is_newer = np.zeros(0x110000, bool)
+        for char in regex.findall(f"[{NEWER_LETTERS}{NEWER_NUMBERS}]", "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))):
+            self.is_newer[ord(char)] = True
         self.limit, self.known = limit, {}
 
     def pre_tokens(self, text: str) -> list[str]:
-        return self.cut(text) if text.isascii() or not self.newer(text) else self.cut_newer(text)
-
-    def _ids(self, pieces: list[str]) -> dict[str, bytes]:
-        """Little-endian 32-bit ids of different pre-tokens."""
-        known = self.known
-        new = [p for p in pieces if p not in known]
-        raw = [p.encode() for p in new]
+        if text.isascii() or not self.is_newer[np.frombuffer(text.encode("utf-32-le"), "<u4")].any():
+            return self.cut(text)
+        return self.cut_newer(text)
+
+    def _resolve(self, pieces: list[str]) -> dict[str, bytes]:
+        """Little-endian 32-bit ids of different pre-tokens: the hash for all at once, the
+        heap for each of the others."""
+        packed, raw = self.packed, [p.encode() for p in pieces]
         found = self.rank_at[self.hash.find(raw)]
-        packed = found.astype("<u4").tobytes()
-        ids = {p: packed[4 * i : 4 * i + 4] for i, p in enumerate(new)}
+        ids = {p: packed[r] for p, r in zip(pieces, found.tolist()) if r >= 0}
         for i in np.flatnonzero(found < 0).tolist():
-            ids[new[i]] = np.asarray(merged(raw[i], self.rank_of), "<u4").tobytes()
-            if len(known) < self.limit:
-                known[new[i]] = ids[new[i]]
-        for p in pieces:
-            if p not in ids:
-                ids[p] = known[p]
+            ranks_of = merged(raw[i], self.rank_of, self.byte_rank, self.pair_rank)
+            ids[pieces[i]] = b"".join([packed[r] for r in ranks_of])
         return ids
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -235,11 +249,13 @@ class Ranks:
         held = 0
 
         def flush() -> None:
-            if block:
-                ids = self._ids(list(dict.fromkeys(p for _, pieces in block for p in pieces)))
-                for at, pieces in block:
-                    out[at].append(b"".join(map(ids.__getitem__, pieces)))
-                block.clear()
+            known = self.known
+            ids = self._resolve([*set().union(*(pieces for _, pieces in block)).difference(known)])
+            known.update(islice(ids.items(), max(self.limit - len(known), 0)))
+            look_up = (known if len(known) < self.limit else ChainMap(ids, known)).__getitem__
+            for at, pieces in block:
+                out[at].append(b"".join(map(look_up, pieces)))
+            block.clear()
 
         for at, text in enumerate(texts):
             for part in blocks(text or ""):

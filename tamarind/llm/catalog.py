@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tamarind.llm import decontaminate, licenses, near_dedup, packing, page_text, quality_rules, sharding, site_quality, token_counts, toxicity
+from tamarind.llm import bpe, decontaminate, licenses, near_dedup, packing, page_text, quality_rules, sharding, site_quality, token_counts, toxicity
 from tamarind.llm.common import table
 
 
@@ -55,6 +55,10 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.counted(table(spark, folder, "documents"))
 
 
+def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.round_trip(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_bbit_minhash,
         op9_hierarchical_bayes,
         op10_token_counts,
+        op11_byte_bpe,
     )
 }
 SQL: dict[str, str] = {}
