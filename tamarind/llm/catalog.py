@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tamarind.llm import bpe, decontaminate, licenses, near_dedup, packing, page_text, quality_rules, sharding, site_quality, token_counts, toxicity
+from tamarind.llm import bpe, decontaminate, licenses, near_dedup, packing, page_text, quality_rules, resampling, sharding, site_quality, token_counts, toxicity
 from tamarind.llm.common import table
 
 
@@ -59,6 +59,10 @@ def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(table(spark, folder, "documents"))
 
 
+def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -73,6 +77,56 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_hierarchical_bayes,
         op10_token_counts,
         op11_byte_bpe,
+        op12_importance_resampling,
     )
 }
-SQL: dict[str, str] = {}
+# CRC-32 of each distinct word: a table of what a byte does, then one fold over the bytes.
+RESAMPLING_SQL = r"""
+WITH crc AS (
+  SELECT list(c ORDER BY i) AS t
+  FROM (SELECT i, list_reduce(list_concat([i], range(8)), lambda c, k: CASE WHEN c % 2 = 1
+                  THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))
+),
+docs AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+words AS (
+  SELECT r, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
+  FROM (SELECT r, text FROM docs UNION ALL SELECT NULL, text FROM benchmark)
+),
+counted AS (SELECT r, w, count(*) AS n FROM words GROUP BY r, w),
+hexed AS (SELECT w, hex(encode(w)) AS h FROM (SELECT DISTINCT w FROM words)),
+bucketed AS (
+  SELECT w, xor(4294967295, list_reduce(list_concat([4294967295],
+         list_transform(range(1, length(h), 2), lambda j: ('0x' || substr(h, j, 2))::BIGINT)),
+         lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 10000 AS bucket
+  FROM hexed, crc
+),
+shares AS (
+  SELECT bucket, coalesce(sum(n) FILTER (r IS NOT NULL), 0) AS s, coalesce(sum(n) FILTER (r IS NULL), 0) AS t
+  FROM counted JOIN bucketed USING (w) GROUP BY bucket
+),
+totals AS (SELECT coalesce(sum(s), 0) AS all_s, coalesce(sum(t), 0) AS all_t FROM shares),
+gains AS (
+  SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * (all_s + 10000)::DOUBLE)
+         / ((s + 1)::DOUBLE * (all_t + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM shares, totals
+),
+weights AS (
+  SELECT r, sum(n)::BIGINT AS n_features, floor(sum(n * gain)::DOUBLE / sum(n)::DOUBLE)::BIGINT AS weight
+  FROM counted JOIN bucketed USING (w) JOIN gains USING (bucket) WHERE r IS NOT NULL GROUP BY r
+),
+scored AS (
+  SELECT r, doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT
+         + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM docs LEFT JOIN weights USING (r)
+),
+placed AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS place, 10 * count(*) OVER () // 100 AS wanted
+  FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= wanted THEN place END AS rank
+FROM scored LEFT JOIN placed USING (r)
+"""
+
+SQL: dict[str, str] = {"op12_importance_resampling": RESAMPLING_SQL}
