@@ -1,12 +1,18 @@
 """Global order without a single-task window.
 
 ``row_number() over (order by ...)`` moves the table to one task, and a lag over a
-hot key moves that key's rows to one task. Both only need *neighbours* and
-*offsets*, so the rows are range-partitioned on a total order and frozen by a
-reliable checkpoint; what crosses a partition border is one row per partition.
-
-The checkpoint matters: range borders are sampled, and an offset is only valid
-for the very partitions it was counted on, also after an executor is lost.
+hot key moves that key's rows to one task. Both only need *neighbours* and *offsets*.
+
+Surrogate keys are numbered on the *key table*: only the distinct natural keys are
+range-partitioned, sorted and stored, with their number of rows; prefix sums over the
+partitions' totals turn places into global numbers, which are joined back to the rows.
+Wide rows are never sorted and never written.
+
+Where rows themselves have to be in order (a lag, the copies of a hot key), they are
+range-partitioned on a total order and frozen by a reliable checkpoint. The checkpoint
+matters: range borders are sampled, and an offset is only valid for the very partitions
+it was counted on, also after an executor is lost. What crosses a partition border is
+one row per partition.
 """
 
 from __future__ import annotations
@@ -16,7 +22,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tamarind.session import ready_for_checkpoints
+from tamarind.operators.joins import attach
+from tamarind.session import ready_for_checkpoints, stored
 
 # monotonically_increasing_id() puts the partition number above this bit and the
 # position within the partition below it.
@@ -48,22 +55,86 @@ def _position() -> Column:
     return F.col(_AT) - F.shiftleft(F.col(_PART), _POSITION_BITS)
 
 
-def dense_key(df: DataFrame, order: Sequence[str], name: str, *, distinct: bool = False) -> DataFrame:
-    """Add ``name``: 1..n without gaps, in the order of the natural key. Pass
-    ``distinct`` when no row is a full copy of another, as in keyed tables.
+# Partitions whose totals one task sums up; the sums of so many go to the next level.
+_FAN_IN = 1_000
+# More rows of one key than this are numbered by ranges of rows instead of in one task.
+ROWS_PER_KEY = 1_000_000
+_N, _FIRST, _OWN = "__n", "__first", "__own"
+
+
+def _starts(totals: DataFrame) -> DataFrame:
+    """Rows before each partition, from (__part, __n): sums of groups of partitions first,
+    so that no task adds up more than ``_FAN_IN`` partitions or their groups' sums."""
+    grouped = totals.withColumn("__group", F.floor(F.col(_PART) / _FAN_IN))
+    groups = grouped.groupBy("__group").agg(F.sum(_N).alias("__all"))
+    before = Window.orderBy("__group").rowsBetween(Window.unboundedPreceding, -1)
+    bases = groups.select("__group", F.coalesce(F.sum("__all").over(before), F.lit(0)).alias("__base"))
+    within = Window.partitionBy("__group").orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    local = grouped.withColumn("__local", F.coalesce(F.sum(_N).over(within), F.lit(0)))
+    return local.join(bases, "__group").select(_PART, (F.col("__base") + F.col("__local")).alias("__offset"))
+
+
+def _placed(keys: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Distinct keys in global order, stored with their partition and place in it."""
+    laid = keys.repartitionByRange(*order).sortWithinPartitions(*order)
+    laid = laid.withColumn(_AT, F.monotonically_increasing_id())
+    return stored(laid, "keys").withColumn(_PART, F.shiftright(F.col(_AT), _POSITION_BITS))
+
+
+def number_keys(keys: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """The distinct keys with ``name``: 1..n without gaps, in their order."""
+    placed = _placed(keys.select(*order), order)
+    starts = _starts(placed.groupBy(_PART).agg(F.count("*").alias(_N)))
+    number = F.col("__offset") + _position() + 1
+    return placed.join(starts, _PART).select(*order, number.cast("long").alias(name))
+
 
-    Per-partition row counts become offsets; they number one row per partition,
-    which is what bounds the broadcast.
+def dense_key_of(df: DataFrame, order: Sequence[str], name: str, source: DataFrame | None = None) -> DataFrame:
+    """Add ``name``: 1..n in the order of a natural key that is unique in ``df``.
+
+    ``source`` may name a stored frame with the same keys, one row each; then what ``df``
+    is made of is not computed for the numbering.
     """
-    rows = _frozen(df, order, distinct)
-    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        rows.groupBy(_PART)
-        .agg(F.count("*").alias("__n"))
-        .select(_PART, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
-    )
-    keyed = rows.join(F.broadcast(offsets), _PART)
-    return keyed.select((F.col("__offset") + _position() + 1).cast("long").alias(name), *df.columns)
+    numbers = number_keys(source if source is not None else df, order, name)
+    return attach(df, numbers, order, null_safe=True).select(name, *df.columns)
+
+
+def dense_key(
+    df: DataFrame, order: Sequence[str], name: str, *, distinct: bool = False, rows_per_key: int = ROWS_PER_KEY
+) -> DataFrame:
+    """Add ``name``: 1..n without gaps, in the order of ``order``, then of all other
+    columns. Pass ``distinct`` when no row is a full copy of another.
+
+    The key table holds the rows per key; a key's rows are numbered among themselves next
+    to it. Keys of more than ``rows_per_key`` rows are numbered by ranges of their rows.
+    """
+    order = list(order)
+    rest = [c for c in df.columns if c not in order]
+    placed = _placed(df.groupBy(*order).agg(F.count("*").alias(_N)), order)
+    before = Window.partitionBy(_PART).orderBy(_AT).rowsBetween(Window.unboundedPreceding, -1)
+    starts = _starts(placed.groupBy(_PART).agg(F.sum(_N).alias(_N)))
+    keys = placed.withColumn(_FIRST, F.coalesce(F.sum(_N).over(before), F.lit(0))).join(starts, _PART)
+    keys = keys.select(*order, _N, (F.col("__offset") + F.col(_FIRST)).alias(_FIRST))
+    among = Window.partitionBy(*order).orderBy(*(rest or order))
+    upto = among.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = (F.col(_FIRST) + F.count(F.lit(1)).over(upto)).cast("long").alias(name)
+    if placed.where(F.col(_N) > rows_per_key).isEmpty():
+        return attach(df, keys.drop(_N), order, null_safe=True).select(found, *df.columns)
+    joined = attach(df, keys, order, null_safe=True)
+    cold = joined.where(F.col(_N) <= rows_per_key).select(found, *df.columns)
+    hot = joined.where(F.col(_N) > rows_per_key).drop(_N)
+    return cold.unionAll(_by_ranges(hot, order, name, distinct).select(name, *df.columns))
+
+
+def _by_ranges(rows: DataFrame, order: list[str], name: str, distinct: bool) -> DataFrame:
+    """Numbers of rows of hot keys. Among themselves they are numbered by range; a key's
+    first such number leads back to the key's own first number."""
+    frozen = _frozen(rows, order, distinct)
+    starts = _starts(frozen.groupBy(_PART).agg(F.count("*").alias(_N)))
+    numbered = frozen.join(starts, _PART).withColumn(_OWN, F.col("__offset") + _position())
+    firsts = numbered.groupBy(*order).agg(F.min(_OWN).alias("__least"))
+    both = attach(numbered, firsts, order, null_safe=True)
+    return both.withColumn(name, (F.col(_FIRST) + F.col(_OWN) - F.col("__least") + 1).cast("long"))
 
 
 def ordered_lag(
@@ -86,9 +157,7 @@ def ordered_lag(
     )
     tails = rows.groupBy(_PART).agg(F.max_by(carried, F.col(_AT)).alias("__tail"))
     borders = tails.select(_PART, F.lag("__tail").over(Window.orderBy(_PART)).alias("__border"))
-    bordered = rows.withColumns({new: F.lag(c).over(inner) for new, c in lagged.items()}).join(
-        F.broadcast(borders), _PART
-    )
+    bordered = rows.withColumns({new: F.lag(c).over(inner) for new, c in lagged.items()}).join(borders, _PART)
     continues = (_position() == 0) & F.col("__border.key").eqNullSafe(F.struct(*keys))
     return bordered.select(
         *df.columns,

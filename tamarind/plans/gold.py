@@ -18,9 +18,10 @@ from tamarind.plans.silver import stamped
 _AUDIT = ("source_system", "transformation_version")
 
 
-def dense_key(df: DataFrame, order: list[str], name: str) -> DataFrame:
-    """Surrogate key of a table that has a natural key, hence no copies."""
-    return ranged.dense_key(df, order, name, distinct=True)
+def dense_key(df: DataFrame, order: list[str], name: str, source: DataFrame | None = None) -> DataFrame:
+    """Surrogate key of a table with a unique natural key (D01). ``source`` is the stored
+    table that the rows come from, one for one."""
+    return ranged.dense_key_of(df, order, name, source)
 
 
 def calendar_bounds(*dates: tuple[DataFrame, str]) -> DataFrame:
@@ -95,7 +96,7 @@ def sentiment_dimension(reviews: DataFrame) -> DataFrame:
 
 def payment_type_dimension(sales: DataFrame) -> DataFrame:
     types = sales.select("payment_type", "payment_type_category", "installment_flag").distinct()
-    return dense_key(stamped(types), ["payment_type", "installment_flag"], "payment_type_sk")
+    return dense_key(stamped(types), ["payment_type", "installment_flag", "payment_type_category"], "payment_type_sk")
 
 
 def order_sales_fact(
@@ -115,7 +116,7 @@ def order_sales_fact(
         "product_volume_cm3", "seller_item_count_in_order", "total_payment_installments", "installment_flag",
         "high_ticket_order_flag", rule.is_high_freight("freight_ratio").alias("high_freight_item_flag"), *_AUDIT,
     )
-    return dense_key(fact, ["order_id", "order_item_id"], "sales_fact_sk")
+    return dense_key(fact, ["order_id", "order_item_id"], "sales_fact_sk", sales)
 
 
 def order_delivery_fact(
@@ -142,7 +143,7 @@ def order_delivery_fact(
         (F.col("days_diff_estimated") <= 0).alias("on_time_delivery_flag"),
         (F.col("days_diff_estimated") > 0).alias("late_delivery_flag"), *_AUDIT,
     )
-    return dense_key(fact, ["order_id"], "delivery_fact_sk")
+    return dense_key(fact, ["order_id"], "delivery_fact_sk", delivery)
 
 
 def customer_reviews_fact(reviews: DataFrame, sellers: DataFrame, sentiments: DataFrame) -> DataFrame:
@@ -159,7 +160,7 @@ def customer_reviews_fact(reviews: DataFrame, sellers: DataFrame, sentiments: Da
         (F.col("review_score") == 5).alias("excellent_rating_flag"), "is_multi_seller_order", "sentiment_category",
         "delivery_experience_segment", "delivery_status_category", "distance_bucket", *_AUDIT,
     )
-    return dense_key(fact, ["review_id", "order_id"], "review_fact_sk")
+    return dense_key(fact, ["review_id", "order_id"], "review_fact_sk", reviews)
 
 
 def seller_fulfillment_fact(fulfillment: DataFrame, sellers: DataFrame, products: DataFrame) -> DataFrame:
@@ -174,4 +175,4 @@ def seller_fulfillment_fact(fulfillment: DataFrame, sellers: DataFrame, products
         rule.is_high_freight("freight_ratio", inclusive=True).alias("high_freight_item_flag"), "acquisition_source",
         *_AUDIT,
     )
-    return dense_key(fact, ["order_id", "order_item_id"], "fulfillment_fact_sk")
+    return dense_key(fact, ["order_id", "order_item_id"], "fulfillment_fact_sk", fulfillment)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings that keep shuffles adaptive: partition counts are chosen from
 # measured sizes, hot join partitions are split even when that costs a shuffle.
@@ -80,3 +80,12 @@ def ready_for_checkpoints(spark: SparkSession) -> None:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a table in the shared scratch folder: computed once, lineage cut.
+    What a table remembers of its rows' places (a running number, a task's number) stays
+    as it was written, also when executors are lost."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -101,9 +101,35 @@ def test_copies_are_spread_and_numbered(spark):
     assert lagged.where("before IS NULL").count() == df.select("k").distinct().count()
 
 
+@pytest.mark.parametrize("distinct", [True, False])
+def test_hot_keys_are_numbered_by_ranges(hot, distinct):
+    """The same numbers, whether a key's rows are numbered in one task or by ranges."""
+    df, data = hot
+    expected = {r.id: r.sk for r in ranged.dense_key(df, ["k"], "sk").collect()}
+    by_ranges = ranged.dense_key(df, ["k"], "sk", distinct=distinct, rows_per_key=100)
+    assert {r.id: r.sk for r in by_ranges.collect()} == expected
+    order = sorted(data, key=lambda r: ((r[1] is not None, r[1] or ""), r[0], r[2], r[3]))
+    assert [expected[r[0]] for r in order] == list(range(1, len(data) + 1))
+
+
+def test_dense_key_of_a_unique_key(spark, hot, monkeypatch):
+    """Numbers come from the key table; the sums of partitions go through two levels."""
+    df, data = hot
+    monkeypatch.setattr(ranged, "_FAN_IN", 2)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = sorted((r.sk, r.id) for r in ranged.dense_key_of(df, ["k", "id"], "sk", df.select("id", "k")).collect())
+        general = sorted((r.sk, r.id) for r in ranged.dense_key(df, ["k", "id"], "sk").collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    order = sorted(data, key=lambda r: ((r[1] is not None, r[1] or ""), r[0]))
+    assert found == general == [(n, r[0]) for n, r in enumerate(order, 1)]
+
+
 def test_dense_key_of_nothing(spark):
     empty = spark.createDataFrame([], "k string")
     assert ranged.dense_key(empty, ["k"], "sk").collect() == []
+    assert ranged.dense_key_of(empty, ["k"], "sk").collect() == []
 
 
 def test_ordered_lag_over_a_hot_key(hot):
