@@ -26,15 +26,19 @@ class Star:
         return self._built[name]
 
     def _dim_customer(self):
+        self.r.keep("customers")
         return gold.customer_dimension(self.r.use("customers"))
 
     def _dim_seller(self):
+        self.r.keep("sellers")
         return gold.seller_dimension(self.r.use("sellers"), date(2024, 1, 1))
 
     def _dim_product(self):
+        self.r.keep("products")
         return gold.product_dimension(self.r.use("products"))
 
     def _dim_geolocation(self):
+        self.r.keep("geolocation")
         return gold.geolocation_dimension(self.r.use("geolocation"))
 
     def _dim_date(self):
@@ -59,23 +63,26 @@ class Star:
         return gold.payment_type_dimension(self.r.use("sales"))
 
     def _fct_order_sales(self):
-        self.r.keep("orders", "items", "sales")
+        self.r.keep("sales")
         return gold.order_sales_fact(
             self.r.use("sales"), self["dim_product"], self["dim_seller"], self["dim_customer"], self["dim_payment_type"]
         )
 
     def _fct_order_delivery(self):
-        self.r.keep("orders", "items", "sellers", "delivery")
+        self.r.keep_by_order("orders")
+        self.r.keep("items", "sellers", "delivery")
         return gold.order_delivery_fact(
             self.r.use("delivery"), self["dim_customer"], self["dim_seller"], self["dim_delivery_status"]
         )
 
     def _fct_customer_reviews(self):
-        self.r.keep("orders", "items", "sellers", "judged")
+        self.r.keep_by_order("orders")
+        self.r.keep("items", "sellers", "judged")
         return gold.customer_reviews_fact(self.r.use("judged"), self["dim_seller"], self["dim_review_sentiment"])
 
     def _fct_seller_fulfillment(self):
-        self.r.keep("orders", "items", "sellers")
+        self.r.keep_by_order("orders")
+        self.r.keep("items", "sellers", "fulfilled")
         return gold.seller_fulfillment_fact(self.r.use("fulfilled"), self["dim_seller"], self["dim_product"])
 
 

@@ -228,6 +228,13 @@ class Roles:
             if name not in self._kept:
                 self._kept[name] = self.scratch.write(self.use(name), name)
 
+    def keep_by_order(self, *names: str) -> None:
+        """Keep entities of at most a few rows per order in buckets of the order, so that
+        they join and aggregate on it without a shuffle."""
+        for name in names:
+            if name not in self._kept:
+                self._kept[name] = self.scratch.write_bucketed(self.use(name), name, ["order_id"])
+
     @cached_property
     def geolocation(self) -> silver.Entity:
         return silver.geolocation(self.role("raw_geo"))
@@ -276,9 +283,13 @@ class Roles:
             self.role("raw_sellers"), self.use("geolocation"), self.use("items"), self.use("acquisition")
         )
 
+    @cached_property
+    def pairs(self) -> DataFrame:
+        return staging.order_sellers(self.use("items"))
+
     @cached_property
     def totals(self) -> DataFrame:
-        return staging.order_totals(self.use("items"))
+        return staging.order_totals(self.use("pairs"))
 
     @cached_property
     def order_payments(self) -> DataFrame:
@@ -286,34 +297,49 @@ class Roles:
 
     @cached_property
     def sales(self) -> DataFrame:
-        self.keep("orders", "items")
+        self.keep_by_order("orders")
+        self.keep("items", "products")
+        self.keep_by_order("pairs", "order_payments")
         return staging.sales(
-            self.use("items"), self.use("orders"), self.use("order_payments"), self.use("totals"), self.use("products")
+            self.use("items"),
+            self.use("orders"),
+            self.use("order_payments"),
+            self.use("totals"),
+            self.use("products"),
+            self.use("pairs"),
         )
 
     @cached_property
     def delivery(self) -> DataFrame:
-        self.keep("orders", "items")
+        self.keep_by_order("orders")
+        self.keep("items")
+        self.keep_by_order("pairs")
         return staging.delivery(self.use("orders"), self.use("totals"), self.use("customers"), self.use("sellers"))
 
     @cached_property
     def judged(self) -> DataFrame:
-        self.keep("orders", "items")
+        self.keep_by_order("orders")
+        self.keep("items")
         return staging.reviews(self.use("reviews"), self.use("delivery"))
 
     @cached_property
     def fulfilled(self) -> DataFrame:
-        self.keep("orders", "items")
-        return staging.fulfillment(self.use("items"), self.use("orders"), self.use("products"), self.use("sellers"))
+        self.keep_by_order("orders")
+        self.keep("items", "products")
+        self.keep_by_order("pairs")
+        return staging.fulfillment(
+            self.use("items"), self.use("orders"), self.use("products"), self.use("sellers"), self.use("pairs")
+        )
 
     @cached_property
     def monthly(self) -> DataFrame:
-        self.keep("orders", "items", "sellers", "delivery")
+        self.keep_by_order("orders")
+        self.keep("items", "sellers", "delivery", "judged", "fulfilled")
         return staging.seller_monthly(self.use("delivery"), self.use("judged"), self.use("fulfilled"))
 
     @cached_property
     def costed(self) -> DataFrame:
-        return staging.orders_with_costs(self.use("orders"), self.use("items"))
+        return staging.orders_with_costs(self.use("orders"), self.use("items"), self.use("pairs"))
 
     @cached_property
     def recon(self) -> DataFrame:

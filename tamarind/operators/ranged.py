@@ -71,7 +71,8 @@ def _starts(totals: DataFrame) -> DataFrame:
     bases = groups.select("__group", F.coalesce(F.sum("__all").over(before), F.lit(0)).alias("__base"))
     within = Window.partitionBy("__group").orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     local = grouped.withColumn("__local", F.coalesce(F.sum(_N).over(within), F.lit(0)))
-    return local.join(bases, "__group").select(_PART, (F.col("__base") + F.col("__local")).alias("__offset"))
+    offsets = local.join(bases, "__group").select(_PART, (F.col("__base") + F.col("__local")).alias("__offset"))
+    return stored(offsets, "starts")
 
 
 def _placed(keys: DataFrame, order: Sequence[str]) -> DataFrame:

@@ -90,6 +90,11 @@ class Run:
         self.tables[name] = self.lake(layer).write(df, name)
         return self.tables[name]
 
+    def keep_by_order(self, layer: str, name: str, df: DataFrame) -> DataFrame:
+        """As ``keep``, in buckets of the order: for tables of a few rows per order."""
+        self.tables[name] = self.lake(layer).write_bucketed(df, name, ["order_id"])
+        return self.tables[name]
+
     def entity(self, name: str, built: silver.Entity) -> DataFrame:
         """Write an entity's rows and log its rejects."""
         log_rejects(self.lake("audit"), built.rejects, name, self.run_id, self.run_at)
@@ -109,13 +114,14 @@ def build_silver(run: Run, bronze: Mapping[str, DataFrame]) -> None:
     deals = run.entity("silver_closed_deals", silver.closed_deals(bronze["closed_deals"]))
     acquisition = run.keep("silver", "seller_acquisition_staging", staging.seller_acquisition(leads, deals))
     sellers = run.entity("silver_sellers", silver.sellers(bronze["sellers"], geo, items, acquisition))
-    totals = run.keep("silver", "order_totals", staging.order_totals(items))
+    pairs = run.keep_by_order("silver", "order_sellers", staging.order_sellers(items))
+    totals = run.keep_by_order("silver", "order_totals", staging.order_totals(pairs))
     paid = staging.order_payments(payments)
-    run.keep("silver", "sales_staging", staging.sales(items, orders, paid, totals, products))
+    run.keep("silver", "sales_staging", staging.sales(items, orders, paid, totals, products, pairs))
     delivery = run.keep("silver", "order_delivery_staging", staging.delivery(orders, totals, customers, sellers))
     judged = run.keep("silver", "reviews_staging", staging.reviews(reviews, delivery))
     fulfilled = run.keep(
-        "silver", "seller_fulfillment_staging", staging.fulfillment(items, orders, products, sellers)
+        "silver", "seller_fulfillment_staging", staging.fulfillment(items, orders, products, sellers, pairs)
     )
     run.keep("silver", "seller_performance_monthly_staging", staging.seller_monthly(delivery, judged, fulfilled))
 

@@ -62,21 +62,25 @@ def order_payments(payments: DataFrame) -> DataFrame:
     )
 
 
-def order_totals(items: DataFrame) -> DataFrame:
-    """Items per order (G04, C21). The primary seller is that of the first item.
-
-    Two steps, order and seller, then order: the distinct sellers need no separate
-    pass, and an order with very many items is already folded before the second.
-    """
-    gross = F.col("price") + F.col("freight_value")
-    per_seller = items.groupBy("order_id", "seller_id").agg(
-        F.sum(gross).alias("gross"),
+def order_sellers(items: DataFrame) -> DataFrame:
+    """One row per order and seller with all that is summed up per order, per pair and per
+    seller. Stored in buckets of the order it is the one place where items are grouped:
+    totals, costs, shares and monthly workloads start from it."""
+    return items.groupBy(*_PAIR).agg(
+        F.sum("price").alias("price"),
         F.sum("freight_value").alias("freight"),
+        F.sum(F.col("price") + F.col("freight_value")).alias("gross"),
         F.count("order_item_id").alias("items"),
+        F.count("*").alias("seller_item_count_in_order"),
         F.min("order_item_id").alias("first_item"),
     )
+
+
+def order_totals(pairs: DataFrame) -> DataFrame:
+    """Items per order from :func:`order_sellers` (G04, C21). The primary seller is that
+    of the first item. An order with very many items is already folded."""
     return (
-        per_seller.groupBy("order_id")
+        pairs.groupBy("order_id")
         .agg(
             F.sum("gross").cast(MONEY).alias("total_order_item_value"),
             F.sum("items").alias("total_items_count"),
@@ -92,28 +96,28 @@ def order_totals(items: DataFrame) -> DataFrame:
 _PAIR = ["order_id", "seller_id"]
 
 
-def _seller_share(items: DataFrame) -> DataFrame:
-    """One row per order and seller with its number of items."""
-    return items.groupBy(*_PAIR).agg(F.count("*").alias("seller_item_count_in_order"))
-
-
 def sales(
-    items: DataFrame, orders: DataFrame, payments_per_order: DataFrame, totals: DataFrame, products: DataFrame
+    items: DataFrame,
+    orders: DataFrame,
+    payments_per_order: DataFrame,
+    totals: DataFrame,
+    products: DataFrame,
+    pairs: DataFrame,
 ) -> DataFrame:
     """Items with the order's payment allocated by their share of its value.
 
-    Everything known per order is joined to one row per order and seller, together
-    with the item count of that pair. The items themselves then cross the network
-    twice only: once for their pair and once for their product.
+    Everything known per order is joined to one row per order and seller; stored in
+    buckets of the order, none of these tables is shuffled for it. The items themselves
+    then cross the network twice only: once for their pair and once for their product.
     """
     order_level = attach(
         attach(orders.select("order_id", "customer_id", "order_purchase_timestamp"), payments_per_order, "order_id"),
         totals.select("order_id", "total_order_item_value"),
         "order_id",
     )
-    pairs = attach(_seller_share(items), order_level, "order_id")
+    shared = attach(pairs.select(*_PAIR, "seller_item_count_in_order"), order_level, "order_id")
     enriched = attach(
-        attach(items, pairs, _PAIR, null_safe=True), products.select("product_id", "product_volume_cm3"), "product_id"
+        attach(items, shared, _PAIR, null_safe=True), products.select("product_id", "product_volume_cm3"), "product_id"
     )
     measured = (
         enriched.withColumn("gross_item_value", F.col("price") + F.col("freight_value"))
@@ -167,19 +171,23 @@ def _by_month(df: DataFrame, ts: str) -> DataFrame:
     return df.withColumns({_MONTH[0]: F.year(ts), _MONTH[1]: F.month(ts)})
 
 
-def fulfillment(items: DataFrame, orders: DataFrame, products: DataFrame, sellers: DataFrame) -> DataFrame:
+def fulfillment(
+    items: DataFrame, orders: DataFrame, products: DataFrame, sellers: DataFrame, pairs: DataFrame
+) -> DataFrame:
     """Items with the seller's monthly workload.
 
     The distinct orders of a seller and month are counted on one row per order and
     seller, not on the items; the items join that row once.
     """
-    pairs = _by_month(
-        attach(_seller_share(items), orders.select("order_id", "order_purchase_timestamp"), "order_id"),
-        "order_purchase_timestamp",
+    dated = attach(
+        pairs.select(*_PAIR, "seller_item_count_in_order"),
+        orders.select("order_id", "order_purchase_timestamp"),
+        "order_id",
     )
-    monthly = pairs.groupBy("seller_id", *_MONTH).agg(F.count("order_id").alias("seller_monthly_orders"))
+    active = _by_month(dated, "order_purchase_timestamp")
+    monthly = active.groupBy("seller_id", *_MONTH).agg(F.count("order_id").alias("seller_monthly_orders"))
     loaded = attach(
-        attach(pairs, monthly, ["seller_id", *_MONTH]).drop(*_MONTH),
+        attach(active, monthly, ["seller_id", *_MONTH]).drop(*_MONTH),
         sellers.select("seller_id", "acquisition_source"),
         "seller_id",
     )
@@ -243,13 +251,12 @@ _COSTS = ("total_products_price", "total_freight_value", "total_order_cost")
 _COUNTS = ("total_items_count", "seller_count", "is_multi_seller_order")
 
 
-def orders_with_costs(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Orders with cost, freight, item and seller counts; zero without items.
-    Enriching an enriched frame replaces the measures."""
-    per_seller = items.groupBy("order_id", "seller_id").agg(
-        F.sum("price").alias("price"), F.sum("freight_value").alias("freight"), F.count("order_item_id").alias("items")
-    )
-    costs = per_seller.groupBy("order_id").agg(
+def orders_with_costs(orders: DataFrame, items: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+    """Orders with cost, freight, item and seller counts; zero without items (G10), from
+    the stored :func:`order_sellers` where there is one. Enriching an enriched frame
+    replaces the measures."""
+    pairs = order_sellers(items) if pairs is None else pairs
+    costs = pairs.groupBy("order_id").agg(
         F.sum("price").cast(MONEY).alias("total_products_price"),
         F.sum("freight").cast(MONEY).alias("total_freight_value"),
         F.sum("items").cast("int").alias("total_items_count"),
