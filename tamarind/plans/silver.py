@@ -4,11 +4,16 @@ Each builder takes bronze-shaped frames and returns :class:`Entity`: the clean
 rows and the rows that were rejected or flagged, tagged with a reason. Both are
 lazy; writing the clean rows first and reading them back (``Lake.write``) lets
 the next builder start from files.
+
+Where rows, rejects and a learned constant come from the same typed rows, these get a
+*verdict* in one pass, and ``keep`` stores that pass, one folder per verdict: bronze is
+read once, and each part reads only the folders it is about.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
+from functools import partial, reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -25,6 +30,7 @@ from tamarind.operators.dedupe import earliest_per_key, keep_first, latest_per_k
 from tamarind.operators.joins import attach, orphans, with_parent
 from tamarind.operators.quality import split, tag
 from tamarind.operators.repair import fill_answer_time, fill_group_median, has_bad_limit, rebuild_limit_date
+from tamarind.session import stored
 from tamarind.sources.tables import without_lineage
 
 
@@ -42,6 +48,28 @@ def _all_rejects(*parts: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+Keep = Callable[[DataFrame], DataFrame]
+
+VERDICT = "__verdict"
+_VALID, _ORPHAN, _BROKEN, _REBUILT = "valid", "orphan", "broken", "rebuilt"
+# Stores a judged pass by verdict.
+kept_by_verdict: Keep = partial(stored, name="judged", partition_by=(VERDICT,))
+
+
+def lazily(judged: DataFrame) -> DataFrame:
+    """Store nothing: for a caller that wants one part only."""
+    return judged
+
+
+def _beside_order(child: DataFrame, orders_: DataFrame, *cols: str) -> DataFrame:
+    """Children with columns of their order and whether it is known (``__known``)."""
+    return attach(child, orders_.select("order_id", *cols, F.lit(True).alias("__known")), "order_id")
+
+
+def _having(judged: DataFrame, *verdicts: str) -> DataFrame:
+    return judged.where(F.col(VERDICT).isin(*verdicts)).drop(VERDICT)
+
+
 def _typed(df: DataFrame, **casts: Column) -> DataFrame:
     return without_lineage(df).withColumns(casts)
 
@@ -188,7 +216,7 @@ def products(raw: DataFrame, translation_raw: DataFrame) -> Entity:
     return Entity(stamped(rows), tag(incomplete, "Product missing key logistics fields"))
 
 
-def order_items(raw: DataFrame, orders_: DataFrame) -> Entity:
+def order_items(raw: DataFrame, orders_: DataFrame, keep: Keep = kept_by_verdict) -> Entity:
     """Items of known orders with a plausible shipping limit and seller timing."""
     typed = keep_first(
         _typed(
@@ -204,9 +232,11 @@ def order_items(raw: DataFrame, orders_: DataFrame) -> Entity:
         ["order_id", "order_item_id"],
     )
     bought, approved, carrier, _ = fixed.MILESTONES
-    dated = attach(typed, orders_.select("order_id", bought, approved, carrier, "order_status"), "order_id", "inner")
+    beside = _beside_order(typed, orders_, bought, approved, carrier, "order_status")
+    verdict = F.when(F.col("__known").isNull(), _ORPHAN).when(has_bad_limit(), _REBUILT).otherwise(_VALID)
+    judged = keep(beside.withColumn(VERDICT, verdict).drop("__known"))
     rows = (
-        rebuild_limit_date(dated)
+        rebuild_limit_date(_having(judged, _VALID, _REBUILT))
         .withColumn("seller_handling_days", days_between("shipping_limit_date", carrier))
         .select(
             "order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "price", "freight_value",
@@ -216,16 +246,16 @@ def order_items(raw: DataFrame, orders_: DataFrame) -> Entity:
         )
     )
     rejects = _all_rejects(
-        tag(orphans(typed, orders_, "order_id"), "Order item order_id missing from silver_orders"),
+        tag(_having(judged, _ORPHAN), "Order item order_id missing from silver_orders"),
         tag(
-            dated.where(has_bad_limit()),
+            _having(judged, _REBUILT),
             "Invalid shipping_limit_date, rebuilt using median approval-to-limit days",
         ),
     )
     return Entity(stamped(rows), rejects)
 
 
-def payments(raw: DataFrame, orders_: DataFrame) -> Entity:
+def payments(raw: DataFrame, orders_: DataFrame, keep: Keep = lazily) -> Entity:
     """Distinct payments of known orders with category and installment flag."""
     typed = _typed(
         raw,
@@ -235,9 +265,11 @@ def payments(raw: DataFrame, orders_: DataFrame) -> Entity:
         payment_installments=_as_int("payment_installments"),
         payment_value=money("payment_value"),
     ).distinct()
+    verdict = F.when(F.col("__known").isNull(), _ORPHAN).otherwise(_VALID)
+    judged = keep(_beside_order(typed, orders_).withColumn(VERDICT, verdict).drop("__known"))
     installments = rule.repaired_installments("payment_type", "payment_installments")
     rows = (
-        with_parent(typed, orders_, "order_id")
+        _having(judged, _VALID)
         .withColumn("payment_installments", installments)
         .select(
             "order_id", "payment_sequential", "payment_type",
@@ -247,11 +279,10 @@ def payments(raw: DataFrame, orders_: DataFrame) -> Entity:
             .alias("is_installment_payment"),
         )
     )
-    unknown = orphans(typed, orders_, "order_id")
-    return Entity(stamped(rows), tag(unknown, "Payment order_id missing from silver_orders"))
+    return Entity(stamped(rows), tag(_having(judged, _ORPHAN), "Payment order_id missing from silver_orders"))
 
 
-def reviews(raw: DataFrame, orders_: DataFrame) -> Entity:
+def reviews(raw: DataFrame, orders_: DataFrame, keep: Keep = kept_by_verdict) -> Entity:
     """The latest review of each known order, with repaired dates and labels."""
     created, answered = "review_creation_date", "review_answer_timestamp"
     typed = _typed(
@@ -264,12 +295,17 @@ def reviews(raw: DataFrame, orders_: DataFrame) -> Entity:
         review_creation_date=wall_clock(created),
         review_answer_timestamp=wall_clock(answered),
     )
-    usable, broken = split(typed, all_present("review_id", "order_id", "review_score"))
+    usable = all_present("review_id", "order_id", "review_score")
+    verdict = F.when(~usable, _BROKEN).when(F.col("__known").isNull(), _ORPHAN).otherwise(_VALID)
+    judged = keep(_beside_order(typed, orders_, "order_purchase_timestamp").withColumn(VERDICT, verdict).drop("__known"))
     newest = latest_per_key(
-        usable.select("review_id", "order_id", "review_score", created, answered), ["order_id"], answered
+        _having(judged, _VALID).select(
+            "review_id", "order_id", "review_score", created, answered, "order_purchase_timestamp"
+        ),
+        ["order_id"],
+        answered,
     )
-    dated = attach(newest, orders_.select("order_id", "order_purchase_timestamp"), "order_id", "inner")
-    rows = fill_answer_time(dated).select(
+    rows = fill_answer_time(newest).select(
         "review_id", "order_id", "review_score", created, answered,
         rule.review_label("review_score").alias("review_label"),
         rule.sentiment("review_score").alias("sentiment_category"),
@@ -281,8 +317,8 @@ def reviews(raw: DataFrame, orders_: DataFrame) -> Entity:
         (F.col("review_score") >= 4).alias("positive_review_flag"),
     )
     rejects = _all_rejects(
-        tag(broken, "Review critical key or score missing"),
-        tag(orphans(usable, orders_, "order_id"), "Review order_id missing from silver_orders"),
+        tag(_having(judged, _BROKEN), "Review critical key or score missing"),
+        tag(_having(judged, _ORPHAN), "Review order_id missing from silver_orders"),
     )
     return Entity(stamped(rows), rejects)
 

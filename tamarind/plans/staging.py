@@ -276,12 +276,16 @@ def orders_with_costs(orders: DataFrame, items: DataFrame, pairs: DataFrame | No
     )
 
 
+_PAID = ("total_amount_paid", "financial_variance", "payment_status")
+
+
 def orders_with_payments(orders: DataFrame, payments: DataFrame) -> DataFrame:
-    """Orders (with ``total_order_cost``) with the amount paid and its variance."""
+    """Orders (with ``total_order_cost``) with the amount paid and its variance.
+    Enriching an enriched frame replaces the measures."""
     paid = payments.groupBy("order_id").agg(F.sum("payment_value").cast(MONEY).alias("total_amount_paid"))
     variance = (F.col("total_amount_paid") - F.col("total_order_cost")).cast(MONEY)
     return (
-        attach(orders, paid, "order_id")
+        attach(orders.drop(*_PAID), paid, "order_id")
         .withColumn("financial_variance", variance)
         .withColumn("payment_status", rule.payment_status("total_amount_paid", "financial_variance"))
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -82,10 +83,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """The frame as a table in the shared scratch folder: computed once, lineage cut.
     What a table remembers of its rows' places (a running number, a task's number) stays
     as it was written, also when executors are lost."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,13 +7,15 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Collection, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tamarind.sources.versions import Files, Pointer
+
 LINEAGE = ("_ingested_at", "_source_file")
 # Namespace of the catalog entries that describe bucketed tables.
 BUCKETED = "tamarind_bucketed"
@@ -56,8 +58,30 @@ class Lake:
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
+    def _pointer(self, table: str) -> Pointer:
+        return Pointer(self.spark, f"{self.path(table)}__versions/_pointer")
+
+    def _current(self, table: str) -> str:
+        """The folder that holds the table now: its own, or that of a newer version."""
+        return self._pointer(table).current()[1].get("folder", self.path(table))
+
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.format(self.fmt).load(self.path(table))
+        return self.spark.read.format(self.fmt).load(self._current(table))
+
+    def replace(self, table: str, change: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """Rewrite a table from itself: the changed rows go to a folder of a new version,
+        then the pointer is switched (G10, G11). A failure before the switch leaves the
+        table as it was. The version before the last stays for readers that still use it.
+        """
+        pointer = self._pointer(table)
+        seen, state = pointer.current()
+        folder = f"{self.path(table)}__versions/{uuid.uuid4().hex}"
+        change(self.read(table)).write.format(self.fmt).save(folder)
+        before = state.get("folder", self.path(table))
+        pointer.switch(seen, {"folder": folder, "before": before})
+        if state.get("before", self.path(table)) != self.path(table):
+            Files(self.spark).remove([state["before"]])
+        return self.read(table)
 
     def write(self, df: DataFrame, table: str, *, partition_by: Sequence[str] = ()) -> DataFrame:
         """Replace a table, schema included, and return it as stored: readers of the
@@ -65,6 +89,9 @@ class Lake:
         writer = df.write.format(self.fmt).mode("overwrite").option("overwriteSchema", "true")
         (writer.partitionBy(*partition_by) if partition_by else writer).save(self.path(table))
         self.spark.catalog.refreshByPath(self.path(table))
+        seen, state = self._pointer(table).current()
+        if state:  # back from a version to the table's own folder
+            self._pointer(table).switch(seen, {"folder": self.path(table)})
         return self.read(table)
 
     def write_bucketed(self, df: DataFrame, table: str, keys: Sequence[str], buckets: int | None = None) -> DataFrame:

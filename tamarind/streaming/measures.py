@@ -91,3 +91,19 @@ def recent_events(flat: DataFrame, n: int = 200) -> DataFrame:
     """The last ``n`` events, newest first."""
     ties = [c for c in flat.columns if c != "event_timestamp"]
     return flat.orderBy(wall_clock("event_timestamp").desc_nulls_last(), *ties).limit(n)
+
+
+def day_counts(timed: DataFrame) -> DataFrame:
+    """Events per tumbling day, those on time and those late apart."""
+    return timed.groupBy(F.to_date("event_time").alias("day")).agg(
+        F.count_if(~F.col("is_late")).alias("events"), F.count_if("is_late").alias("late_events")
+    )
+
+
+def add_day_counts(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("day").agg(F.sum("events").alias("events"), F.sum("late_events").alias("late_events"))
+
+
+def late_events(timed: DataFrame) -> DataFrame:
+    """The side table of late events."""
+    return timed.where("is_late").drop("is_late")

@@ -1,27 +1,35 @@
-"""Sources, sinks and the idempotent event store.
-
-Each micro-batch writes its own small aggregates into a folder named by the batch
-id, replacing whatever an earlier attempt left there. Totals are sums over the
-batches, so a replayed batch changes nothing: exactly-once totals on top of
-at-least-once delivery, with no row ever reaching the driver.
+"""Sources, sinks and the idempotent event store.
+
+Each micro-batch writes its own small aggregates into folders named by the batch id. A
+manifest then takes the batch in: one small file that names the batches and the fold that
+make up the store, switched by a pointer (``sources.versions``). Readers see the folders of
+the newest manifest and no others, so a batch counts when its manifest is there, once, and
+a replayed one changes nothing: exactly-once totals on top of at-least-once delivery, with
+no row ever reaching the driver. Folded batches leave the manifest; their folders go with
+the fold after that, so the number of folders is bounded however long the stream runs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
+from typing import Any
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tamarind.functions.temporal import wall_clock
 from tamarind.operators.dedupe import latest_per_key
+from tamarind.sources.versions import Files, Pointer
 from tamarind.streaming.events import flatten, flatten_all, parse
 from tamarind.streaming.measures import (
+    add_day_counts,
     add_metrics,
+    day_counts,
     dimension_counts,
+    late_events,
     latest_events,
     metric_sums,
     recent_events,
@@ -64,7 +72,7 @@ def archive(
 
 @dataclass(frozen=True)
 class EventStore:
-    """Parsed messages, counters, sums, newest and recent events below one folder."""
+    """Counters, sums, newest and recent events, day windows and rejects below one folder."""
 
     spark: SparkSession
     root: str
@@ -73,11 +81,15 @@ class EventStore:
     fold_every: int = 360
     # folds drop the newest event of orders that have been silent for so long
     expire_hours: int | None = None
+    # an event that is older than the newest one of earlier batches by more is late
+    late_hours: int = 24
+    # which tables to keep; all of them unless named
+    tables: tuple[str, ...] | None = None
 
     # table -> how one batch, or the union of several, is folded
     @property
     def _folds(self):
-        return {
+        folds = {
             "counters": (
                 dimension_counts,
                 lambda d: d.groupBy("dim", "label").agg(F.sum("event_count").alias("event_count")),
@@ -88,26 +100,48 @@ class EventStore:
                 lambda d: recent_events(d, self.keep_recent),
                 lambda d: recent_events(d, self.keep_recent),
             ),
+            "days": (day_counts, add_day_counts),
+            "late": (late_events, lambda d: d),
         }
+        return {t: f for t, f in folds.items() if self.tables is None or t in self.tables}
 
     def _latest(self, parts: DataFrame) -> DataFrame:
         newest = latest_per_key(parts, ["order_id"], "event_time")
         return newest if self.expire_hours is None else unexpired(newest, self.expire_hours)
 
+    @property
+    def _pointer(self) -> Pointer:
+        return Pointer(self.spark, f"{self.root}/_manifest")
+
+    def _manifest(self) -> tuple[int, dict[str, Any]]:
+        seen, state = self._pointer.current()
+        return seen, {"batches": [], "upto": -1, "newest": None, "leaving": [], "left": [], **state}
+
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """Sink of ``foreachBatch`` over messages from :func:`flatten_all`.
 
         The parsed messages are written first and read back for each aggregate: they
         are parsed once, and a lost executor does not send the batch to the source
-        again.
+        again. Whether an event is late is decided against the manifest before the
+        batch, hence in the same way when the batch is tried again.
         """
-        if batch.isEmpty():
+        seen, state = self._manifest()
+        if batch_id <= state["upto"] or batch_id in state["batches"] or batch.isEmpty():
             return
         events = f"{self.root}/events/batch_id={batch_id}"
-        batch.write.mode("overwrite").parquet(events)
+        newest = Observation(f"newest_{batch_id}")
+        time = F.when(F.col("is_valid"), wall_clock("event_timestamp"))
+        timed = batch.withColumn("event_time", time)
+        limit = F.lit(state["newest"]).cast("timestamp_ntz") - F.make_dt_interval(hours=F.lit(self.late_hours))
+        timed = timed.withColumn("is_late", F.coalesce(F.col("event_time") < limit, F.lit(False)))
+        timed.observe(newest, F.max("event_time").cast("string").alias("t")).write.mode("overwrite").parquet(events)
         flat = self.spark.read.parquet(events).where("is_valid").drop("is_valid", "value")
         for table, (fold, _) in self._folds.items():
-            fold(flat).write.mode("overwrite").parquet(f"{self.root}/{table}/batch_id={batch_id}")
+            given = flat if table in ("days", "late") else flat.drop("event_time", "is_late")
+            fold(given).write.mode("overwrite").parquet(f"{self.root}/{table}/batch_id={batch_id}")
+        state["batches"] = [*state["batches"], batch_id]
+        state["newest"] = max(filter(None, (state["newest"], newest.get.get("t"))), default=None)
+        self._pointer.switch(seen, state)
         if self.fold_every and batch_id and batch_id % self.fold_every == 0:
             # the stream has committed all batches before this one
             self.fold(batch_id - 1)
@@ -122,41 +156,88 @@ class EventStore:
             .start()
         )
 
-    def _batches(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{table}")
-
-    def _parts(self, table: str, upto: int | None = None) -> DataFrame:
-        """The newest fold and the batches after it, optionally only up to a batch."""
-        batches = self._batches(table)
-        if upto is not None:
-            batches = batches.where(F.col("batch_id") <= upto)
-        try:
-            folds = self.spark.read.parquet(f"{self.root}/{table}_folded")
-        except AnalysisException:  # nothing was folded yet
-            return batches.drop("batch_id")
-        if upto is not None:
-            folds = folds.where(F.col("upto") < upto)
-        newest = folds.agg(F.coalesce(F.max("upto"), F.lit(-1))).scalar()
-        later = batches.where(F.col("batch_id") > newest).drop("batch_id")
-        return folds.where(F.col("upto") == newest).drop("upto").unionByName(later)
+    def _parts(self, table: str, state: dict[str, Any], upto: int | None = None) -> DataFrame:
+        """The fold and the batches after it, optionally only up to a batch."""
+        batches = [b for b in state["batches"] if upto is None or b <= upto]
+        parts = []
+        if state["upto"] >= 0:
+            parts.append(self.spark.read.parquet(f"{self.root}/{table}_folded/upto={state['upto']}"))
+        if batches:
+            parts.append(self.spark.read.parquet(*[f"{self.root}/{table}/batch_id={b}" for b in batches]))
+        if not parts:
+            raise ValueError(f"{self.root} holds no batch yet")
+        return reduce(DataFrame.unionByName, parts)
 
     def read(self, table: str) -> DataFrame:
-        """Total over all batches of ``counters``, ``metrics``, ``latest`` or ``recent``."""
-        return self._folds[table][1](self._parts(table))
+        """Total over all batches of one table, e.g. ``counters`` or ``latest``."""
+        return self._folds[table][1](self._parts(table, self._manifest()[1]))
 
     def fold(self, upto: int) -> None:
         """Fold the batches up to ``upto`` into one, so that reads stay short however
         long the stream runs. Give a batch that can no longer be replayed: one that
-        is older than the stream's last. Folding again gives the same result."""
+        is older than the stream's last. Folding again changes nothing.
+
+        The folded folders leave the manifest now and the disk with the next fold: a
+        reader that has just looked can finish. Invalid messages are folded like a table.
+        """
+        seen, state = self._manifest()
+        folded = [b for b in state["batches"] if b <= upto]
+        if not folded:
+            return
         for table, (_, add) in self._folds.items():
-            add(self._parts(table, upto)).write.mode("overwrite").parquet(f"{self.root}/{table}_folded/upto={upto}")
+            add(self._parts(table, state, upto)).write.mode("overwrite").parquet(f"{self.root}/{table}_folded/upto={upto}")
+        self._rejects(state, upto).write.mode("overwrite").parquet(f"{self.root}/rejects_folded/upto={upto}")
+        gone = [f"{t}/batch_id={b}" for t in (*self._folds, "events") for b in folded]
+        if state["upto"] >= 0:
+            gone += [f"{t}_folded/upto={state['upto']}" for t in (*self._folds, "rejects")]
+        removed = [*state["leaving"], *state["left"]]
+        changed = {
+            "batches": [b for b in state["batches"] if b > upto],
+            "upto": upto,
+            "leaving": gone,
+            "left": state["leaving"],
+        }
+        self._pointer.switch(seen, {**state, **changed})
+        Files(self.spark).remove(f"{self.root}/{folder}" for folder in removed)
 
     def live(self, hours: int = 24) -> DataFrame:
         """Newest event per order that has not expired."""
         return unexpired(self.read("latest"), hours)
 
+    def _rejects(self, state: dict[str, Any], upto: int | None = None) -> DataFrame:
+        events = [f"{self.root}/events/batch_id={b}" for b in state["batches"] if upto is None or b <= upto]
+        parts = [self.spark.read.parquet(*events).where("NOT is_valid").select("value")] if events else []
+        if state["upto"] >= 0:
+            parts.append(self.spark.read.parquet(f"{self.root}/rejects_folded/upto={state['upto']}"))
+        return reduce(DataFrame.unionByName, parts)
+
     def rejects(self) -> DataFrame:
-        return self._batches("events").where("NOT is_valid").select("value")
+        return self._rejects(self._manifest()[1])
+
+
+def running_latest(parsed: DataFrame, hours: int = 24) -> DataFrame:
+    """The newest event of each order as a stateful stream whose state has a time limit
+    (T10), for sinks that take updates.
+
+    State is kept per order and window of ``hours``; the watermark drops windows that lie
+    ``hours`` behind the newest event, and with them late events, which would have expired
+    anyway. :func:`live_orders` picks from what the sink holds.
+    """
+    flat = flatten(parsed).withColumn("event_time", wall_clock("event_timestamp").cast("timestamp"))
+    span = f"{hours} hours"
+    fields = [c for c in flat.columns if c not in ("order_id", "event_time")]
+    newest = F.max(F.struct("event_time", *fields)).alias("e")
+    timed = flat.where("event_time IS NOT NULL").withWatermark("event_time", span)
+    return timed.groupBy(F.window("event_time", span).alias("span"), "order_id").agg(newest).select(
+        "order_id", "e.*", F.col("span.start").alias("window_start")
+    )
+
+
+def live_orders(updates: DataFrame, hours: int = 24) -> DataFrame:
+    """The newest event per order within ``hours`` of the newest of all, from the updates
+    of :func:`running_latest`."""
+    newest = latest_per_key(updates.drop("window_start"), ["order_id"], "event_time")
+    return unexpired(newest, hours)
 
 
 def running_counts(parsed: DataFrame) -> DataFrame:

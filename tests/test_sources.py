@@ -1,11 +1,14 @@
 """Writers, exports, catalog (S01-S26). JDBC needs a database and is not run here."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tamarind.plans.marts import publish
 from tamarind.session import build_session, initial_partitions, scratch_path, shared_folder
 from tamarind.sources import tables
 from tamarind.sources.jdbc import Warehouse
+from tamarind.sources.tables import Lake
+from tamarind.sources.versions import Conflict, Pointer
 
 
 def test_write_replaces_schema_and_counts(spark, tmp_path):
@@ -82,3 +85,61 @@ def test_publishing_names_every_table(spark):
 def test_jdbc_settings(spark):
     w = Warehouse(spark, "jdbc:example:db", {"user": "u"})
     assert w.properties == {"user": "u"} and w.url == "jdbc:example:db"
+
+
+def test_a_table_replaces_itself(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    lake.write(spark.range(5).withColumn("n", F.lit(0)), "t")
+    for round_ in range(1, 4):
+        changed = lake.replace("t", lambda old: old.withColumn("n", F.col("n") + 1))
+        assert [(r.id, r.n) for r in changed.orderBy("id").collect()] == [(i, round_) for i in range(5)]
+    folders = [p.name for p in (tmp_path / "t__versions").iterdir() if not p.name.startswith("_")]
+    assert len(folders) == 2, "the newest version and the one before"
+    lake.write(spark.range(2), "t")
+    assert lake.read("t").count() == 2 and lake.read("t").columns == ["id"]
+
+
+def test_a_failure_before_the_switch_leaves_the_old_version(spark, tmp_path, monkeypatch):
+    lake = Lake(spark, str(tmp_path))
+    lake.write(spark.range(3), "t")
+    lake.replace("t", lambda old: old.withColumn("n", F.lit("old")))
+    reader = lake.read("t")
+
+    def lost(*_):
+        raise OSError("the driver is gone")
+
+    monkeypatch.setattr(Pointer, "switch", lost)
+    with pytest.raises(OSError):
+        lake.replace("t", lambda old: old.withColumn("n", F.lit("new")))
+    monkeypatch.undo()
+    assert {r.n for r in lake.read("t").collect()} == {r.n for r in reader.collect()} == {"old"}
+    lake.replace("t", lambda old: old.withColumn("n", F.lit("new")))
+    assert {r.n for r in reader.collect()} == {"old"}, "a running reader keeps its version"
+
+
+def test_two_writers_cannot_switch_from_the_same_version(spark, tmp_path):
+    pointer = Pointer(spark, str(tmp_path / "p"))
+    assert pointer.current() == (0, {})
+    assert pointer.switch(0, {"a": 1}) == 1
+    with pytest.raises(Conflict):
+        pointer.switch(0, {"a": 2})
+    assert pointer.current() == (1, {"a": 1})
+    for seen in range(1, 30):
+        pointer.switch(seen, {"a": seen})
+    assert pointer.current() == (30, {"a": 29}) and len(list((tmp_path / "p").glob("*.json"))) <= 8
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    left = lake.write_bucketed(spark.range(100).selectExpr("cast(id as string) k", "id"), "a", ["k"])
+    right = lake.write_bucketed(spark.range(50).selectExpr("cast(id as string) k", "id * 2 AS m"), "b", ["k"])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = left.join(right, "k", "left").groupBy("k").agg(F.sum("m").alias("m"))
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.agg(F.sum("m")).first()[0] == 2450 and joined.count() == 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    again = lake.write_bucketed(spark.range(3).selectExpr("cast(id as string) k"), "a", ["k"])
+    assert again.count() == 3

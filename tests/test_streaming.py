@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tamarind.plans import serving
 from tamarind.streaming import measures
 from tamarind.streaming.events import FLAT_FIELDS, flatten, flatten_all, parse
-from tamarind.streaming.store import EventStore
+from tamarind.streaming.store import EventStore, live_orders, running_latest
 
 START = datetime(2024, 1, 10)
 
@@ -153,3 +153,103 @@ def test_counts_of_named_dimensions(spark, played):
     full = counters(measures.dimension_counts(flat))
     some = counters(measures.dimension_counts(flat, ["state", "status"]))
     assert some == [c for c in full if c[0] in ("state", "status")] and some
+
+
+def folders(root):
+    return sorted(f"{t.name}/{p.name}" for t in root.iterdir() if t.is_dir() for p in t.iterdir() if p.is_dir())
+
+
+def test_fifty_batches_leave_few_folders(spark, tmp_path):
+    """Also one that is replayed after it was folded, one replayed before, and one empty."""
+    root = tmp_path / "store"
+    store = EventStore(spark, str(root), fold_every=5, tables=("counters", "late"))
+    most, lines = 0, []
+    for batch in range(50):
+        line = [] if batch == 17 else [message(f"o{batch}", batch), "bad"]
+        lines += line
+        rows = flatten_all(parse(spark.createDataFrame([(m,) for m in line], "value string")))
+        store.apply(rows, batch)
+        if batch in (20, 23):
+            store.apply(rows, batch)
+        if batch == 30:
+            store.apply(flatten_all(parse(spark.createDataFrame([(lines[6],)], "value string"))), 3)
+        most = max(most, len([f for f in folders(root) if not f.startswith("_")]))
+    assert most <= 2 * 3 * (5 + 1) + 2 * 3, "two intervals of batches and two folds of three tables"
+    flat = flatten(parse(spark.createDataFrame([(m,) for m in lines], "value string")))
+    assert counters(store.read("counters")) == counters(measures.dimension_counts(flat))
+    assert store.rejects().count() == 49 and store.read("late").count() == 0
+    manifest = store._manifest()[1]
+    assert manifest["upto"] == 44 and manifest["batches"] == [45, 46, 47, 48, 49]
+
+
+def test_a_batch_counts_when_its_manifest_is_there(spark, tmp_path, monkeypatch):
+    store = EventStore(spark, str(tmp_path / "store"), tables=("metrics",))
+    rows = [flatten_all(parse(spark.createDataFrame([(m,)], "value string"))) for m in (FIRST[0], FIRST[1])]
+    store.apply(rows[0], 0)
+
+    def lost(*_):
+        raise OSError("the driver is gone")
+
+    monkeypatch.setattr("tamarind.sources.versions.Pointer.switch", lost)
+    with pytest.raises(OSError):
+        store.apply(rows[1], 1)
+    monkeypatch.undo()
+    assert store.read("metrics").first().total_orders == 1
+    store.apply(rows[1], 1)
+    assert store.read("metrics").first().total_orders == 2
+
+
+def test_a_failed_fold_changes_nothing(spark, played, monkeypatch):
+    before = counters(played.read("counters"))
+
+    def lost(*_):
+        raise OSError("the driver is gone")
+
+    monkeypatch.setattr("tamarind.sources.versions.Pointer.switch", lost)
+    with pytest.raises(OSError):
+        played.fold(1)
+    monkeypatch.undo()
+    assert counters(played.read("counters")) == before
+    played.fold(1)
+    assert counters(played.read("counters")) == before and played.rejects().count() == 2
+
+
+def test_late_events_are_counted_apart(spark, tmp_path):
+    store = EventStore(spark, str(tmp_path / "store"), late_hours=24, tables=("days", "late"))
+    batches = [[("a", 0), ("b", 60)], [("c", 35), ("d", 36), ("e", 100)], [("f", 75), ("g", 76), ("h", 40)]]
+    for n, batch in enumerate(batches):
+        rows = spark.createDataFrame([(message(o, h),) for o, h in batch], "value string")
+        store.apply(flatten_all(parse(rows)), n)
+        store.apply(flatten_all(parse(rows)), n)
+    # the first batch has nothing before it; limits after it are 60 - 24 and 100 - 24 hours
+    assert sorted(r.order_id for r in store.read("late").collect()) == ["c", "f", "h"]
+    days = {str(r.day): (r.events, r.late_events) for r in store.read("days").collect()}
+    assert days == {"2024-01-10": (1, 0), "2024-01-11": (1, 2), "2024-01-12": (1, 0), "2024-01-13": (1, 1), "2024-01-14": (1, 0)}
+    store.fold(2)
+    assert {str(r.day): (r.events, r.late_events) for r in store.read("days").collect()} == days
+
+
+def test_running_latest_has_a_time_limit(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    out = f"{tmp_path}/out"
+    drop(folder, "a.txt", [message("o1", 0), message("o2", 1), message("o1", 2, order_status="shipped")])
+    raw = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(str(folder))
+
+    def run():
+        def keep(rows, n):
+            rows.write.mode("overwrite").parquet(f"{out}/batch={n}")
+
+        running = running_latest(parse(raw)).writeStream.outputMode("update").foreachBatch(keep)
+        query = running.option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start()
+        query.awaitTermination()
+        return [p.stateOperators[0] for p in query.recentProgress if p.stateOperators]
+
+    run()
+    drop(folder, "b.txt", [message("o3", 90), message("o1", 91, order_status="canceled")])
+    run()
+    drop(folder, "c.txt", [message("o2", 3), message("o4", 92)])
+    states = run()
+    live = live_orders(spark.read.parquet(out).drop("batch"))
+    assert {r.order_id: r.order_status for r in live.collect()} == {"o1": "canceled", "o3": "delivered", "o4": "delivered"}
+    assert states[-1].numRowsTotal <= 3, "the windows of the first file are gone"
