@@ -4,16 +4,21 @@ Every page is parsed into a list of elements and texts. The subtrees of block el
 hashed, the hashes are counted per host in Spark, and subtrees that recur on many pages of
 a host are deleted, together with what its element, role or class name marks as menu,
 header, footer, sidebar, notice, advert, form or comment. Where a page names its article
-or main part, only that is kept.
-
-Paragraphs, headings, lists and tables of a named article are never counted as template:
-an article that was copied to many pages stays whole. A host's templates are at most the
-mean number of subtrees of a page divided by ``SHARE``, so they travel as one list.
-
-Pages of a host with the same text outside marked elements are copies: they count as one
-page, so that copies are no evidence of a template. Only inside a named article, where
-nothing but what is no prose can be template, copies count as pages of their own. A subtree
-that holds all of a page's text is never deleted.
+or main part, only that is kept; inside it templates and marks are still deleted.
+
+Pages count by a signature of their longest block: the least hash of its five-word
+shingles, which near copies mostly share. A subtree is template where it stands on pages of
+``least`` signatures and of ``share`` of the host's, so copies of an article are no evidence
+of a template, however often they occur. Paragraphs, headings, lists and tables directly in
+a named article are never template, wrappers around them may be. Inside a named article,
+wrappers without prose also count by rows, with at least half of them. A host's templates
+are at most the mean number of subtrees of a page divided by ``share``, so they travel as
+one list. A subtree that holds all of a page's text is never deleted.
+
+A class or id marks an element only if a whole name of it says so (``footer``,
+``cookie-banner``), not a part of another (``no-comments``, ``social-science``). A marked
+element that holds the main part stays, so does a form around it or around most of a page's
+text, and marks by name that would leave nothing of a page are ignored.
 
 Null and empty html give an empty text. A null or malformed url is one host of its own.
 Unclosed and stray tags are mended as browsers do, in one pass, whatever the depth.
@@ -34,8 +39,10 @@ from pyspark.sql import functions as F
 
 from tamarind.llm.common import byte_slices, named, stored
 
-SHARE = 0.5
+SHARE = 0.05
+SHARE_OF_ROWS = 0.5
 LEAST_PAGES = 5
+SHINGLE = 5
 
 # Names of the HTML standard, and class names in common use.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -60,15 +67,26 @@ DROPPED_ROLES = set(
 )
 DROPPED_NAMES = set(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promoted promotion "
-    "nav navbar navigation menu breadcrumb breadcrumbs sidebar sidebars rail footer masthead topbar header siteheader "
+    "nav navbar navigation menu breadcrumb breadcrumbs sidebar sidebars rail footer "
     "cookie cookies consent gdpr notice notices notification alert disclaimer popup modal overlay newsletter subscribe "
     "subscription signup paywall social share sharing sharebar comment comments commentlist disqus reply replies "
     "respond discussion feedback related recommended recommendations pagination pager toolbar widget widgets login "
     "search searchform skiplink copyright".split()
 )
+DROPPED_ARTICLES = {"comment", "comments", "reply", "ad", "advert", "sponsored", "related"}
+# Site headers; inside a main part a header is the article's own.
+HEADER_NAMES = set("header masthead topbar siteheader".split())
+# Words that a compound name may hold beside one of the above.
+POSITION_NAMES = set(
+    "site main top bottom left right page global primary secondary mobile desktop sticky fixed floating bar box banner "
+    "container wrapper wrap inner outer section area list block panel links items item post posts article articles "
+    "stories form buttons button icons message body thread content row column col holder region module slot unit zone".split()
+)
 PROSE = set("p h1 h2 h3 h4 h5 h6 blockquote pre figure table dl ul ol".split())
-NAME = re.compile(r"[a-z0-9]+")
+NAME = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z0-9]+")
 OPEN, TEXT, CLOSE = 0, 1, 2
+# How an element is marked: not, by element or role, by its name, as a form.
+FREE, MARKED, NAMED, FORM = 0, 1, 2, 3
 
 
 class Page(HTMLParser):
@@ -78,7 +96,8 @@ class Page(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.items: list[tuple[int, str, bool, bool]] = []
+        self.items: list[tuple[int, str, int, bool]] = []
+        self.settled: list[tuple[int, str, int, bool]] = []
         self.end: dict[int, int] = {}
         self.hash: dict[int, int] = {}
         self.stack: list[tuple[str, int, list[bytes]]] = []
@@ -149,24 +168,64 @@ class Page(HTMLParser):
         self.close()
         while self.stack:
             self._pop()
+        self._settle(NAMED, FORM)
+        if not _text(self) and any(mark == NAMED for _, _, mark, _ in self.items):
+            self._settle(FORM)
+        self.items = [(kind, value, bool(mark), main) for kind, value, mark, main in self.settled]
         return self
 
+    def _settle(self, *heeded: int) -> None:
+        """Drops marks by name, or of forms, that hold the main part; marks that are not
+        heeded; and those of forms that hold most of the text."""
+        mains, texts, hidden = [0], [0], 0
+        for at, (kind, value, mark, main) in enumerate(self.items):
+            if kind == OPEN and mark == MARKED:
+                hidden = max(hidden, self.end[at])
+            seen = kind == TEXT and at >= hidden
+            mains.append(mains[-1] + (kind == OPEN and main and not mark))
+            texts.append(texts[-1] + (len(value.strip()) if seen else 0))
+        self.settled = []
+        for at, (kind, value, mark, main) in enumerate(self.items):
+            if mark in (NAMED, FORM):
+                end = self.end[at]
+                most = mark == FORM and 2 * (texts[end] - texts[at]) > texts[-1] and not mains[-1]
+                if mark not in heeded or mains[end] > mains[at + 1] or most:
+                    mark = FREE
+            self.settled.append((kind, value, mark, main))
+
+
+def _names_in(value: str, known: Collection[str]) -> bool:
+    """Whether a name of the list is a whole word of the value, or a compound of such
+    names and words for places only."""
+    for word in value.split():
+        parts = [p.lower() for p in NAME.findall(word)]
+        if "".join(parts) in known:
+            return True
+        if any(p in known for p in parts) and all(p in known or p in POSITION_NAMES for p in parts):
+            return True
+    return False
+
 
 @lru_cache(maxsize=4096)
-def _marked(tag: str, attrs: tuple[tuple[str, str], ...], in_main: bool) -> tuple[bool, bool]:
-    """Whether an element is no main text by its marks, and whether it is a main part."""
+def _marked(tag: str, attrs: tuple[tuple[str, str], ...], in_main: bool) -> tuple[int, bool]:
+    """How an element is marked as no main text, and whether it is a main part."""
     given = dict(attrs)
-    if tag in DROPPED or "hidden" in given or given.get("aria-hidden") == "true":
-        return True, False
+    if "hidden" in given or given.get("aria-hidden") == "true":
+        return MARKED, False
+    if tag == "form":
+        return FORM, False
+    if tag in DROPPED:
+        return MARKED, False
     if tag in ("html", "body"):
-        return False, False
+        return FREE, False
     role = given.get("role", "").lower()
     if role in DROPPED_ROLES or tag == "header" and not in_main:
-        return True, False
-    names = set(NAME.findall((given.get("class", "") + " " + given.get("id", "")).lower()))
+        return MARKED, False
+    value = given.get("class", "") + " " + given.get("id", "")
     if tag in ("article", "main") and not in_main:
-        return bool(names & {"comment", "comments", "reply", "ad", "advert", "sponsored", "related"}), True
-    return bool(names & DROPPED_NAMES), role == "main"
+        return (MARKED if _names_in(value, DROPPED_ARTICLES) else FREE), True
+    marked = _names_in(value, DROPPED_NAMES) or not in_main and _names_in(value, HEADER_NAMES)
+    return (NAMED if marked else FREE), role == "main"
 
 
 def parsed(html: str) -> Page:
@@ -176,8 +235,8 @@ def parsed(html: str) -> Page:
 def _main_parts(page: Page) -> list[tuple[int, int]]:
     """Outermost named main parts that are not dropped."""
     parts, at = [], 0
-    while at < len(page.items):
-        kind, _, dropped, main = page.items[at]
+    while at < len(page.settled):
+        kind, _, dropped, main = page.settled[at]
         if kind == OPEN and (dropped or main):
             if main and not dropped:
                 parts.append((at, page.end[at]))
@@ -189,12 +248,11 @@ def _main_parts(page: Page) -> list[tuple[int, int]]:
 
 def subtrees(page: Page) -> dict[int, int]:
     """Hashes by place of the block subtrees with text that may be template: in named main
-    parts those without prose, elsewhere all that hold no main part."""
+    parts those that are no prose and not inside prose, elsewhere all without a main part."""
     parts = _main_parts(page)
-    found, text_before, prose_before = {}, [0], [0]
+    found, text_before = {}, [0]
     for kind, value, _, _ in page.items:
         text_before.append(text_before[-1] + (kind == TEXT and bool(value.strip())))
-        prose_before.append(prose_before[-1] + (kind == OPEN and value in PROSE))
     part_starts = [a for a, _ in parts]
     prose_until = 0
     for at, (kind, tag, _, _) in enumerate(page.items):
@@ -204,22 +262,48 @@ def subtrees(page: Page) -> dict[int, int]:
         if later < len(parts) and part_starts[later] < end:
             continue
         inside = later > 0 and at < parts[later - 1][1]
-        if inside and (at < prose_until or prose_before[end] > prose_before[at]):
-            if tag in PROSE:
-                prose_until = max(prose_until, end)
+        if inside and (at < prose_until or tag in PROSE):
+            prose_until = max(prose_until, end)
             continue
         if tag not in INLINE and text_before[end] > text_before[at]:
             found[at] = page.hash[at]
     return found
 
 
+def without_prose(page: Page, at: int) -> bool:
+    return not any(kind == OPEN and tag in PROSE for kind, tag, _, _ in page.items[at : page.end[at]])
+
+
+def signature(page: Page) -> int:
+    """The least hash of the shingles of the page's longest block that is not marked."""
+    longest, block = "", []
+    for start, stop in _main_parts(page) or [(0, len(page.items))]:
+        at = start
+        while at < stop:
+            kind, value, dropped, _ = page.items[at]
+            if kind == TEXT:
+                block.append(value)
+            elif value not in INLINE or dropped:
+                if sum(map(len, block)) > len(longest):
+                    longest = "".join(block)
+                block = []
+            at = page.end[at] if kind == OPEN and dropped else at + 1
+        if sum(map(len, block)) > len(longest):
+            longest = "".join(block)
+        block = []
+    words = longest.encode("utf-8", "replace").split()
+    shingles = (b" ".join(words[i : i + SHINGLE]) for i in range(max(len(words) - SHINGLE + 1, 1)))
+    return min(xxhash.xxh64_intdigest(s) for s in shingles) - (1 << 63)
+
+
 def _text(page: Page, deleted: Collection[int] = ()) -> str:
     """The page's main text without marked elements and the given subtrees."""
     out: list[str] = []
-    for start, stop in _main_parts(page) or [(0, len(page.items))]:
+    items = page.settled
+    for start, stop in _main_parts(page) or [(0, len(items))]:
         at = start
         while at < stop:
-            kind, value, dropped, _ = page.items[at]
+            kind, value, dropped, _ = items[at]
             if kind == OPEN and (dropped or at in deleted):
                 out.append("" if value in INLINE else " ")
                 at = page.end[at]
@@ -264,21 +348,20 @@ def host_of(url: Column) -> Column:
 
 
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The subtrees of each page beside a hash of its text, once more without that hash if
-    they are inside a named main part, and the same for the page itself without subtree."""
+    """The subtrees of each page beside the page's signature, once more without it if they
+    are no prose inside a named main part, and the same for the page itself without subtree."""
     schema = pa.schema([("host", pa.string()), ("hash", pa.int64()), ("page", pa.int64())])
     for batch in batches:
         for part in byte_slices(batch, "html"):
             hosts, hashes, pages = [], [], []
             for host, html in zip(part.column("host").to_pylist(), part.column("html").to_pylist()):
                 page = parsed(html or "")
-                text = xxhash.xxh64_digest(_text(page).encode("utf-8", "replace"))
                 parts, found = _main_parts(page), subtrees(page)
                 every = [None, *set(found.values())]
-                inside = [None, *{h for at, h in found.items() if _within(parts, at)}]
+                inside = [None, *{h for at, h in found.items() if _within(parts, at) and without_prose(page, at)}]
                 hosts += [host] * (len(every) + len(inside))
                 hashes += every + inside
-                pages += [int.from_bytes(text, signed=True)] * len(every) + [None] * len(inside)
+                pages += [signature(page)] * len(every) + [None] * len(inside)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((hosts, hashes, pages), schema.types)], schema=schema)
 
 
@@ -301,7 +384,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def templates(pages: DataFrame, share: float = SHARE, least: int = LEAST_PAGES) -> DataFrame:
     """(host, templates): the hashes of the subtrees that recur on many pages of a host.
-    Copies of a page count once, but for what is inside a named main part."""
+    Pages of one signature count once, but for what is no prose inside a named main part."""
     found = pages.select("host", "html").mapInArrow(_hashes, "host string, hash bigint, page bigint")
     found = found.groupBy("host", "hash", "page").agg(F.count("*").alias("n"))
     copies = F.max(F.when(F.col("page").isNull(), F.col("n")))
@@ -310,7 +393,7 @@ def templates(pages: DataFrame, share: float = SHARE, least: int = LEAST_PAGES)
     counts = stored(counts.where(enough | F.col("hash").isNull()), "subtrees")
     hosts = counts.where("hash IS NULL").select("host", F.col("n").alias("pages"), F.col("n_inside").alias("rows"))
     recurs = (F.col("n") >= least) & (F.col("n") >= share * F.col("pages"))
-    recurs_inside = (F.col("n_inside") >= least) & (F.col("n_inside") >= share * F.col("rows"))
+    recurs_inside = (F.col("n_inside") >= least) & (F.col("n_inside") >= SHARE_OF_ROWS * F.col("rows"))
     found = counts.where("hash IS NOT NULL").join(hosts, "host").where(recurs | recurs_inside)
     return found.groupBy("host").agg(F.collect_list("hash").alias("templates"))
 

@@ -34,6 +34,81 @@ def test_main_text(source, text):
     assert page_text.main_text(source) == text
 
 
+@pytest.mark.parametrize(
+    "source",
+    [
+        '<div class="layout with-sidebar"><p>kept text</p></div>',
+        '<article class="post comments-open"><p>kept text</p></article>',
+        '<article class="post no-comments"><p>kept text</p></article>',
+        '<div id="social-science"><p>kept text</p></div>',
+        '<form id="aspnetForm"><div><p>kept text</p></div></form>',
+        '<form><div class="nav">x</div><article><p>kept text</p></article><input></form>',
+        '<div class="sidebar"><main><p>kept text</p></main></div>',
+        '<div class="promo"><p>kept text</p></div>',
+        '<article><div class="entry-header"><h1>kept</h1></div><p>text</p></article>',
+        '<article><div class="header"><h1>kept</h1></div><p>text</p></article>',
+        '<div class="site-header">Site</div><div id="mainMenu">m</div><p>kept text</p><div class="cookie-banner">c</div>',
+        '<p>kept text</p><div class="comments-list">c</div><div class="page__footer">f</div><form><p>Join</p><input></form>',
+    ],
+)
+def test_names_of_wrappers(source):
+    assert page_text.main_text(f"<body>{source}</body>") == "kept text"
+
+
+def plain_templates(rows, share, least):
+    """A counter per host over plain dictionaries: hash -> the signatures it stands on."""
+    hosts = {}
+    for _, url, source in rows:
+        host = (url or "").partition("//")[2].partition("/")[0]
+        page = page_text.parsed(source or "")
+        signatures, places = hosts.setdefault(host, (set(), {}))
+        signatures.add(page_text.signature(page))
+        for digest in set(page_text.subtrees(page).values()):
+            places.setdefault(digest, set()).add(page_text.signature(page))
+    return {
+        host: {d for d, on in places.items() if len(on) >= least and len(on) >= share * len(signatures)}
+        for host, (signatures, places) in hosts.items()
+    }
+
+
+def sections(n=240):
+    """Six sections of a host, each with its own menu without a telling name, adverts that
+    rotate, and a wrapper with prose inside every article of a section."""
+    draw, rows, texts = random.Random(8), [], []
+    for i in range(n):
+        words = " ".join("".join(draw.choices("abcdef", k=5)) for _ in range(40))
+        menu = f"<div class=x1><div>Section {i % 6}</div><div>Topics</div></div>"
+        advert = f"<div class=x2><p>Buy {i % 4} now</p></div>"
+        inner = f"<div class=x3><p>Read more in part {i % 6}</p></div>"
+        body = f"<article><h1>T {i}</h1><p>{words}</p>{inner}</article>" if i % 2 else f"<div><p>{words}</p></div>"
+        rows.append((i, f"https://{'hot' if i % 5 else 'cold'}.example/{i}", f"<body>{menu}{body}{advert}</body>"))
+        texts.append(f"T {i} {words}" if i % 2 else words)
+    return rows, texts
+
+
+def test_templates_on_a_part_of_a_host(spark):
+    rows, texts = sections()
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert [r.text for r in page_text.extracted(df).orderBy("page_id").collect()] == texts
+    off = [r.text for r in page_text.extracted(df, least=10**9).orderBy("page_id").collect()]
+    assert all(len(a) > len(b) for a, b in zip(off, texts)), "every page has something only the counts tell"
+    found = {r.host: set(r.templates) for r in page_text.templates(df.withColumn("host", page_text.host_of(df.url))).collect()}
+    assert found == {h: t for h, t in plain_templates(rows, page_text.SHARE, page_text.LEAST_PAGES).items() if t}
+
+
+def test_near_copies_are_no_templates(spark):
+    draw = random.Random(4)
+    words = ["".join(draw.choices("abcdef", k=5)) for _ in range(200)]
+    rows = []
+    for i in range(12):
+        changed = [*words[:100], f"edit{i}", *words[101:]]
+        rows.append((i, "https://a.example/", f"<body><div><p>{' '.join(changed)}</p></div><div><p>shared end</p></div></body>"))
+    own, _ = sections(60)
+    rows += [(100 + i, "https://a.example/x", html_) for i, _, html_ in own]
+    found = {r.page_id: r.text for r in page_text.extracted(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert sum("shared end" in found[i] for i in range(12)) == 12
+
+
 def test_depth_is_no_matter():
     assert page_text.main_text("<div>" * 50_000 + "x") == "x"
 
