@@ -3,7 +3,8 @@ shunting-yard parser turns and/or/with expressions behind a tag into postfix ord
 the postfix form is evaluated to labels and to how freely the text may be used.
 
 Null and empty texts have no places, null positions, empty labels and score 0. One row
-per input row. Overlapping phrases all count.
+per input row. Base phrases all count, also inside others; of the added ones those that
+lie inside no longer added phrase ("cc by nc" is no "cc by").
 """
 
 from __future__ import annotations
@@ -150,6 +151,16 @@ FIELDS = {
 }
 
 
+def outermost(places: list[tuple[int, int, str]]) -> list[str]:
+    """Phrases of (start, end, phrase) that do not lie inside a longer one."""
+    kept, reach = [], -1
+    for _, end, phrase in sorted(places, key=lambda p: (p[0], -p[1])):
+        if end > reach:
+            kept.append(phrase)
+            reach = end
+    return kept
+
+
 def scanner() -> Callable[[list], list[list]]:
     """Per task: the automaton over padded phrases, and a function over texts."""
     automaton = ahocorasick.Automaton()
@@ -162,19 +173,23 @@ def scanner() -> Callable[[list], list[list]]:
         line = " " + b" ".join(words).decode() + " "
         n_base, places, base, labels, tagged = 0, [], set(), set(), False
         missed, spaces, counted = 1.0, 0, 0
+        added: list[tuple[int, int, str]] = []
         for end, phrase in automaton.iter(line):
             spaces += line.count(" ", counted, end)
             counted = end
             if phrase == TAG:
                 tagged = True
                 continue
-            missed *= 1 - PHRASE_EVIDENCE
             if phrase in BASE_PHRASES:
+                missed *= 1 - PHRASE_EVIDENCE
                 n_base += 1
                 places.append(spaces - 1 - phrase.count(" "))
                 base.add(BASE_PHRASES[phrase])
             else:
-                labels.add(MORE_PHRASES[phrase])
+                added.append((end - len(phrase), end, phrase))
+        for phrase in outermost(added):
+            missed *= 1 - PHRASE_EVIDENCE
+            labels.add(MORE_PHRASES[phrase])
         freedom, n_tags = None, 0
         if tagged:
             for expression in TAG_LINE.findall(text):

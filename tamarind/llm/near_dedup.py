@@ -381,5 +381,6 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
     same = doc.cast("bigint").eqNullSafe(chosen.found_id) & (text_hash(text) == chosen.found_hash)
     kept = plain.join(chosen, same)
     single = kept.where("n = 1").select(*plain.columns)
-    several = kept.where("n > 1").groupBy("found_id", "found_hash").agg(F.min(F.struct(*plain.columns)).alias("row"))
+    row = F.struct(*plain.columns)  # as text it has an order, whatever its columns are
+    several = kept.where("n > 1").groupBy("found_id", "found_hash").agg(F.min_by(row, F.to_json(row)).alias("row"))
     return single.union(several.select("row.*")).toDF(*columns)

@@ -4,12 +4,14 @@ it. A segment tree over remaining capacities finds that window.
 
 The stored pieces are dealt evenly into bins of bounded size by their running number, so
 that neither one document nor one length can fill a task; each bin is packed by itself.
-Null and empty texts are the end token alone. Repeated rows are packed as often as they
+Texts of a tokenizer that keeps words apart are encoded word by word, those of any other
+as wholes. Null and empty texts are the end token alone. Repeated rows are packed as often as they
 occur. Every token lies in exactly one piece.
 """
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -87,12 +89,29 @@ def encoder(known: WordIds) -> Callable[[str | None], bytes]:
     return ids_of
 
 
+@lru_cache(maxsize=4)
+def keeps_words_apart(vocabulary: str) -> bool:
+    """Whether a tokenizer lowers its text and drops the white space between words, so that
+    the ids of a text are those of its words."""
+    parts = json.loads(tokenizer(vocabulary).to_str())
+    steps = [step["type"] for step in (parts["normalizer"] or {}).get("normalizers", [])]
+    first = ((parts["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0]
+    return steps == ["NFC", "Replace", "Lowercase"] and (first.get("behavior"), first.get("invert")) == ("Removed", True)
+
+
+def whole_encoder(vocabulary: str) -> Callable[[str | None], bytes]:
+    """As ``encoder``, for any tokenizer: each text in one call."""
+    encode, last = tokenizer(vocabulary).encode, np.uint32(END).astype("<u4").tobytes()
+    return lambda text: np.asarray(encode(text or "", add_special_tokens=False).ids, "<u4").tobytes() + last
+
+
 PIECE = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, number bigint"
 
 
 def _pieces(vocabulary: str, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, number = encoder(word_ids(vocabulary)), 0
+        by_words = keeps_words_apart(vocabulary)
+        ids_of, number = encoder(word_ids(vocabulary)) if by_words else whole_encoder(vocabulary), 0
         for batch in batches:
             for part in byte_slices(batch, "text"):
                 rows = []

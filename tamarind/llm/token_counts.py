@@ -2,9 +2,9 @@
 balanced by bytes, and only lengths leave the Arrow function.
 
 A boundary is safe where no token can reach over it: between a character that is no
-white space and a following space or line break. The byte-level pre-tokenizer never
-joins the two, so the lengths of the cuts add up to the length of the text. Texts that
-hold any other white space are encoded whole. Cuts that recur within a task (words,
+white space and a following space, tab or line break. The byte-level pre-tokenizer never
+joins the two, so the lengths of the cuts add up to the length of the text, and a very long
+text never is one call unless it has no white space. Cuts that recur within a task (words,
 mostly) are encoded once and their lengths remembered, up to a bounded number.
 
 Null and empty texts have 0 tokens. One row per input row.
@@ -29,15 +29,24 @@ BATCH_BYTES = 1 << 20
 REMEMBERED = 700_000
 CLOSING = ".,;:!?"
 
-# White space that the pre-tokenizer may join with a space or line break before or after
-# it, or that Python and the tokenizer do not agree on.
-OTHER_WHITE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0 ᠎ -‏    ⁠　﻿]")
-CUT = re.compile(r"[ \n]*[^ \n]+|[ \n]+\Z")
+# Characters of which Python and the tokenizer might disagree whether they are white space:
+# no boundary is placed behind one.
+DOUBTFUL = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
+CUT = re.compile(r"[ \n\t\r\x0b\x0c]*[^ \n\t\r\x0b\x0c]+|[ \n\t\r\x0b\x0c]+\Z")
 
 
 def cuts_of(text: str) -> list[str]:
     """Pieces that end at safe boundaries; together they are the text."""
-    return [text] if OTHER_WHITE.search(text) else CUT.findall(text)
+    pieces = CUT.findall(text)
+    if not DOUBTFUL.search(text):
+        return pieces
+    joined: list[list[str]] = []
+    for piece in pieces:
+        if joined and DOUBTFUL.match(joined[-1][-1][-1]):
+            joined[-1].append(piece)
+        else:
+            joined.append([piece])
+    return ["".join(parts) for parts in joined]
 
 
 def balanced(pieces: list[str], limit: int = BATCH_BYTES) -> Iterator[list[str]]:

@@ -172,3 +172,12 @@ def test_components(spark, shape, at_once, monkeypatch):
         want.setdefault(root(node), set()).add(found[node])
     assert all(len(v) == 1 for v in want.values())
     assert len({next(iter(v)) for v in want.values()}) == len(want)
+
+
+def test_keep_one_with_columns_that_have_no_order(spark, frame):
+    text = "one two three four five six seven"
+    docs = frame([(1, text), (1, text), (2, text), (3, "other words that stand alone here")])
+    docs = docs.selectExpr("*", "map('k', doc_id) AS m", "array(map('a', 1)) AS n", "CAST(text AS BINARY) AS b")
+    kept = near_dedup.keep_one(docs)
+    assert kept.dtypes == docs.dtypes
+    assert sorted((r.doc_id, r.m["k"]) for r in kept.collect()) == [(1, 1), (3, 3)]

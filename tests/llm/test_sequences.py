@@ -170,3 +170,24 @@ def test_packing_is_close(frame):
     check_packing(rows, {i: ("some words here " * (i % 90), 1) for i in range(2_000)})
     windows, tokens = max(r.sequence_id for r in rows) + 1, sum(r.length for r in rows)
     assert tokens / (windows * 2048) > 0.98
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="ab1.'\t\r\n \x0b\x0c\x1c\x85\xa0\u200b\u3000é", max_size=60))
+def test_cuts_beside_any_white_space(text):
+    cuts = token_counts.cuts_of(text)
+    assert "".join(cuts) == text
+    encode = tokenizer(token_counts.VOCABULARY).encode
+    assert sum(len(encode(c, add_special_tokens=False).ids) for c in cuts) == len(encode(text, add_special_tokens=False).ids)
+
+
+def test_one_tab_does_not_keep_a_text_whole():
+    text = "word " * 1_000 + "\t" + "word\r\n" * 1_000 + "\xa0" + "word\t" * 1_000
+    assert len(token_counts.cuts_of(text)) >= 3_000
+
+
+def test_packing_with_another_vocabulary(frame):
+    text = "Don't Shout  here\n\nOr THERE."
+    row = packing.packed(frame([(1, text)]), vocabulary="byte_bpe_50k.json").first()
+    ids = [*tokenizer("byte_bpe_50k.json").encode(text, add_special_tokens=False).ids, packing.END]
+    assert (row.length, row.ids_crc32) == (len(ids), zlib.crc32(np.asarray(ids, "<u4").tobytes()))

@@ -174,3 +174,11 @@ def test_tags_add_labels(frame):
     row = licenses.scanned(frame([(1, text)])).first()
     assert (row.base_labels, row.labels, row.n_base, row.n_tags) == ("mit", "apache,mit", 1, 1)
     assert row.score > 0.9
+
+
+def test_a_phrase_inside_a_longer_one_gives_no_label(frame):
+    texts = ["Licensed under CC BY-NC 4.0", "licensed under cc by, all", "lesser general public license", "cc by nc"]
+    rows = {r.doc_id: r for r in licenses.scanned(frame(list(enumerate(texts)))).collect()}
+    assert [rows[i].labels for i in range(4)] == ["cc by-nc", "cc by", "gpl,lgpl", ""]
+    assert rows[2].base_labels == "gpl" and rows[2].n_base == 1
+    assert rows[0].score == rows[1].score
