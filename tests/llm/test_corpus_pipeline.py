@@ -75,7 +75,7 @@ def test_stages(spark, folder):
         elif name == "quality_rules":
             assert after == sorted((r for r in before if not brute_base(r[1])[-1]), key=str) and len(after) < len(before)
         elif name == "near_dedup":
-            classes = brute_classes(before)
+            classes = brute_classes(before, percent=corpus_pipeline.NEAR_PERCENT)
             ids = sorted({c for _, c in classes if c is not None})
             assert sorted(d for d, _ in after if d is not None) == ids and len(after) < len(before)
             assert sum(d is None for d, _ in after) == 1
@@ -91,7 +91,7 @@ def test_stages(spark, folder):
 
 def test_run_is_registered(spark, folder):
     queries = __spark_entry__.queries()
-    assert all(sum(name.startswith(f"op{n}_") for name in queries) == 1 for n in range(1, 11))
+    assert all(sum(name.startswith(f"op{n}_") for name in queries) == 1 for n in range(1, 14))
     pieces = queries["pipeline"](spark, folder).collect()
     assert pieces and "pipeline" not in __spark_entry__.oracle_sql()
 

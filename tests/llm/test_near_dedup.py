@@ -21,7 +21,7 @@ def brute_sets(rows):
     return sets
 
 
-def brute_classes(rows):
+def brute_classes(rows, percent=85):
     """(n_shingles, component_id) of every row."""
     sets = brute_sets(rows)
     label = list(range(len(rows)))
@@ -34,7 +34,7 @@ def brute_classes(rows):
     for i in range(len(rows)):
         for j in range(i):
             if sets[i] and sets[j] and root(i) != root(j):
-                if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+                if 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
                     label[root(i)] = root(j)
     low = {}
     for i, (doc, _) in enumerate(rows):
