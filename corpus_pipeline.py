@@ -12,7 +12,7 @@ from tamarind.llm.common import prepared, stored, table
 
 # Similarity of near-duplicates in percent; tests/llm/test_corpus_pipeline.py holds the
 # stage against all pairs at this threshold.
-NEAR_PERCENT = 85
+NEAR_PERCENT = 80
 
 
 def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
