@@ -11,7 +11,19 @@ from tamarind.functions.temporal import wall_clock
 from tamarind.functions.text import clean_text
 from tamarind.operators import repair
 from tamarind.operators.profiles import integrity_gap, missing_when, nulls_by
-from tamarind.operators.quality import ForeignKey, Holds, NotNull, Unique, guarded, missing_names, summarise, tag
+from tamarind.operators.quality import (
+    ForeignKey,
+    Holds,
+    NotNull,
+    Unique,
+    check_rules,
+    guarded,
+    missing_names,
+    missing_of,
+    outcome_table,
+    summarise,
+    tag,
+)
 from tamarind.plans import reports
 
 _RULES = (
@@ -27,7 +39,15 @@ _RULES = (
 )
 
 
-@query("dq_summary", "Q04 Q10 Q11 Q12 Q13", sql("""
+# Rules that cannot run: the table or column is not there, or a row makes the rule fail.
+_BROKEN = (
+    NotNull("returns_null_id", "returns", ("return_id",)),
+    Holds("orders_no_such_column", "orders", "order_paid_at IS NOT NULL"),
+    Holds("orders_status_is_a_number", "orders", "CAST(order_status AS INT) > 0"),
+)
+
+
+@query("dq_summary", "Q04 Q10 Q11 Q12 Q13 Q14 Q15", sql("""
     SELECT 'customers_null_customer_id' AS dq_rule, count(*) FILTER (customer_id IS NULL) AS issue_count FROM silver_customers
     UNION ALL SELECT 'leads_null_id', count(*) FILTER (mql_id IS NULL) FROM raw_leads
     UNION ALL SELECT 'orders_null_dates', count(*) FROM silver_orders
@@ -43,14 +63,47 @@ _RULES = (
     UNION ALL SELECT 'items_unique', count(*) FROM (SELECT 1 FROM raw_items GROUP BY order_id, order_item_id
         HAVING count(*) > 1)
     UNION ALL SELECT 'orders_in_order', count(*) FROM silver_orders
-        WHERE NOT coalesce(order_approved_at <= order_delivered_customer_date, false)"""))
+        WHERE NOT coalesce(order_approved_at <= order_delivered_customer_date, false)
+    UNION ALL VALUES ('returns_null_id', 1), ('orders_no_such_column', 1), ('orders_status_is_a_number', 1),
+        ('expected_table_missing', 1)"""))
+def _(r):
+    used = ("orders", "items", "customers", "payments", "deals", "acquisition")
+    r.keep(*used)
+    tables = {t: r.use(t) for t in used}
+    raw = {"leads": r.role("raw_leads"), "sellers": r.role("raw_sellers"), "raw_items": r.role("raw_items")}
+    outcomes = check_rules(r.spark, (*_RULES, *_BROKEN), {**tables, **raw})
+    missing = missing_of(("customers", "orders", "items", "returns"), list(tables))
+    outcomes.append(("expected_table_missing", len(missing), ", ".join(missing)))
+    return outcome_table(r.spark, outcomes).select("dq_rule", "issue_count")
+
+
+@query("rule_counts", "Q10 Q11 Q13 D15", sql("""
+    SELECT 'items_orphan_product_id' AS dq_rule, count(*) AS issue_count FROM raw_items i
+        WHERE NOT EXISTS (SELECT 1 FROM silver_products p WHERE p.product_id = i.product_id AND p.product_weight_g > 2000)
+    UNION ALL SELECT 'items_orphan_seller_id', count(*) FROM raw_items
+        WHERE CAST(seller_id AS INT) NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)
+    UNION ALL SELECT 'items_orphan_order_id', count(*) FROM raw_items
+        WHERE order_id NOT IN (SELECT CAST(o_orderkey AS VARCHAR) FROM orders)
+    UNION ALL SELECT 'payments_orphan_order_id', count(*) FROM raw_payments
+        WHERE order_id NOT IN (SELECT CAST(o_orderkey AS VARCHAR) FROM orders)
+    UNION ALL SELECT 'items_unique_seller', count(*) FROM (SELECT 1 FROM raw_items GROUP BY order_id, seller_id
+        HAVING count(*) > 1)
+    UNION ALL SELECT 'items_null_limit', count(*) FROM raw_items WHERE shipping_limit_date IS NULL"""))
 def _(r):
-    r.keep("orders")
-    tables = {t: r.use(t) for t in ("customers", "orders", "items", "payments", "deals", "acquisition")}
-    return summarise(
-        _RULES,
-        {**tables, "leads": r.role("raw_leads"), "sellers": r.role("raw_sellers"), "raw_items": r.role("raw_items")},
+    # heavy products and solvent sellers only, so that every foreign key has orphans
+    heavy = r.products.rows.where("product_weight_g > 2000").select("product_id")
+    solvent = r.table("supplier").where("s_acctbal > 0").select(F.col("s_suppkey").cast("string").alias("seller_id"))
+    known = r.table("orders").select(F.col("o_orderkey").cast("string").alias("order_id"))
+    rules = (
+        ForeignKey("items_orphan_product_id", "items", "product_id", "products", "product_id"),
+        ForeignKey("items_orphan_seller_id", "items", "seller_id", "sellers", "seller_id"),
+        ForeignKey("items_orphan_order_id", "items", "order_id", "orders", "order_id"),
+        ForeignKey("payments_orphan_order_id", "payments", "order_id", "orders", "order_id"),
+        Unique("items_unique_seller", "items", ("order_id", "seller_id")),
+        NotNull("items_null_limit", "items", ("shipping_limit_date",)),
     )
+    tables = {"items": r.role("raw_items"), "payments": r.role("raw_payments")}
+    return summarise(rules, {**tables, "products": heavy, "sellers": solvent, "orders": known})
 
 
 @query("missing_names", "Q14 Q15 S20 S21", sql("""

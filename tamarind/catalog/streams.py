@@ -1,45 +1,72 @@
 """Event-stream and dashboard queries (T*, V*). The stream is the whole lineitem
-table, one nested JSON message per row."""
+table, one nested JSON message per row, in several files."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamarind.catalog.base import cols, query
 from tamarind.catalog.oracle import rnd, sql
-from tamarind.catalog.roles import ROLES
 from tamarind.functions import fixed
 from tamarind.plans import serving
 from tamarind.session import scratch_path
+from tamarind.sources.versions import Files
 from tamarind.streaming import measures
-from tamarind.streaming.events import FLAT_FIELDS, flatten, parse
-from tamarind.streaming.store import EventStore, archive, file_source, running_counts
+from tamarind.streaming.events import FLAT_FIELDS, flatten, flatten_all, parse
+from tamarind.streaming.store import EventStore, archive, file_source, live_orders, running_counts, running_latest
 
 
-def _messages(flat: DataFrame) -> DataFrame:
-    """Flat events as the nested JSON that the topic carries."""
+def _message() -> Column:
+    """A flat event as the nested JSON that the topic carries."""
     parts = [F.struct(*fields).alias(part) for part, fields in FLAT_FIELDS.items()]
-    return flat.select(F.to_json(F.struct("event_timestamp", *parts)).alias("value"))
+    return F.to_json(F.struct("event_timestamp", *parts)).alias("value")
+
+
+def _messages(flat: DataFrame) -> DataFrame:
+    return flat.select(_message())
 
 
 def _flat(r) -> DataFrame:
     return flatten(parse(_messages(r.role("flat_events"))))
 
 
-def _stream(r) -> DataFrame:
-    """The same messages as a stream over the table's file."""
-    lines = file_source(
-        r.spark, r.folder, r.table("lineitem").schema, pathGlobFilter="lineitem.parquet", maxFilesPerTrigger="1"
-    )
-    return _messages(r.spark.sql(ROLES["flat_events"], lineitem=lines))
+# The messages arrive in so many files by order, and an empty one in between.
+_FILES, _EMPTY_AT = 5, 2
+
 
+def _files(r) -> list[str]:
+    """The whole table's messages as files in order of arrival, each a micro-batch. The
+    times of the files are set, because a file stream goes by them."""
+    folder = scratch_path(r.spark, "topic")
+    part = F.pmod(F.col("order_id").cast("bigint"), F.lit(_FILES)).alias("part")
+    messages = r.role("flat_events").select(part, _message()).repartition("part")
+    messages.write.partitionBy("part").text(folder)
+    files = Files(r.spark)
+    places = [
+        f"{folder}/part={n}/{name}" for n in range(_FILES) for name in sorted(files.names(f"{folder}/part={n}"))
+    ]
+    places.insert(_EMPTY_AT, f"{folder}/nothing.txt")
+    for minute, place in enumerate(places):
+        files.touch(place, 1_700_000_000 + 60 * minute)
+    return places
 
-def _played(r) -> EventStore:
-    """The stream run to its end into a new event store."""
+
+def _stream(r, places: list[str]) -> DataFrame:
+    """The messages as a stream, one file at a time."""
+    folder = places[_EMPTY_AT].rpartition("/")[0]
+    return file_source(r.spark, folder, "value string", "text", maxFilesPerTrigger="1", recursiveFileLookup="true")
+
+
+def _played(r, *tables: str, **settings) -> EventStore:
+    """The stream run to its end into a new event store that folds as it runs; then the
+    second batch, long folded, and the last one are delivered once more."""
+    places = _files(r)
     root = scratch_path(r.spark, "events")
-    store = EventStore(r.spark, f"{root}/store")
-    store.start(_stream(r), f"{root}/checkpoint", {"availableNow": True}).awaitTermination()
+    store = EventStore(r.spark, f"{root}/store", fold_every=2, tables=tables, **settings)
+    store.start(_stream(r, places), f"{root}/checkpoint", {"availableNow": True}).awaitTermination()
+    for batch in (1, len(places) - 1):
+        store.apply(flatten_all(parse(r.spark.read.text(places[batch]))), batch)
     return store
 
 
@@ -78,7 +105,7 @@ def _(r):
 
 @query("stream_counters", "T04 T05 T06 T07 T13 S15 S16", sql(_COUNTS))
 def _(r):
-    return _played(r).read("counters")
+    return _played(r, "counters").read("counters")
 
 
 @query("stream_running_counts", "T07 S15", sql(_COUNTS))
@@ -88,7 +115,7 @@ def _(r):
     def upsert(changed: DataFrame, batch_id: int) -> None:
         changed.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
 
-    running_counts(parse(_stream(r))).writeStream.outputMode("complete").foreachBatch(upsert).option(
+    running_counts(parse(_stream(r, _files(r)))).writeStream.outputMode("complete").foreachBatch(upsert).option(
         "checkpointLocation", f"{root}-checkpoint"
     ).trigger(availableNow=True).start().awaitTermination()
     batches = r.spark.read.parquet(root)
@@ -111,7 +138,7 @@ def _(r):
 
 @query("stream_kpi_row", "V01 T08 T09 T13", sql(_KPI))
 def _(r):
-    return serving.kpi_row(_played(r).read("metrics"))
+    return serving.kpi_row(_played(r, "metrics").read("metrics"))
 
 
 @query("recent_events", "T11", sql(f"SELECT {_SELECT} FROM flat_events ORDER BY {_ORDER} LIMIT 200"))
@@ -127,7 +154,37 @@ _LATEST = f"""(SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITIO
     SELECT {_SELECT} FROM {_LATEST} WHERE CAST(event_timestamp AS TIMESTAMP) >
         (SELECT max(CAST(event_timestamp AS TIMESTAMP)) - INTERVAL '24' HOUR FROM flat_events)"""))
 def _(r):
-    return _played(r).live().drop("event_time")
+    return _played(r, "latest").live().drop("event_time")
+
+
+@query("stream_latest_state", "T10 T14", sql(f"""
+    SELECT {_SELECT} FROM {_LATEST} WHERE CAST(event_timestamp AS TIMESTAMP) >
+        (SELECT max(CAST(event_timestamp AS TIMESTAMP)) - INTERVAL '24' HOUR FROM flat_events)"""))
+def _(r):
+    root = scratch_path(r.spark, "newest")
+
+    def keep(changed: DataFrame, batch_id: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+
+    running_latest(parse(_stream(r, _files(r)))).writeStream.outputMode("update").foreachBatch(keep).option(
+        "checkpointLocation", f"{root}-checkpoint"
+    ).trigger(availableNow=True).start().awaitTermination()
+    return live_orders(r.spark.read.parquet(root).drop("batch_id")).drop("event_time")
+
+
+_LATE_HOURS = 3 * 365 * 24
+
+
+@query("stream_day_windows", "T13 T14", sql(f"""
+    SELECT CAST(CAST(t AS DATE) AS VARCHAR) AS day, count(*) FILTER (NOT late) AS events, count(*) FILTER (late) AS late_events
+    FROM (SELECT t, coalesce(t < top - INTERVAL '{_LATE_HOURS}' HOUR, false) AS late FROM (
+        SELECT CAST(event_timestamp AS TIMESTAMP) AS t, CAST(order_id AS BIGINT) % {_FILES} AS part FROM flat_events) e
+        LEFT JOIN (SELECT part, max(newest) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top
+            FROM (SELECT CAST(order_id AS BIGINT) % {_FILES} AS part, max(CAST(event_timestamp AS TIMESTAMP)) AS newest
+                  FROM flat_events GROUP BY 1)) p ON e.part = p.part) GROUP BY 1"""))
+def _(r):
+    # tumbling days; an event more than three years older than the newest of earlier files is late
+    return _played(r, "days", late_hours=_LATE_HOURS).read("days")
 
 
 @query("stream_archive", "S17", sql("""
@@ -137,7 +194,7 @@ def _(r):
     # archived by month here: the table spans seven years, and a folder per day is
     # meant for a stream that arrives day by day
     root = scratch_path(r.spark, "archive")
-    flat = flatten(parse(_stream(r)))
+    flat = flatten(parse(_stream(r, _files(r))))
     archive(flat, f"{root}/events", f"{root}/checkpoint", {"availableNow": True}, grain="yyyy-MM").awaitTermination()
     stored = r.spark.read.parquet(f"{root}/events")
     return stored.groupBy(F.col("event_date").cast("string").alias("event_month")).agg(

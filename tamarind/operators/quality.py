@@ -96,12 +96,136 @@ def issue_table(rule: Rule, tables: Tables, at: Column | None = None) -> DataFra
     )
 
 
+# What a row tells the count of a rule: that it violates it; a key that must occur once;
+# such a key that has a null; a key that must have a parent; a parent's key.
+_VIOLATES, _KEY, _NULL_KEY, _CHILD, _PARENT = "violates", "key", "null key", "child", "parent"
+
+
+def _key(*cols: str) -> Column:
+    """A key as text, so that keys of all tables go through one aggregate."""
+    parts = [F.col(c).cast("string") for c in cols]
+    return parts[0] if len(parts) == 1 else F.to_json(F.array(*parts))
+
+
+def _tells(what: str, subject: str, key: Column | None, when: Column | None = None) -> Column:
+    """One statement of a row; none where ``when`` does not hold."""
+    told = F.struct(
+        F.lit(what).alias("what"),
+        F.lit(subject).alias("subject"),
+        (F.lit(None) if key is None else key).cast("string").alias("key"),
+    )
+    return told if when is None else F.when(is_true(when), told)
+
+
+def _domain(rule: ForeignKey) -> str:
+    return f"{rule.parent}.{rule.parent_col}"
+
+
+def _statements(rule: Rule) -> list[tuple[str, str, Column]]:
+    """What the rows of each table tell about a rule, as (table, subject, statement)."""
+    if isinstance(rule, NotNull):
+        return [(rule.table, rule.name, _tells(_VIOLATES, rule.name, None, any_null(*rule.cols)))]
+    if isinstance(rule, Holds):
+        return [(rule.table, rule.name, _tells(_VIOLATES, rule.name, None, ~is_true(F.expr(rule.condition))))]
+    if isinstance(rule, Unique):
+        nulls = any_null(*rule.cols)
+        key = F.to_json(F.array(*[F.col(c).cast("string") for c in rule.cols]))
+        told = F.coalesce(_tells(_NULL_KEY, rule.name, key, nulls), _tells(_KEY, rule.name, key))
+        return [(rule.table, rule.name, told)]
+    child, parent = F.col(rule.col).isNotNull(), F.col(rule.parent_col).isNotNull()
+    asked = is_true(F.expr(rule.where)) if rule.where else F.lit(True)
+    subject = f"{_domain(rule)}<{rule.name}"
+    told = [
+        (rule.table, subject, _tells(_CHILD, subject, _key(rule.col), asked & child)),
+        (rule.parent, _domain(rule), _tells(_PARENT, _domain(rule), _key(rule.parent_col), parent)),
+    ]
+    if not rule.ignore_null:
+        told.append((rule.table, rule.name, _tells(_VIOLATES, rule.name, None, asked & ~child)))
+    return told
+
+
 def summarise(rules: Sequence[Rule], tables: Tables) -> DataFrame:
-    """One row per rule with its number of violations."""
-    counts = [
-        rule.issues(tables).agg(F.lit(rule.name).alias("dq_rule"), F.count("*").alias("issue_count")) for rule in rules
+    """One row per rule with its number of violations, in one pass over each table.
+
+    Every row tells what it knows: rules that it violates, keys that must be unique, keys
+    that need a parent, keys that are one. Statements of all tables meet in one aggregate
+    by key, which takes the place of a grouping per constraint and a join per foreign key.
+    They are combined before the shuffle, so a hot key sends one row per task.
+    """
+    told: dict[str, dict[str, Column]] = {}
+    for rule in rules:
+        for table, subject, statement in _statements(rule):
+            # several rules may need the same parent key, which is told once
+            told.setdefault(table, {})[subject] = statement
+    parts = [
+        tables[table].select(F.explode(F.array_compact(F.array(*said.values()))).alias("s")).select("s.*")
+        for table, said in told.items()
     ]
-    return reduce(DataFrame.unionAll, counts)
+    single = reduce(DataFrame.unionAll, parts).groupBy("what", "subject", "key").agg(F.count("*").alias("n"))
+    # a parent's statement and those of its children come together under the parent's column
+    about = F.when(F.col("what") == _CHILD, F.substring_index("subject", "<", 1)).otherwise(F.col("subject"))
+    asks = F.struct(F.substring_index("subject", "<", -1).alias("dq_rule"), "what", "n")
+    by_key = single.groupBy(about.alias("about"), "key").agg(
+        F.max(F.col("what") == _PARENT).alias("known"), F.collect_list(F.when(F.col("what") != _PARENT, asks)).alias("asked")
+    )
+    issues = (
+        F.when(F.col("a.what") == _VIOLATES, F.col("a.n"))
+        .when(F.col("a.what") == _CHILD, F.when(F.col("known"), 0).otherwise(F.col("a.n")))
+        .otherwise(((F.col("a.n") > 1) | (F.col("a.what") == _NULL_KEY)).cast("long"))
+    )
+    counts = by_key.select("known", F.explode("asked").alias("a")).groupBy("a.dq_rule").agg(F.sum(issues).alias("n"))
+    spark = single.sparkSession
+    names = spark.createDataFrame([(r.name,) for r in rules], "dq_rule string")
+    return names.join(counts, "dq_rule", "left").select("dq_rule", F.coalesce("n", F.lit(0)).alias("issue_count"))
+
+
+_OUTCOME = "dq_rule string, issue_count bigint, validation_error string"
+
+
+def check_rules(spark: SparkSession, rules: Sequence[Rule], tables: Tables) -> list[tuple[str, int, str | None]]:
+    """(rule, issues, error) of every rule, a row of each reaching the driver.
+
+    All rules that can be planned run as one job. A rule that cannot (its table or column is
+    absent) is one issue with the reason. If the job fails, it is repeated with the halves of
+    the rules, so that a rule that fails on some row is one issue too and the others still
+    count (Q15).
+    """
+    failed: dict[str, str] = {}
+    sound: list[Rule] = []
+    for rule in rules:
+        try:
+            for table, _, statement in _statements(rule):
+                tables[table].select(statement).schema  # analysis errors surface here
+            sound.append(rule)
+        except Exception as error:  # noqa: BLE001 - any failure is itself an issue
+            failed[rule.name] = _reason(error)
+
+    def counted(some: list[Rule]) -> dict[str, int]:
+        try:
+            return {r.dq_rule: r.issue_count for r in summarise(some, tables).collect()} if some else {}
+        except Exception as error:  # noqa: BLE001 - find out which one it was
+            if len(some) == 1:
+                failed[some[0].name] = _reason(error)
+                return {}
+            half = len(some) // 2
+            return counted(some[:half]) | counted(some[half:])
+
+    counts = counted(sound)
+    return [(r.name, counts.get(r.name, 1), failed.get(r.name)) for r in rules]
+
+
+def _reason(error: Exception) -> str:
+    return f"{type(error).__name__}: {error}".splitlines()[0]
+
+
+def missing_of(expected: Sequence[str], present: Sequence[str]) -> list[str]:
+    """Expected tables or marts that are not there (Q14)."""
+    return [name for name in expected if name not in set(present)]
+
+
+def outcome_table(spark: SparkSession, outcomes: Sequence[tuple[str, int, str | None]]) -> DataFrame:
+    """Outcomes of :func:`check_rules` as a table, failures with their reason."""
+    return spark.createDataFrame(list(outcomes), _OUTCOME)
 
 
 def check_primary_key(df: DataFrame, *cols: str) -> DataFrame:

@@ -14,7 +14,15 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamarind.operators.quality import ForeignKey, NotNull, Rule, issue_table
+from tamarind.operators.quality import (
+    ForeignKey,
+    NotNull,
+    Rule,
+    check_rules,
+    issue_table,
+    missing_of,
+    outcome_table,
+)
 from tamarind.plans import gold, marts, silver, staging
 from tamarind.sources.audit import log_rejects
 from tamarind.sources.tables import Lake
@@ -183,18 +191,36 @@ def build_marts(run: Run) -> None:
     )
 
 
-def check_quality(run: Run) -> DataFrame:
-    """Write one issue table per rule; return violations per rule and constraint.
+# Tables that a whole run leaves behind.
+EXPECTED = (
+    "silver_geolocation", "silver_customers", "silver_orders", "silver_products", "silver_order_items",
+    "silver_payments", "silver_reviews", "silver_marketing_qualified_leads", "silver_closed_deals", "silver_sellers",
+    "seller_acquisition_staging", "sales_staging", "order_delivery_staging", "reviews_staging",
+    "seller_fulfillment_staging", "seller_performance_monthly_staging", *marts.PRIMARY_KEYS,
+)
+
+
+def check_quality(run: Run, *, with_marts: bool = False) -> DataFrame:
+    """Violations per rule and constraint; rows are written for violated rules only.
 
-    The counts are observed while the issues are written, so each rule runs once.
+    One job counts for all rules (:func:`summarise`). Expected tables, and marts where they
+    were built, that are absent and rules that could not run are issues like any other.
     """
-    counts = []
-    for rule in (*RULES, *marts.gold_constraints()):
-        issues = issue_table(rule, run.tables, F.lit(run.run_at))
-        _, n = run.lake("quality").write_counted(issues, f"dq_{rule.name}")
-        counts.append((rule.name, n))
-    summary = run.spark.createDataFrame(counts, "dq_rule string, issue_count bigint")
-    return run.keep("quality", "dq_summary", summary)
+    rules = (*RULES, *marts.gold_constraints())
+    outcomes = check_rules(run.spark, rules, run.tables)
+    lake = run.lake("quality")
+    for rule, (_, count, error) in zip(rules, outcomes):
+        if count and error is None:
+            lake.write(issue_table(rule, run.tables, F.lit(run.run_at)), f"dq_{rule.name}")
+    names = [f"{m.name}.{t}" for m in marts.MARTS for t in m.tables] if with_marts else []
+    published = [n for n in names if run.spark.catalog.tableExists(n)]
+    for rule, expected, present in (
+        ("expected_table_missing", EXPECTED, list(run.tables)),
+        ("expected_mart_table_missing", names, published),
+    ):
+        missing = missing_of(expected, present)
+        outcomes.append((rule, len(missing), ", ".join(missing) or None))
+    return run.keep("quality", "dq_summary", outcome_table(run.spark, outcomes))
 
 
 def run_pipeline(run: Run, bronze: Mapping[str, DataFrame], *, with_marts: bool = True) -> DataFrame:
@@ -203,4 +229,4 @@ def run_pipeline(run: Run, bronze: Mapping[str, DataFrame], *, with_marts: bool
     build_gold(run)
     if with_marts:
         build_marts(run)
-    return check_quality(run)
+    return check_quality(run, with_marts=with_marts)

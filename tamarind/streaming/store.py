@@ -223,13 +223,19 @@ def running_latest(parsed: DataFrame, hours: int = 24) -> DataFrame:
     ``hours`` behind the newest event, and with them late events, which would have expired
     anyway. :func:`live_orders` picks from what the sink holds.
     """
-    flat = flatten(parsed).withColumn("event_time", wall_clock("event_timestamp").cast("timestamp"))
+    flat = flatten(parsed)
+    fields = [c for c in flat.columns if c != "order_id"]
+    timed = flat.withColumn("event_time", wall_clock("event_timestamp").cast("timestamp"))
     span = f"{hours} hours"
-    fields = [c for c in flat.columns if c not in ("order_id", "event_time")]
-    newest = F.max(F.struct("event_time", *fields)).alias("e")
-    timed = flat.where("event_time IS NOT NULL").withWatermark("event_time", span)
+    # the greatest time, and among equal ones the least fields, as in a batch
+    age = -F.unix_micros("event_time")
+    newest = F.min(F.struct(age.alias("age"), *fields)).alias("e")
+    timed = timed.where("event_time IS NOT NULL").withWatermark("event_time", span)
     return timed.groupBy(F.window("event_time", span).alias("span"), "order_id").agg(newest).select(
-        "order_id", "e.*", F.col("span.start").alias("window_start")
+        "order_id",
+        *[f"e.{c}" for c in fields],
+        F.timestamp_micros(-F.col("e.age")).alias("event_time"),
+        F.col("span.start").alias("window_start"),
     )
 
 

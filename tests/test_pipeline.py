@@ -155,6 +155,27 @@ def test_quality_finds_only_the_planted_issues(run):
     }
 
 
+def test_issue_rows_are_written_for_violated_rules_only(run):
+    import os
+
+    written = {n.removeprefix("dq_") for n in os.listdir(f"{run.root}/quality") if n.startswith("dq_")} - {"summary"}
+    assert written == {r.dq_rule for r in run.summary.where("issue_count > 0").collect()}
+    absent = pipeline.Run(run.spark, run.root + "/absent", "x", run.run_at)
+    absent.tables = {k: v for k, v in run.tables.items() if k not in ("dim_date", "silver_orders")}
+    found = {r.dq_rule: r for r in pipeline.check_quality(absent, with_marts=True).collect()}
+    assert found["expected_table_missing"].issue_count == 2
+    assert found["expected_table_missing"].validation_error == "silver_orders, dim_date"
+    assert found["orders_null_keys"].validation_error and found["orders_null_keys"].issue_count == 1
+    assert found["expected_mart_table_missing"].issue_count == 0
+    assert found["closed_deals_orphan_mql_id"].issue_count == 1
+
+
+def test_orders_are_enriched_in_place(run):
+    orders = run.lake("silver").read("silver_orders")
+    assert orders.columns[-3:] == ["total_amount_paid", "financial_variance", "payment_status"]
+    assert by(orders, "order_id", "payment_status")["o5"] == ("no payment record",)
+
+
 def test_audit_log_is_idempotent(run, spark):
     audit = run.lake("audit")
     reasons = {r[0]: r[1] for r in read_log(audit, "silver_reviews", "run-1").groupBy("error_reason").count().collect()}

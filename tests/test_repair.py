@@ -141,6 +141,47 @@ def test_rules(spark, rows):
     assert rows(quality.null_key_counts(tables["c"], {"nulls": "fk"})) == [(1,)]
 
 
+def test_all_rules_take_one_pass_over_each_table(spark, tmp_path):
+    """Also with null keys, composite keys and a parent that several rules share."""
+    child = [(i, i % 7 if i % 5 else None, f"k{i % 3}", i // 6) for i in range(60)]
+    spark.createDataFrame(child, "id int, fk int, part string, pair int").write.parquet(f"{tmp_path}/c")
+    spark.createDataFrame([(1,), (2,), (2,), (None,)], "pk int").write.parquet(f"{tmp_path}/p")
+    tables = {t: spark.read.parquet(f"{tmp_path}/{t}") for t in ("c", "p")}
+    rules = [
+        quality.NotNull("not_null", "c", ("fk",)),
+        quality.ForeignKey("strict", "c", "fk", "p", "pk"),
+        quality.ForeignKey("filtered", "c", "fk", "p", "pk", where="id > 30", ignore_null=True),
+        quality.ForeignKey("other", "c", "id", "p", "pk"),
+        quality.Unique("pairs", "c", ("part", "pair")),
+        quality.Unique("with_null", "c", ("fk", "part")),
+        quality.Unique("parent", "p", ("pk",)),
+        quality.Holds("holds", "c", "fk < 3"),
+    ]
+    counts = quality.summarise(rules, tables)
+    singly = {r.name: r.issues(tables).count() for r in rules}
+    assert {r.dq_rule: r.issue_count for r in counts.collect()} == singly and all(singly.values())
+    plan = quality.summarise(rules, tables)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2
+
+
+def test_rules_that_cannot_run_are_issues(spark):
+    tables = {"c": spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string")}
+    rules = [
+        quality.Holds("good", "c", "id > 1"),
+        quality.NotNull("no_column", "c", ("nothing",)),
+        quality.Holds("fails_on_a_row", "c", "CAST(name AS INT) > 0"),
+        quality.ForeignKey("no_table", "c", "id", "missing", "id"),
+        quality.Unique("also_good", "c", ("id",)),
+    ]
+    got = {name: (n, error and error.split(":")[0]) for name, n, error in quality.check_rules(spark, rules, tables)}
+    assert got["good"] == (1, None) and got["also_good"] == (0, None)
+    assert {got[n][0] for n in ("no_column", "fails_on_a_row", "no_table")} == {1}
+    assert all(got[n][1] for n in ("no_column", "fails_on_a_row", "no_table"))
+    table = quality.outcome_table(spark, quality.check_rules(spark, rules, tables))
+    assert table.where("validation_error IS NOT NULL").count() == 3
+    assert quality.missing_of(["a", "b"], ["b"]) == ["a"]
+
+
 def test_failures_become_issues(spark):
     bad = quality.guarded(spark, "rule", lambda: spark.table("no_such_table"))
     assert "TABLE_OR_VIEW_NOT_FOUND" in bad.first().validation_error
