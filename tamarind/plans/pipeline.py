@@ -25,7 +25,7 @@ from tamarind.operators.quality import (
 )
 from tamarind.plans import gold, marts, silver, staging
 from tamarind.sources.audit import log_rejects
-from tamarind.sources.tables import Lake
+from tamarind.sources.tables import Lake, Landed, ingest_typed
 
 # The bronze tables and their file names.
 BRONZE_FILES = {
@@ -42,6 +42,33 @@ BRONZE_FILES = {
     "closed_deals": "closed_deals.csv",
 }
 
+# Columns of the bronze files. Identifiers, labels and times of mixed format
+# stay text; the entities clean them.
+BRONZE_SCHEMAS = {
+    "orders": """order_id STRING, customer_id STRING, order_status STRING, order_purchase_timestamp STRING,
+        order_approved_at STRING, order_delivered_carrier_date STRING, order_delivered_customer_date STRING,
+        order_estimated_delivery_date STRING""",
+    "order_items": """order_id STRING, order_item_id INT, product_id STRING, seller_id STRING,
+        shipping_limit_date STRING, price DECIMAL(18,2), freight_value DECIMAL(18,2)""",
+    "order_payments": """order_id STRING, payment_sequential INT, payment_type STRING, payment_installments INT,
+        payment_value DECIMAL(18,2)""",
+    "order_reviews": """review_id STRING, order_id STRING, review_score STRING, review_comment_title STRING,
+        review_comment_message STRING, review_creation_date STRING, review_answer_timestamp STRING""",
+    "customers": """customer_id STRING, customer_unique_id STRING, customer_zip_code_prefix STRING,
+        customer_city STRING, customer_state STRING""",
+    "sellers": "seller_id STRING, seller_zip_code_prefix STRING, seller_city STRING, seller_state STRING",
+    "products": """product_id STRING, product_category_name STRING, product_name_lenght INT,
+        product_description_lenght INT, product_photos_qty INT, product_weight_g INT, product_length_cm INT,
+        product_height_cm INT, product_width_cm INT""",
+    "geolocation": """geolocation_zip_code_prefix STRING, geolocation_lat DOUBLE, geolocation_lng DOUBLE,
+        geolocation_city STRING, geolocation_state STRING""",
+    "category_translation": "product_category_name STRING, product_category_name_english STRING",
+    "marketing_qualified_leads": "mql_id STRING, first_contact_date STRING, landing_page_id STRING, origin STRING",
+    "closed_deals": """mql_id STRING, seller_id STRING, sdr_id STRING, sr_id STRING, won_date STRING,
+        business_segment STRING, lead_type STRING, lead_behaviour_profile STRING, business_type STRING,
+        declared_monthly_revenue STRING""",
+}
+
 # Bronze tables whose fields may hold line breaks.
 MULTI_LINE = ("order_reviews",)
 
@@ -103,6 +130,19 @@ class Run:
         self.tables[name] = self.lake(layer).write_bucketed(df, name, ["order_id"])
         return self.tables[name]
 
+    def land(self, folder: str) -> Landed:
+        """Bronze from the landing folder by declared schemas; unreadable lines go to the
+        audit log of this run (S02)."""
+        return ingest_typed(
+            self.lake("bronze"),
+            folder,
+            BRONZE_FILES,
+            BRONZE_SCHEMAS,
+            lambda rows, table: log_rejects(self.lake("audit"), rows, f"bronze_{table}", self.run_id, self.run_at),
+            F.lit(self.run_at),
+            MULTI_LINE,
+        )
+
     def replace(self, layer: str, name: str, change: Callable[[DataFrame], DataFrame]) -> DataFrame:
         """A table rewritten from itself, as a new version."""
         self.tables[name] = self.lake(layer).replace(name, change)

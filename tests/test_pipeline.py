@@ -36,6 +36,29 @@ def test_ingestion_counts_and_multiline_text(run):
     assert review.review_comment_message == 'good, "very"\ngood' and review._source_file == "order_reviews.csv"
 
 
+def test_declared_schemas_give_the_same_entities(run, spark, tmp_path):
+    """The run over typed bronze; broken lines go to the audit log, drift is reported."""
+    (tmp_path / "csv").mkdir()
+    for name, text in BRONZE.items():
+        lines = text
+        if name == "order_items":
+            lines += "o6,three,p1,s1,2018-01-22 00:00:00,5.00,0.00\no6,4,p1\n"
+        if name == "sellers":
+            rows = [line.split(",") for line in text.splitlines()]
+            lines = "\n".join(",".join([r[3], r[0], r[1], r[2], "new"]) for r in rows).replace("new", "grade", 1) + "\n"
+        (tmp_path / "csv" / pipeline.BRONZE_FILES[name]).write_text(lines)
+    other = pipeline.Run(spark, str(tmp_path / "lake"), "run-2", RUN_AT)
+    landed = other.land(str(tmp_path / "csv"))
+    assert landed.counts == run.ingested and {t: n for t, n in landed.rejected.items() if n} == {"order_items": 2}
+    assert [tuple(r) for r in landed.drift.collect()] == [("sellers", "grade", "added")]
+    log = read_log(other.lake("audit"), "bronze_order_items", "run-2")
+    assert {r._corrupt_record for r in log.collect()} == {"o6,three,p1,s1,2018-01-22 00:00:00,5.00,0.00", "o6,4,p1"}
+    pipeline.build_silver(other, {t: other.lake("bronze").read(t) for t in pipeline.BRONZE_FILES})
+    for name in (t for t in other.tables if t.startswith("silver_")):
+        columns = run.tables[name].columns
+        assert sorted(map(str, other.tables[name].select(columns).collect())) == sorted(map(str, run.tables[name].collect())), name
+
+
 def test_geolocation(run):
     got = by(run.tables["silver_geolocation"], "zip_code_prefix", "city", "state", "region", "median_latitude")
     assert got == {
