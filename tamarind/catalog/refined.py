@@ -19,11 +19,10 @@ _POINTS = f"""(SELECT DISTINCT trim({_ZIP}) AS zip, geolocation_lat AS lat, geol
     {clean('geolocation_city')} AS city, upper(trim(geolocation_state)) AS state FROM raw_geo)"""
 
 
-def _tables(r) -> dict:
-    if not hasattr(r, "refined"):
-        lake = Lake(r.spark, r.scratch.path("refined"))
-        r.refined = refined.build_refined(lake, {t: r.role(role) for t, role in _BRONZE.items()})
-    return r.refined
+def _table(r, name: str):
+    """One refined table, with those that it starts from and no others."""
+    lake = Lake(r.spark, r.scratch.path("refined"))
+    return refined.build_refined(lake, {t: r.role(role) for t, role in _BRONZE.items()}, only=[name])[name]
 
 
 @query("refined_geolocation", "Q09 Q21 Q22 A15", sql(f"""
@@ -37,7 +36,7 @@ def _tables(r) -> dict:
                FROM {_POINTS} GROUP BY 1, 2) c ON p.zip = c.cz AND c.rn = 1
     UNION ALL SELECT '-1', NULL, NULL, 'unknown', 'XX', 'Unknown'"""))
 def _(r):
-    return _tables(r)["geolocation"]
+    return _table(r, "geolocation")
 
 
 @query("refined_customers", "Q07 Q09", sql(f"""
@@ -46,7 +45,7 @@ def _(r):
         customer_city, customer_state, {region('customer_state')} AS customer_region FROM customers_typed
     UNION ALL SELECT '-1', '-1', '-1', 'unknown', 'XX', 'Unknown'"""))
 def _(r):
-    return _tables(r)["customers"]
+    return _table(r, "customers")
 
 
 @query("refined_sellers", "Q07 Q09", sql(f"""
@@ -54,7 +53,7 @@ def _(r):
         THEN seller_zip_code_prefix ELSE '-1' END AS zip_code_prefix, {clean('seller_city')} AS seller_city, seller_state
     FROM raw_sellers UNION ALL SELECT '-1', '-1', 'unknown', 'XX'"""))
 def _(r):
-    return _tables(r)["sellers"]
+    return _table(r, "sellers")
 
 
 _S = "INTERVAL '1' SECOND"
@@ -98,7 +97,7 @@ _STAGES = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in (*fixed.MILESTONES,
     FROM (SELECT *, {days('order_estimated_delivery_date', 'order_delivered_customer_date')} AS gap FROM refined_orders)
     UNION ALL SELECT '-1', '-1', 'unknown', NULL, NULL, NULL, NULL, NULL, NULL, 'Other', NULL"""))
 def _(r):
-    return _tables(r)["orders"]
+    return _table(r, "orders")
 
 
 _DIM = ("product_length_cm", "product_height_cm", "product_width_cm")
@@ -116,7 +115,7 @@ _DIM = ("product_length_cm", "product_height_cm", "product_width_cm")
         FROM products_filled))
     UNION ALL SELECT '-1', 'unknown_category', -1, -1, -1, -1, -1, 'Unknown Size', 'Unknown Weight'"""))
 def _(r):
-    return _tables(r)["products"]
+    return _table(r, "products")
 
 
 @query("refined_items", "Q07 Q25 C06", _timed(f"""
@@ -140,7 +139,7 @@ def _(r):
                  ELSE shipping_limit_date END AS l
         FROM items_typed i LEFT JOIN refined_orders o ON i.order_id = o.order_id))"""))
 def _(r):
-    return _tables(r)["order_items"]
+    return _table(r, "order_items")
 
 
 @query("refined_payments", "Q07 C13", sql("""
@@ -150,7 +149,7 @@ def _(r):
              AS BIGINT) AS payment_installments, CAST(payment_value AS DOUBLE) AS payment_value
     FROM payments_typed"""))
 def _(r):
-    return _tables(r)["order_payments"]
+    return _table(r, "order_payments")
 
 
 @query("refined_reviews", "Q07 Q28 Q30 C15", sql(f"""
@@ -172,4 +171,4 @@ def _(r):
                FROM reviews_latest WHERE review_creation_date IS NOT NULL AND review_answer_timestamp IS NOT NULL
                AND order_purchase_timestamp IS NOT NULL)))"""))
 def _(r):
-    return _tables(r)["order_reviews"]
+    return _table(r, "order_reviews")

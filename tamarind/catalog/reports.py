@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tamarind.catalog.base import query
 from tamarind.catalog.oracle import days, pct, rnd, sql
+from tamarind.catalog.roles import role_sql
 from tamarind.plans import reports
 
 
@@ -101,6 +102,16 @@ def _(r):
     return reports.late_delivery_anger(r.timeline)
 
 
+@query("late_delivery_stars", "X10", sql(f"""
+    WITH kept_waiting AS (SELECT review_score FROM timeline WHERE review_answer_timestamp < order_delivered_customer_date
+        AND review_answer_timestamp >= order_estimated_delivery_date)
+    SELECT CAST(review_score AS BIGINT) AS review_score, count(*) AS row_count,
+           {pct('count(*)', '(SELECT count(*) FROM kept_waiting)')} AS percentage FROM kept_waiting GROUP BY 1""").replace(
+    "\n\n    WITH kept_waiting AS", ",\nkept_waiting AS"))
+def _(r):
+    return reports.late_delivery_stars(r.timeline)
+
+
 @query("score_distribution", "X11 A12", sql(f"""
     SELECT CAST(review_score AS BIGINT) AS review_score, count(*) AS row_count,
            {pct('count(*)', '(SELECT count(*) FROM silver_reviews)')} AS percentage FROM silver_reviews GROUP BY 1"""))
@@ -156,10 +167,17 @@ def _(r):
     return reports.payment_type_share(r.use("payments"))
 
 
-@query("split_timelines", "X17 J10", sql("""
+# named here in full: only the payments and the keys of the orders are needed
+@query("split_timelines", "X17 J10", f"""
+    WITH known AS MATERIALIZED (
+        SELECT DISTINCT trim(order_id) AS order_id, payment_sequential, lower(trim(payment_type)) AS payment_type,
+               payment_installments, payment_value
+        FROM ({role_sql('raw_payments')}) p
+        WHERE order_id IN (SELECT CAST(o_orderkey AS VARCHAR) FROM orders)),
+    split AS MATERIALIZED (SELECT DISTINCT order_id FROM known WHERE payment_sequential >= 7)
     SELECT order_id, CAST(payment_sequential AS BIGINT) AS payment_sequential, payment_type,
-           CAST(payment_value AS DOUBLE) AS payment_value FROM silver_payments
-    WHERE order_id IN (SELECT order_id FROM silver_payments WHERE payment_sequential >= 7)"""))
+           CAST(payment_value AS DOUBLE) AS payment_value
+    FROM known JOIN split USING (order_id)""")
 def _(r):
     found = reports.split_timelines(r.use("payments"), 7)
     return found.select("order_id", "payment_sequential", "payment_type", "payment_value")

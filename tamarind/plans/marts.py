@@ -148,9 +148,10 @@ def review_sentiment(
     )
     bought = category.select("order_id", "product_category_name").dropna().distinct()
     judged = reviews.select("review_id", "order_id", "review_score", "review_response_days")
+    # one row per review and category: an order has one delivery and each category once
     base = attach(
         attach(judged, buyer.select("order_id", "customer_region").dropna(), "order_id", "inner"), bought, "order_id", "inner"
-    ).distinct()
+    )
     score = F.col("review_score")
     counted = base.groupBy("product_category_name", "customer_region").agg(
         F.count_distinct("review_id").alias("total_reviews"),

@@ -7,7 +7,7 @@ each from stored ones.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +20,7 @@ from tamarind.functions.text import clean_text, label_text, region_of, state_cod
 from tamarind.operators import repair
 from tamarind.operators.dedupe import keep_first, latest_per_key
 from tamarind.operators.joins import attach, rekey_orphans, with_parent
+from tamarind.session import stored
 from tamarind.sources.tables import Lake, without_lineage
 
 UNKNOWN = "-1"
@@ -80,6 +81,9 @@ def sellers(raw: DataFrame, geo: DataFrame, policy: str = "rekey") -> DataFrame:
     return repair.with_unknown_member(placed, "seller_id", unknown, UNKNOWN)
 
 
+_UNKNOWN_ORDER = {"customer_id": UNKNOWN, "order_status": "unknown", "delivery_status": "Other"}
+
+
 def orders(raw: DataFrame, customers_: DataFrame, policy: str = "rekey") -> DataFrame:
     """Orders with every derivable milestone filled, in order of time, and judged anew."""
     clocks = {c: wall_clock(c) for c in (*fixed.MILESTONES, fixed.ESTIMATE)}
@@ -99,8 +103,7 @@ def orders(raw: DataFrame, customers_: DataFrame, policy: str = "rekey") -> Data
         rule.delivery_detail_refined().alias("delivery_status"),
         rule.abs_gap("days_diff_estimated", "order_status").alias("abs_days_diff"),
     )
-    unknown = {"customer_id": UNKNOWN, "order_status": "unknown", "delivery_status": "Other"}
-    return repair.with_unknown_member(judged, "order_id", unknown, UNKNOWN)
+    return repair.with_unknown_member(judged, "order_id", _UNKNOWN_ORDER, UNKNOWN)
 
 
 def products(raw: DataFrame) -> DataFrame:
@@ -128,6 +131,23 @@ def products(raw: DataFrame) -> DataFrame:
     return repair.with_unknown_member(banded, "product_id", unknown, UNKNOWN)
 
 
+def _dated(items: DataFrame, orders_: DataFrame, policy: str) -> DataFrame:
+    """Items with times and status of their order; one join tells both whether the order is
+    known and when it was. Orphans get what the unknown order has, or are dropped."""
+    bought, approved, carrier, _ = fixed.MILESTONES
+    known = orders_.select("order_id", bought, approved, carrier, "order_status", F.lit(True).alias("__known"))
+    if policy == "drop":
+        return attach(items, known, "order_id", "inner").drop("__known")
+    joined = attach(items, known, "order_id")
+    missing = F.col("__known").isNull()
+    return joined.withColumns(
+        {
+            "order_id": F.when(missing, UNKNOWN).otherwise(F.col("order_id")),
+            "order_status": F.when(missing, _UNKNOWN_ORDER["order_status"]).otherwise(F.col("order_status")),
+        }
+    ).drop("__known")
+
+
 def order_items(
     raw: DataFrame, orders_: DataFrame, products_: DataFrame, sellers_: DataFrame, policy: str = "rekey"
 ) -> DataFrame:
@@ -143,10 +163,11 @@ def order_items(
     )
     # one row per item before the key may become the unknown one
     items = keep_first(typed, ["order_id", "order_item_id"])
-    for parent, key in ((orders_, "order_id"), (products_, "product_id"), (sellers_, "seller_id")):
+    for parent, key in ((products_, "product_id"), (sellers_, "seller_id")):
         items = settled(items, parent, key, policy)
-    bought, approved, carrier, _ = fixed.MILESTONES
-    dated = attach(items, orders_.select("order_id", bought, approved, carrier, "order_status"), "order_id")
+    # stored, because the median and the rows both come from it
+    carrier = fixed.MILESTONES[2]
+    dated = stored(_dated(items, orders_, policy), "refined_items")
     rebuilt = repair.rebuild_limit_date(dated).withColumn("seller_handling_days", days_between("shipping_limit_date", carrier))
     return rebuilt.select(
         "order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "price", "freight_value",
@@ -188,20 +209,31 @@ def reviews(raw: DataFrame, orders_: DataFrame, policy: str = "rekey") -> DataFr
     )
 
 
-def build_refined(lake: Lake, bronze: Mapping[str, DataFrame], policy: str = "rekey") -> dict[str, DataFrame]:
-    """All eight tables, written in order of dependency."""
+# Builder of each table and the tables that it starts from, in order of dependency.
+_BUILDERS = {
+    "geolocation": (geolocation, ()),
+    "customers": (customers, ("geolocation",)),
+    "sellers": (sellers, ("geolocation",)),
+    "orders": (orders, ("customers",)),
+    "products": (products, ()),
+    "order_items": (order_items, ("orders", "products", "sellers")),
+    "order_payments": (payments, ("orders",)),
+    "order_reviews": (reviews, ("orders",)),
+}
+
+
+def build_refined(
+    lake: Lake, bronze: Mapping[str, DataFrame], policy: str = "rekey", only: Collection[str] = tuple(_BUILDERS)
+) -> dict[str, DataFrame]:
+    """The tables of ``only``, by default all eight, and those that they start from, written
+    in order of dependency."""
+    needed = set(only)
+    for name, (_, parents) in reversed(_BUILDERS.items()):
+        if name in needed:
+            needed.update(parents)
     out: dict[str, DataFrame] = {}
-
-    def keep(name: str, df: DataFrame) -> DataFrame:
-        out[name] = lake.write(df, name)
-        return out[name]
-
-    geo = keep("geolocation", geolocation(bronze["geolocation"]))
-    buyers = keep("customers", customers(bronze["customers"], geo, policy))
-    vendors = keep("sellers", sellers(bronze["sellers"], geo, policy))
-    sold = keep("orders", orders(bronze["orders"], buyers, policy))
-    goods = keep("products", products(bronze["products"]))
-    keep("order_items", order_items(bronze["order_items"], sold, goods, vendors, policy))
-    keep("order_payments", payments(bronze["order_payments"], sold, policy))
-    keep("order_reviews", reviews(bronze["order_reviews"], sold, policy))
+    for name, (build, parents) in _BUILDERS.items():
+        if name in needed:
+            given = [bronze[name], *(out[p] for p in parents)]
+            out[name] = lake.write(build(*given, policy) if parents else build(*given), name)
     return out

@@ -151,11 +151,20 @@ def scores_of_canceled(timeline: DataFrame) -> DataFrame:
     return count_by(timeline.where(F.col("order_status") == "canceled"), "review_score")
 
 
+def _kept_waiting(timeline: DataFrame) -> DataFrame:
+    """Reviews written after the estimate but before the delivery."""
+    return timeline.where(_answered_early() & (F.col("review_answer_timestamp") >= F.col(fixed.ESTIMATE)))
+
+
+def late_delivery_stars(timeline: DataFrame) -> DataFrame:
+    """Rows and share of each score among the reviews of those kept waiting."""
+    return share_of_total(_kept_waiting(timeline), "review_score")
+
+
 def late_delivery_anger(timeline: DataFrame) -> DataFrame:
-    """Reviews written after the estimate but before the delivery."""
-    angry = timeline.where(_answered_early() & (F.col("review_answer_timestamp") >= F.col(fixed.ESTIMATE)))
+    """Averages and counts of the reviews of those kept waiting."""
     score = F.col("review_score")
-    return angry.agg(
+    return _kept_waiting(timeline).agg(
         F.avg(score).alias("average_score"),
         F.count("*").alias("total_count"),
         F.count_if(score <= 2).alias("low_scores_count"),
