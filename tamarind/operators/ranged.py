@@ -23,7 +23,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamarind.operators.joins import attach
-from tamarind.session import ready_for_checkpoints, stored
+from tamarind.session import ready_for_checkpoints, scratch_path, stored
+from tamarind.sources.tables import bucketed_table
 
 # monotonically_increasing_id() puts the partition number above this bit and the
 # position within the partition below it.
@@ -40,17 +41,33 @@ def _frozen(df: DataFrame, order: Sequence[str], distinct: bool) -> DataFrame:
     that a large group of copies is spread as well. The id is taken from a first
     checkpoint, because it must not change when a task is retried.
     """
+    return _placed_rows(_in_order(df, order, distinct).checkpoint())
+
+
+def _in_order(df: DataFrame, order: Sequence[str], distinct: bool) -> DataFrame:
     ready_for_checkpoints(df.sparkSession)
     total = [*order, *[c for c in df.columns if c not in order]]
     if not distinct:
         df = df.checkpoint().withColumn(_COPY, F.monotonically_increasing_id())
         total.append(_COPY)
-    ranged = df.repartitionByRange(*total).sortWithinPartitions(*total).checkpoint().drop(_COPY)
+    return df.repartitionByRange(*total).sortWithinPartitions(*total).drop(_COPY)
+
+
+def _placed_rows(ranged: DataFrame) -> DataFrame:
     return ranged.withColumn(_AT, F.monotonically_increasing_id()).withColumn(
         _PART, F.shiftright(F.col(_AT), _POSITION_BITS)
     )
 
 
+def _stored_by_part(df: DataFrame, order: Sequence[str], distinct: bool) -> DataFrame:
+    """As :func:`_frozen`, in a table whose buckets are the partitions: what is done per
+    partition afterwards needs no shuffle. There are more buckets than partitions, so that
+    few of them share one."""
+    spark = df.sparkSession
+    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return bucketed_table(_placed_rows(_in_order(df, order, distinct)), scratch_path(spark, "ranged"), [_PART], buckets, [_AT])
+
+
 def _position() -> Column:
     return F.col(_AT) - F.shiftleft(F.col(_PART), _POSITION_BITS)
 
@@ -149,9 +166,10 @@ def ordered_lag(
     """Add ``{new name: column}`` holding the previous row's value within the key.
 
     Inside a partition this is an ordinary lag. The first row of a partition takes
-    the last row of the partition before it when both have the same key.
+    the last row of the partition before it when both have the same key; these last
+    rows, one per partition, are all that is moved once the rows are stored.
     """
-    rows = _frozen(df, [*keys, *order], distinct)
+    rows = _stored_by_part(df, [*keys, *order], distinct)
     inner = Window.partitionBy(_PART, *keys).orderBy(_AT)
     carried = F.struct(
         F.struct(*keys).alias("key"), F.struct(*[F.col(c).alias(new) for new, c in lagged.items()]).alias("values")

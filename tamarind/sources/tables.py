@@ -48,6 +48,18 @@ def without_lineage(df: DataFrame) -> DataFrame:
     return df.drop(*LINEAGE)
 
 
+def bucketed_table(df: DataFrame, path: str, keys: Sequence[str], buckets: int, order: Sequence[str]) -> DataFrame:
+    """The frame stored at a path in hash buckets of the keys, each in order, with a catalog
+    entry that tells Spark so. What is clustered by the keys then needs no shuffle."""
+    spark = df.sparkSession
+    name = f"{BUCKETED}.t_{uuid.uuid5(uuid.NAMESPACE_URL, path).hex}"
+    create_namespaces(spark, BUCKETED)
+    drop_tables(spark, name)
+    writer = df.write.format("parquet").mode("overwrite").option("path", path)
+    writer.bucketBy(buckets, *keys).sortBy(*order).saveAsTable(name)
+    return spark.table(name)
+
+
 @dataclass(frozen=True)
 class Lake:
     """A root folder with one sub-folder per table."""
@@ -105,13 +117,8 @@ class Lake:
         entry that holds the layout belongs to this session and this folder.
         """
         n = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        name = f"{BUCKETED}.{table}_{uuid.uuid5(uuid.NAMESPACE_URL, self.path(table)).hex}"
-        create_namespaces(self.spark, BUCKETED)
-        drop_tables(self.spark, name)
         laid = df.repartition(n, *keys).sortWithinPartitions(*keys)
-        writer = laid.write.format("parquet").mode("overwrite").option("path", self.path(table))
-        writer.bucketBy(n, *keys).sortBy(*keys).saveAsTable(name)
-        return self.spark.table(name)
+        return bucketed_table(laid, self.path(table), keys, n, keys)
 
     def write_counted(self, df: DataFrame, table: str) -> tuple[DataFrame, int]:
         """Write and report the row count; the count is observed by the write itself,

@@ -147,6 +147,15 @@ def test_ordered_lag_over_a_hot_key(hot):
     assert {r.id: (r.pid, r.pv) for r in lagged.collect()} == expected
 
 
+def test_lag_moves_only_the_borders(hot):
+    """After the rows are stored in order nothing but one row per partition is shuffled."""
+    df, _ = hot
+    lagged = ranged.ordered_lag(df, ["k"], ["t", "id"], {"pid": "id"}, distinct=True)
+    plan = lagged._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange" in line]
+    assert len(moved) <= 2 and all("SinglePartition" in m or "Broadcast" in m for m in moved), plan
+
+
 def test_group_measures_keep_every_row(hot):
     df, data = hot
     sizes = defaultdict(int)
