@@ -104,3 +104,18 @@ ESTIMATE = "order_estimated_delivery_date"
 DEFAULT_GAPS = {"approval": 3600, "carrier": 86400, "customer": 259200, "estimate": 950400}
 DEFAULT_RESPONSE_SECONDS = 86400
 DEFAULT_LIMIT_DAYS = 4
+
+# Reasons of the audit log.
+BAD_COORDINATES = "Invalid or missing geolocation coordinates"
+CUSTOMER_ZIP = "Customer zip code missing or not found in geolocation"
+ORDER_CUSTOMER = "Order customer_id not found in silver_customers"
+PRODUCT_FIELDS = "Product missing key logistics fields"
+ITEM_ORDER = "Order item order_id missing from silver_orders"
+ITEM_LIMIT = "Invalid shipping_limit_date, rebuilt using median approval-to-limit days"
+PAYMENT_ORDER = "Payment order_id missing from silver_orders"
+REVIEW_KEY = "Review critical key or score missing"
+REVIEW_ORDER = "Review order_id missing from silver_orders"
+LEAD_ID = "MQL missing mql_id"
+DEAL_IDS = "Closed deal missing mql_id or seller_id"
+SELLER_ZIP = "Seller zip code missing or not found in geolocation"
+ORPHAN_TRANSACTION = "Orphaned Transaction - Missing Order Record in Source"

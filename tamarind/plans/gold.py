@@ -1,4 +1,7 @@
-"""Star schema: dimensions and facts with dense integer keys."""
+"""Star schema: dimensions and facts with dense integer keys.
+
+Fixed values: the column lists of the dimensions and facts, in their published order.
+"""
 
 from __future__ import annotations
 

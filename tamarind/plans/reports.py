@@ -412,7 +412,7 @@ def customers_without_orders(customers: DataFrame, orders: DataFrame) -> tuple[D
     """(all customers flagged, the unmatched ones as issues) (Q36)."""
     flagged = flag_match(customers, orders, "customer_id", "has_matching_order")
     unmatched = flagged.where(~F.col("has_matching_order"))
-    return flagged, tag(unmatched, "Orphaned Transaction - Missing Order Record in Source")
+    return flagged, tag(unmatched, fixed.ORPHAN_TRANSACTION)
 
 
 # --- sellers ------------------------------------------------------------------

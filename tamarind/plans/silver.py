@@ -106,7 +106,7 @@ def geolocation(raw: DataFrame, accuracy: int = 10_000) -> Entity:
         "median_latitude",
         "median_longitude",
     )
-    return Entity(stamped(rows), tag(out, "Invalid or missing geolocation coordinates"))
+    return Entity(stamped(rows), tag(out, fixed.BAD_COORDINATES))
 
 
 def _zip_centres(geo: DataFrame) -> DataFrame:
@@ -133,7 +133,7 @@ def customers(raw: DataFrame, geo: DataFrame) -> Entity:
         region_of("customer_state").alias("customer_region"), "median_latitude", "median_longitude",
     )
     unmapped = orphans(base, geo, zip_link)
-    return Entity(stamped(rows), tag(unmapped, "Customer zip code missing or not found in geolocation"))
+    return Entity(stamped(rows), tag(unmapped, fixed.CUSTOMER_ZIP))
 
 
 def orders(raw: DataFrame, customers_: DataFrame) -> Entity:
@@ -166,7 +166,7 @@ def orders(raw: DataFrame, customers_: DataFrame) -> Entity:
         rule.abs_gap("days_diff_estimated").alias("abs_days_diff"),
         rule.on_time_flag("days_diff_estimated").alias("on_time_flag"),
     )
-    return Entity(stamped(rows), tag(flagged, "Order customer_id not found in silver_customers"))
+    return Entity(stamped(rows), tag(flagged, fixed.ORDER_CUSTOMER))
 
 
 _SIZES = ("product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm")
@@ -213,7 +213,7 @@ def products(raw: DataFrame, translation_raw: DataFrame) -> Entity:
         rule.is_complete(*_SIZES).alias("logistics_completeness_flag"),
         rule.is_complete(*_CATALOG).alias("catalog_completeness_flag"),
     )
-    return Entity(stamped(rows), tag(incomplete, "Product missing key logistics fields"))
+    return Entity(stamped(rows), tag(incomplete, fixed.PRODUCT_FIELDS))
 
 
 def order_items(raw: DataFrame, orders_: DataFrame, keep: Keep = kept_by_verdict) -> Entity:
@@ -246,10 +246,10 @@ def order_items(raw: DataFrame, orders_: DataFrame, keep: Keep = kept_by_verdict
         )
     )
     rejects = _all_rejects(
-        tag(_having(judged, _ORPHAN), "Order item order_id missing from silver_orders"),
+        tag(_having(judged, _ORPHAN), fixed.ITEM_ORDER),
         tag(
             _having(judged, _REBUILT),
-            "Invalid shipping_limit_date, rebuilt using median approval-to-limit days",
+            fixed.ITEM_LIMIT,
         ),
     )
     return Entity(stamped(rows), rejects)
@@ -279,7 +279,7 @@ def payments(raw: DataFrame, orders_: DataFrame, keep: Keep = lazily) -> Entity:
             .alias("is_installment_payment"),
         )
     )
-    return Entity(stamped(rows), tag(_having(judged, _ORPHAN), "Payment order_id missing from silver_orders"))
+    return Entity(stamped(rows), tag(_having(judged, _ORPHAN), fixed.PAYMENT_ORDER))
 
 
 def reviews(raw: DataFrame, orders_: DataFrame, keep: Keep = kept_by_verdict) -> Entity:
@@ -317,8 +317,8 @@ def reviews(raw: DataFrame, orders_: DataFrame, keep: Keep = kept_by_verdict) ->
         (F.col("review_score") >= 4).alias("positive_review_flag"),
     )
     rejects = _all_rejects(
-        tag(_having(judged, _BROKEN), "Review critical key or score missing"),
-        tag(_having(judged, _ORPHAN), "Review order_id missing from silver_orders"),
+        tag(_having(judged, _BROKEN), fixed.REVIEW_KEY),
+        tag(_having(judged, _ORPHAN), fixed.REVIEW_ORDER),
     )
     return Entity(stamped(rows), rejects)
 
@@ -337,7 +337,7 @@ def qualified_leads(raw: DataFrame) -> Entity:
     ).select("mql_id", "first_contact_date", "landing_page_id", "origin")
     known, broken = split(typed, F.col("mql_id").isNotNull())
     rows = earliest_per_key(known, ["mql_id"], "first_contact_date")
-    return Entity(stamped(rows, _FUNNEL), tag(broken, "MQL missing mql_id"))
+    return Entity(stamped(rows, _FUNNEL), tag(broken, fixed.LEAD_ID))
 
 
 _DEAL_LABELS = ("business_segment", "lead_type", "lead_behaviour_profile", "business_type")
@@ -354,7 +354,7 @@ def closed_deals(raw: DataFrame) -> Entity:
     ).select("mql_id", "seller_id", "sdr_id", "sr_id", "won_date", *_DEAL_LABELS, "declared_monthly_revenue")
     known, broken = split(typed, all_present("mql_id", "seller_id"))
     rows = earliest_per_key(known, ["mql_id", "seller_id"], "won_date")
-    return Entity(stamped(rows, _FUNNEL), tag(broken, "Closed deal missing mql_id or seller_id"))
+    return Entity(stamped(rows, _FUNNEL), tag(broken, fixed.DEAL_IDS))
 
 
 def seller_matrix(items: DataFrame) -> DataFrame:
@@ -435,4 +435,4 @@ def sellers(raw: DataFrame, geo: DataFrame, items: DataFrame, acquisition: DataF
         *_ACQUISITION[:-1], "days_to_convert", "converted_flag", _ACQUISITION[-1],
     )
     unmapped = orphans(base, geo, zip_link)
-    return Entity(stamped(rows), tag(unmapped, "Seller zip code missing or not found in geolocation"))
+    return Entity(stamped(rows), tag(unmapped, fixed.SELLER_ZIP))
