@@ -30,6 +30,7 @@ from tamarind.functions.text import (
     titled,
 )
 from tamarind.operators.quality import split
+from tamarind.plans.silver import stamped
 from tamarind.sources.tables import enforce_types, unique_columns, with_lineage, without_lineage
 
 
@@ -216,6 +217,29 @@ def _(r):
     )
 
 
+_KEPT = "doc_id,lang,source,n_chars,source_system,transformation_version"
+
+
+@query("lineage_traces", "S03 S22 P14 P15 P16 F17", sql(f"""
+    SELECT lang, 'documents.parquet' AS source_file, 'MARKETPLACE 1.0' AS system, true AS is_of_today, count(*) AS row_count,
+           '{_KEPT.replace(",source_system", ",_ingested_at,_source_file,source_system")}' AS columns_traced,
+           '{_KEPT}' AS columns_kept
+    FROM documents GROUP BY lang"""))
+def _(r):
+    # what each step leaves: constants, times and file names in the rows, names in the columns
+    traced = stamped(with_lineage(r.table("documents").drop("text")))
+    doubled = traced.select("*", F.upper("lang").alias("lang"), F.lit(0).alias("source"))
+    single = unique_columns(doubled)
+    today = F.to_date("_ingested_at") == F.current_date()
+    rows = single.groupBy("lang", F.col("_source_file").alias("source_file")).agg(
+        F.max(F.concat_ws(" ", "source_system", "transformation_version")).alias("system"),
+        F.min(today & (F.col("_ingested_at") <= F.current_timestamp())).alias("is_of_today"),
+        F.count("*").alias("row_count"),
+    )
+    kept = {"columns_traced": single.columns, "columns_kept": without_lineage(single).columns}
+    return rows.withColumns({name: F.lit(",".join(names)) for name, names in kept.items()})
+
+
 @query("valid_rejected_split", "Q05", sql("""
     SELECT verdict, count(*) AS row_count FROM (
         SELECT CASE WHEN review_id IS NOT NULL AND review_score IS NOT NULL THEN 'valid' ELSE 'rejected' END AS verdict
