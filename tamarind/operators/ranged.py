@@ -79,9 +79,13 @@ ROWS_PER_KEY = 1_000_000
 _N, _FIRST, _OWN = "__n", "__first", "__own"
 
 
-def _starts(totals: DataFrame) -> DataFrame:
-    """Rows before each partition, from (__part, __n): sums of groups of partitions first,
-    so that no task adds up more than ``_FAN_IN`` partitions or their groups' sums."""
+def _starts(totals: DataFrame, parts: int) -> DataFrame:
+    """Rows before each of so many partitions, from (__part, __n). Beyond ``_FAN_IN``
+    partitions, groups of them are summed up first, so that no task adds up more than that
+    many partitions or their groups' sums."""
+    if parts <= _FAN_IN:
+        before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+        return totals.select(_PART, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias("__offset"))
     grouped = totals.withColumn("__group", F.floor(F.col(_PART) / _FAN_IN))
     groups = grouped.groupBy("__group").agg(F.sum(_N).alias("__all"))
     before = Window.orderBy("__group").rowsBetween(Window.unboundedPreceding, -1)
@@ -99,10 +103,15 @@ def _placed(keys: DataFrame, order: Sequence[str]) -> DataFrame:
     return stored(laid, "keys").withColumn(_PART, F.shiftright(F.col(_AT), _POSITION_BITS))
 
 
+def _parts(placed: DataFrame) -> int:
+    """Partitions that a stored frame was written with: one file each, none if empty."""
+    return len(placed.inputFiles())
+
+
 def number_keys(keys: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     """The distinct keys with ``name``: 1..n without gaps, in their order."""
     placed = _placed(keys.select(*order), order)
-    starts = _starts(placed.groupBy(_PART).agg(F.count("*").alias(_N)))
+    starts = _starts(placed.groupBy(_PART).agg(F.count("*").alias(_N)), _parts(placed))
     number = F.col("__offset") + _position() + 1
     return placed.join(starts, _PART).select(*order, number.cast("long").alias(name))
 
@@ -130,7 +139,7 @@ def dense_key(
     rest = [c for c in df.columns if c not in order]
     placed = _placed(df.groupBy(*order).agg(F.count("*").alias(_N)), order)
     before = Window.partitionBy(_PART).orderBy(_AT).rowsBetween(Window.unboundedPreceding, -1)
-    starts = _starts(placed.groupBy(_PART).agg(F.sum(_N).alias(_N)))
+    starts = _starts(placed.groupBy(_PART).agg(F.sum(_N).alias(_N)), _parts(placed))
     keys = placed.withColumn(_FIRST, F.coalesce(F.sum(_N).over(before), F.lit(0))).join(starts, _PART)
     keys = keys.select(*order, _N, (F.col("__offset") + F.col(_FIRST)).alias(_FIRST))
     among = Window.partitionBy(*order).orderBy(*(rest or order))
@@ -148,7 +157,7 @@ def _by_ranges(rows: DataFrame, order: list[str], name: str, distinct: bool) ->
     """Numbers of rows of hot keys. Among themselves they are numbered by range; a key's
     first such number leads back to the key's own first number."""
     frozen = _frozen(rows, order, distinct)
-    starts = _starts(frozen.groupBy(_PART).agg(F.count("*").alias(_N)))
+    starts = _starts(frozen.groupBy(_PART).agg(F.count("*").alias(_N)), frozen.rdd.getNumPartitions())
     numbered = frozen.join(starts, _PART).withColumn(_OWN, F.col("__offset") + _position())
     firsts = numbered.groupBy(*order).agg(F.min(_OWN).alias("__least"))
     both = attach(numbered, firsts, order, null_safe=True)
