@@ -64,15 +64,31 @@ def hashed(words: list[str]) -> np.ndarray:
     return np.fromiter(map(word_hashes().__getitem__, words), np.uint64, len(words))
 
 
+@lru_cache(maxsize=32)
+def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first 2 ** bits powers of the base and of its inverse, modulo 2**64."""
+    inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
+    with np.errstate(over="ignore"):
+        return tuple(
+            np.cumprod(np.concatenate([[np.uint64(1)], np.full((1 << bits) - 1, base, np.uint64)]), dtype=np.uint64)
+            for base in (_BASE, inverse)
+        )
+
+
 def rolling(tokens: np.ndarray, length: int) -> np.ndarray:
-    """Karp-Rabin hashes of all windows of ``length`` tokens, modulo 2**64, mixed."""
+    """Karp-Rabin hashes of all windows of ``length`` tokens, modulo 2**64, mixed.
+
+    One running sum of the tokens, each divided by its power of the base, gives every window
+    as a difference, whatever its length: the base is odd and has an inverse.
+    """
     n = len(tokens) - length + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    total = np.zeros(n, np.uint64)
-    for k in range(length):
-        total = total * _BASE + tokens[k : k + n]
-    return (total ^ (total >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    up, down = _powers(len(tokens).bit_length())
+    with np.errstate(over="ignore"):
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(tokens * down[: len(tokens)], dtype=np.uint64)])
+        total = (sums[length:] - sums[:n]) * up[length - 1 : length - 1 + n]
+        return (total ^ (total >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
 def tiles(doc: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int, int]]:

@@ -103,3 +103,18 @@ def test_odd_rows(odd, empty, spark, items):
     assert decontaminate.contaminated(empty, benchmark).collect() == []
     kept = decontaminate.keep_clean(odd, benchmark)
     assert kept.columns == odd.columns and kept.count() == odd.count() - len(rows)
+
+
+def test_window_hashes_are_those_of_the_polynomial():
+    draw = random.Random(6)
+    mask = (1 << 64) - 1
+    for size in (0, 1, 7, 300):
+        tokens = [draw.getrandbits(64) for _ in range(size)]
+        for length in (1, 2, 5, size or 1, size + 1):
+            want = []
+            for i in range(size - length + 1):
+                total = 0
+                for token in tokens[i : i + length]:
+                    total = (total * int(decontaminate._BASE) + token) & mask
+                want.append((total ^ (total >> 31)) * 0xBF58476D1CE4E5B9 & mask)
+            assert decontaminate.rolling(np.array(tokens, np.uint64), length).tolist() == want
