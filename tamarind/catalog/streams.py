@@ -1,5 +1,5 @@
 """Event-stream and dashboard queries (T*, V*). The stream is the whole lineitem
-table, one nested JSON message per row, in several files."""
+table, one nested JSON message per row, in several parts."""
 
 from __future__ import annotations
 
@@ -31,42 +31,52 @@ def _flat(r) -> DataFrame:
     return flatten(parse(_messages(r.role("flat_events"))))
 
 
-# The messages arrive in so many files by order, and an empty one in between.
-_FILES, _EMPTY_AT = 5, 2
+# The messages arrive in so many parts by order, and an empty one in between.
+_PARTS, _EMPTY_AT = 5, 2
+# Topics keep their messages compressed; these are not kept for long.
+_PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
 
-def _files(r) -> list[str]:
-    """The whole table's messages as files in order of arrival, each a micro-batch. The
-    times of the files are set, because a file stream goes by them."""
+def _topic(r) -> list[list[str]]:
+    """The whole table's messages as files: those of each part, in order of arrival, each a
+    micro-batch. Every task of the scan writes its own rows of a part, so no message is
+    moved or sorted, and a micro-batch is read by as many tasks. The times of the files
+    are set, because a file stream goes by them; empty files make all parts equally many.
+    """
     folder = scratch_path(r.spark, "topic")
-    part = F.pmod(F.col("order_id").cast("bigint"), F.lit(_FILES)).alias("part")
-    messages = r.role("flat_events").select(part, _message()).repartition("part")
-    messages.write.partitionBy("part").text(folder)
+    part = F.coalesce(F.pmod(F.col("order_id").cast("bigint"), F.lit(_PARTS)), F.lit(_PARTS - 1))
+    for n in range(_PARTS):
+        r.role("flat_events").where(part == n).select(_message()).write.options(**_PACKED).text(f"{folder}/part={n}")
     files = Files(r.spark)
-    places = [
-        f"{folder}/part={n}/{name}" for n in range(_FILES) for name in sorted(files.names(f"{folder}/part={n}"))
+    parts = [
+        [f"{folder}/part={n}/{name}" for name in sorted(files.names(f"{folder}/part={n}")) if not name.startswith(("_", "."))]
+        for n in range(_PARTS)
     ]
-    places.insert(_EMPTY_AT, f"{folder}/nothing.txt")
-    for minute, place in enumerate(places):
-        files.touch(place, 1_700_000_000 + 60 * minute)
-    return places
+    parts.insert(_EMPTY_AT, [])
+    most = max(map(len, parts))
+    for minute, places in enumerate(parts):
+        places += [f"{folder}/nothing-{minute}-{k}.txt" for k in range(most - len(places))]
+        for place in places:
+            files.touch(place, 1_700_000_000 + 60 * minute)
+    return parts
 
 
-def _stream(r, places: list[str]) -> DataFrame:
-    """The messages as a stream, one file at a time."""
-    folder = places[_EMPTY_AT].rpartition("/")[0]
-    return file_source(r.spark, folder, "value string", "text", maxFilesPerTrigger="1", recursiveFileLookup="true")
+def _stream(r, parts: list[list[str]]) -> DataFrame:
+    """The messages as a stream, one part at a time."""
+    folder = parts[_EMPTY_AT][0].rpartition("/")[0]
+    at_once = str(len(parts[0]))
+    return file_source(r.spark, folder, "value string", "text", maxFilesPerTrigger=at_once, recursiveFileLookup="true")
 
 
 def _played(r, *tables: str, **settings) -> EventStore:
     """The stream run to its end into a new event store that folds as it runs; then the
     second batch, long folded, and the last one are delivered once more."""
-    places = _files(r)
+    parts = _topic(r)
     root = scratch_path(r.spark, "events")
     store = EventStore(r.spark, f"{root}/store", fold_every=2, tables=tables, **settings)
-    store.start(_stream(r, places), f"{root}/checkpoint", {"availableNow": True}).awaitTermination()
-    for batch in (1, len(places) - 1):
-        store.apply(flatten_all(parse(r.spark.read.text(places[batch]))), batch)
+    store.start(_stream(r, parts), f"{root}/checkpoint", {"availableNow": True}).awaitTermination()
+    for batch in (1, len(parts) - 1):
+        store.apply(flatten_all(parse(r.spark.read.text(parts[batch]))), batch)
     return store
 
 
@@ -115,7 +125,7 @@ def _(r):
     def upsert(changed: DataFrame, batch_id: int) -> None:
         changed.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
 
-    running_counts(parse(_stream(r, _files(r)))).writeStream.outputMode("complete").foreachBatch(upsert).option(
+    running_counts(parse(_stream(r, _topic(r)))).writeStream.outputMode("complete").foreachBatch(upsert).option(
         "checkpointLocation", f"{root}-checkpoint"
     ).trigger(availableNow=True).start().awaitTermination()
     batches = r.spark.read.parquet(root)
@@ -166,7 +176,7 @@ def _(r):
     def keep(changed: DataFrame, batch_id: int) -> None:
         changed.write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
 
-    running_latest(parse(_stream(r, _files(r)))).writeStream.outputMode("update").foreachBatch(keep).option(
+    running_latest(parse(_stream(r, _topic(r)))).writeStream.outputMode("update").foreachBatch(keep).option(
         "checkpointLocation", f"{root}-checkpoint"
     ).trigger(availableNow=True).start().awaitTermination()
     return live_orders(r.spark.read.parquet(root).drop("batch_id")).drop("event_time")
@@ -178,9 +188,9 @@ _LATE_HOURS = 3 * 365 * 24
 @query("stream_day_windows", "T13 T14", sql(f"""
     SELECT CAST(CAST(t AS DATE) AS VARCHAR) AS day, count(*) FILTER (NOT late) AS events, count(*) FILTER (late) AS late_events
     FROM (SELECT t, coalesce(t < top - INTERVAL '{_LATE_HOURS}' HOUR, false) AS late FROM (
-        SELECT CAST(event_timestamp AS TIMESTAMP) AS t, CAST(order_id AS BIGINT) % {_FILES} AS part FROM flat_events) e
+        SELECT CAST(event_timestamp AS TIMESTAMP) AS t, CAST(order_id AS BIGINT) % {_PARTS} AS part FROM flat_events) e
         LEFT JOIN (SELECT part, max(newest) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top
-            FROM (SELECT CAST(order_id AS BIGINT) % {_FILES} AS part, max(CAST(event_timestamp AS TIMESTAMP)) AS newest
+            FROM (SELECT CAST(order_id AS BIGINT) % {_PARTS} AS part, max(CAST(event_timestamp AS TIMESTAMP)) AS newest
                   FROM flat_events GROUP BY 1)) p ON e.part = p.part) GROUP BY 1"""))
 def _(r):
     # tumbling days; an event more than three years older than the newest of earlier files is late
@@ -194,7 +204,7 @@ def _(r):
     # archived by month here: the table spans seven years, and a folder per day is
     # meant for a stream that arrives day by day
     root = scratch_path(r.spark, "archive")
-    flat = flatten(parse(_stream(r, _files(r))))
+    flat = flatten(parse(_stream(r, _topic(r))))
     archive(flat, f"{root}/events", f"{root}/checkpoint", {"availableNow": True}, grain="yyyy-MM").awaitTermination()
     stored = r.spark.read.parquet(f"{root}/events")
     return stored.groupBy(F.col("event_date").cast("string").alias("event_month")).agg(

@@ -2,6 +2,7 @@
 
 import json
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -253,3 +254,28 @@ def test_running_latest_has_a_time_limit(spark, tmp_path):
     live = live_orders(spark.read.parquet(out).drop("batch"))
     assert {r.order_id: r.order_status for r in live.collect()} == {"o1": "canceled", "o3": "delivered", "o4": "delivered"}
     assert states[-1].numRowsTotal <= 3, "the windows of the first file are gone"
+
+
+def test_topic_takes_less_room_than_its_messages_and_gives_the_same_days(spark, tmp_path):
+    from tamarind.catalog import load, streams
+    from tamarind.catalog.roles import Roles
+
+    lines = spark.range(3000).selectExpr(
+        "id DIV 3 AS l_orderkey", "CAST(id % 3 + 1 AS INT) AS l_linenumber", "id * 7 % 200 AS l_partkey", "id % 10 AS l_suppkey",
+        "CAST(id % 50 + 1 AS DOUBLE) AS l_quantity", "CAST(id % 977 + 900 AS DOUBLE) AS l_extendedprice",
+        "CAST(id % 11 AS DOUBLE) / 100 AS l_discount", "0.05D AS l_tax", "substr('ANR', CAST(id % 3 + 1 AS INT), 1) AS l_returnflag",
+        "'O' AS l_linestatus", "timestamp_ntz '2024-01-01' + make_dt_interval(CAST(id * 37 % 900 AS INT)) AS l_shipdate",
+    )
+    # files of other sizes, one of them with orders of one part only
+    lines.where("id < 2000").repartition(3).write.parquet(f"{tmp_path}/lineitem.parquet")
+    lines.where("id >= 2000 AND l_orderkey % 5 = 1").repartition(1).write.mode("append").parquet(f"{tmp_path}/lineitem.parquet")
+    r = Roles(spark, str(tmp_path))
+    flat = r.role("flat_events")
+    plain = streams._messages(flat).agg(F.sum(F.length("value"))).first()[0]
+    before = set(Path(spark.conf.get("spark.checkpoint.dir")).glob("topic-*"))
+    got = {d.day: (d.events, d.late_events) for d in load()["stream_day_windows"].run(spark, str(tmp_path)).collect()}
+    (topic,) = set(Path(spark.conf.get("spark.checkpoint.dir")).glob("topic-*")) - before
+    assert sum(p.stat().st_size for p in topic.rglob("*") if p.is_file()) < plain / 4
+    assert sum(p.read_bytes()[:2] == b"\x1f\x8b" for p in topic.rglob("part-*")) > 5, "several files a part"
+    days = flat.groupBy(F.substring("event_timestamp", 1, 10).alias("d")).count().collect()
+    assert sum(n + late for n, late in got.values()) == flat.count() and {d: sum(n) for d, n in got.items()} == {d.d: d["count"] for d in days}
