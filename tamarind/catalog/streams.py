@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from tamarind.catalog.base import cols, query
 from tamarind.catalog.oracle import rnd, sql
 from tamarind.functions import fixed
+from tamarind.operators.joins import with_parent
 from tamarind.plans import serving
-from tamarind.session import scratch_path
+from tamarind.session import scratch_path, stored
 from tamarind.sources.versions import Files
 from tamarind.streaming import measures
 from tamarind.streaming.events import FLAT_FIELDS, flatten, flatten_all, parse
@@ -224,8 +225,11 @@ _LAST = f"""(SELECT order_id, event_timestamp AS seen_at FROM flat_events ORDER
            CAST(delivery_days AS DOUBLE) AS "Delivery Days", substr(event_timestamp, 12, 8) AS "Event Timestamp"
     FROM (SELECT * FROM {_LAST} ORDER BY seen_at DESC, order_id LIMIT 15) s JOIN {_LATEST} l ON s.order_id = l.order_id"""))
 def _(r):
-    flat = _flat(r)
-    details = serving.recent_details(measures.recent_events(flat), measures.latest_events(flat))
+    # each message is parsed once: the newest events per order are those of the orders shown
+    flat = stored(_flat(r), "events")
+    recent = stored(measures.recent_events(flat), "recent")
+    latest = measures.latest_events(with_parent(flat, recent, "order_id"))
+    details = serving.recent_details(recent, latest)
     return serving.live_feed(details)
 
 
