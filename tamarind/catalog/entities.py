@@ -117,7 +117,7 @@ def _(r):
     UNION ALL SELECT 'Review order_id missing from silver_orders', count(*) FROM reviews_usable
     WHERE order_id NOT IN (SELECT order_id FROM silver_orders)"""))
 def _(r):
-    return r.reviews.rejects.groupBy("error_reason").agg(F.count("*").alias("row_count"))
+    return r.review_rejects.groupBy("error_reason").agg(F.count("*").alias("row_count"))
 
 
 @query("silver_leads", "E08 F02", sql(

@@ -263,7 +263,11 @@ class Roles:
 
     @cached_property
     def reviews(self) -> silver.Entity:
-        return silver.reviews(self.role("raw_reviews"), self.use("orders"))
+        return silver.reviews(self.role("raw_reviews"), self.use("orders"), silver.lazily, silver.kept_newest)
+
+    @property
+    def review_rejects(self) -> DataFrame:
+        return silver.reviews(self.role("raw_reviews"), self.use("orders"), silver.lazily).rejects
 
     @cached_property
     def leads(self) -> silver.Entity:
@@ -295,6 +299,13 @@ class Roles:
     def order_payments(self) -> DataFrame:
         return staging.order_payments(self.use("payments"))
 
+    @cached_property
+    def paid_pairs(self) -> DataFrame:
+        self.keep_by_order("orders")
+        self.keep("items")
+        self.keep_by_order("pairs", "order_payments")
+        return staging.paid_pairs(self.use("orders"), self.use("order_payments"), self.use("totals"), self.use("pairs"))
+
     @cached_property
     def sales(self) -> DataFrame:
         self.keep_by_order("orders")

@@ -96,6 +96,16 @@ def order_totals(pairs: DataFrame) -> DataFrame:
 _PAIR = ["order_id", "seller_id"]
 
 
+def paid_pairs(orders: DataFrame, payments_per_order: DataFrame, totals: DataFrame, pairs: DataFrame) -> DataFrame:
+    """One row per order and seller with what is known of the order: customer, payment, value."""
+    order_level = attach(
+        attach(orders.select("order_id", "customer_id", "order_purchase_timestamp"), payments_per_order, "order_id"),
+        totals.select("order_id", "total_order_item_value"),
+        "order_id",
+    )
+    return attach(pairs.select(*_PAIR, "seller_item_count_in_order"), order_level, "order_id")
+
+
 def sales(
     items: DataFrame,
     orders: DataFrame,
@@ -110,12 +120,7 @@ def sales(
     buckets of the order, none of these tables is shuffled for it. The items themselves
     then cross the network twice only: once for their pair and once for their product.
     """
-    order_level = attach(
-        attach(orders.select("order_id", "customer_id", "order_purchase_timestamp"), payments_per_order, "order_id"),
-        totals.select("order_id", "total_order_item_value"),
-        "order_id",
-    )
-    shared = attach(pairs.select(*_PAIR, "seller_item_count_in_order"), order_level, "order_id")
+    shared = paid_pairs(orders, payments_per_order, totals, pairs)
     enriched = attach(
         attach(items, shared, _PAIR, null_safe=True), products.select("product_id", "product_volume_cm3"), "product_id"
     )
