@@ -17,6 +17,7 @@ from tamarind.functions.temporal import calendar_attributes, date_key
 from tamarind.operators import ranged
 from tamarind.operators.joins import lookup_key
 from tamarind.plans.silver import stamped
+from tamarind.session import stored
 
 _AUDIT = ("source_system", "transformation_version")
 
@@ -27,6 +28,12 @@ def dense_key(df: DataFrame, order: list[str], name: str, source: DataFrame | No
     return ranged.dense_key_of(df, order, name, source)
 
 
+def _own_key(df: DataFrame, order: list[str], name: str, source: DataFrame, numbered: bool) -> DataFrame:
+    """A fact with its surrogate key, unless the caller has no use for that key: what only
+    adds up a fact's rows spares their numbering."""
+    return dense_key(df, order, name, source) if numbered else df
+
+
 def calendar_bounds(*dates: tuple[DataFrame, str]) -> DataFrame:
     """One row: the first and the last day of the years that the date columns touch."""
     spans = [df.agg(F.min(F.to_date(c)).alias("first"), F.max(F.to_date(c)).alias("last")) for df, c in dates]
@@ -88,22 +95,24 @@ def delivery_status_dimension(delivery: DataFrame) -> DataFrame:
     """Junk dimension of the status pairs that occur."""
     pairs = delivery.select("order_status", "delivery_status_category").distinct()
     grouped = pairs.withColumn("delivery_status_group", rule.delivery_group("delivery_status_category"))
-    return dense_key(stamped(grouped), ["delivery_status_category", "order_status"], "delivery_status_sk")
+    return dense_key(stored(stamped(grouped), "statuses"), ["delivery_status_category", "order_status"], "delivery_status_sk")
 
 
 def sentiment_dimension(reviews: DataFrame) -> DataFrame:
     labels = reviews.select("sentiment_category").distinct()
     banded = labels.withColumn("sentiment_score_band", rule.sentiment_band("sentiment_category"))
-    return dense_key(stamped(banded), ["sentiment_category"], "review_sentiment_sk")
+    return dense_key(stored(stamped(banded), "sentiments"), ["sentiment_category"], "review_sentiment_sk")
 
 
 def payment_type_dimension(sales: DataFrame) -> DataFrame:
+    """Payment types of the sales, whose rows per order and seller have them all."""
     types = sales.select("payment_type", "payment_type_category", "installment_flag").distinct()
-    return dense_key(stamped(types), ["payment_type", "installment_flag", "payment_type_category"], "payment_type_sk")
+    return dense_key(stored(stamped(types), "payment_types"), ["payment_type", "installment_flag", "payment_type_category"], "payment_type_sk")
 
 
 def order_sales_fact(
-    sales: DataFrame, products: DataFrame, sellers: DataFrame, customers: DataFrame, payment_types: DataFrame
+    sales: DataFrame, products: DataFrame, sellers: DataFrame, customers: DataFrame, payment_types: DataFrame,
+    numbered: bool = True,
 ) -> DataFrame:
     """One row per item sold (D10). Orders without payment keep a null payment key."""
     keyed = lookup_key(sales, products, "product_id", "product_sk", "product_sk_fk")
@@ -119,11 +128,11 @@ def order_sales_fact(
         "product_volume_cm3", "seller_item_count_in_order", "total_payment_installments", "installment_flag",
         "high_ticket_order_flag", rule.is_high_freight("freight_ratio").alias("high_freight_item_flag"), *_AUDIT,
     )
-    return dense_key(fact, ["order_id", "order_item_id"], "sales_fact_sk", sales)
+    return _own_key(fact, ["order_id", "order_item_id"], "sales_fact_sk", sales, numbered)
 
 
 def order_delivery_fact(
-    delivery: DataFrame, customers: DataFrame, sellers: DataFrame, statuses: DataFrame
+    delivery: DataFrame, customers: DataFrame, sellers: DataFrame, statuses: DataFrame, numbered: bool = True
 ) -> DataFrame:
     """One row per order with three date roles."""
     keyed = lookup_key(delivery, customers, "customer_id", "customer_sk", "customer_sk_fk")
@@ -146,10 +155,12 @@ def order_delivery_fact(
         (F.col("days_diff_estimated") <= 0).alias("on_time_delivery_flag"),
         (F.col("days_diff_estimated") > 0).alias("late_delivery_flag"), *_AUDIT,
     )
-    return dense_key(fact, ["order_id"], "delivery_fact_sk", delivery)
+    return _own_key(fact, ["order_id"], "delivery_fact_sk", delivery, numbered)
 
 
-def customer_reviews_fact(reviews: DataFrame, sellers: DataFrame, sentiments: DataFrame) -> DataFrame:
+def customer_reviews_fact(
+    reviews: DataFrame, sellers: DataFrame, sentiments: DataFrame, numbered: bool = True
+) -> DataFrame:
     """One row per review."""
     keyed = lookup_key(reviews, sellers, {"primary_seller_id": "seller_id"}, "seller_sk", "seller_sk_fk")
     keyed = lookup_key(keyed, sentiments, "sentiment_category", "review_sentiment_sk", "review_sentiment_sk_fk")
@@ -163,10 +174,12 @@ def customer_reviews_fact(reviews: DataFrame, sellers: DataFrame, sentiments: Da
         (F.col("review_score") == 5).alias("excellent_rating_flag"), "is_multi_seller_order", "sentiment_category",
         "delivery_experience_segment", "delivery_status_category", "distance_bucket", *_AUDIT,
     )
-    return dense_key(fact, ["review_id", "order_id"], "review_fact_sk", reviews)
+    return _own_key(fact, ["review_id", "order_id"], "review_fact_sk", reviews, numbered)
 
 
-def seller_fulfillment_fact(fulfillment: DataFrame, sellers: DataFrame, products: DataFrame) -> DataFrame:
+def seller_fulfillment_fact(
+    fulfillment: DataFrame, sellers: DataFrame, products: DataFrame, numbered: bool = True
+) -> DataFrame:
     """One row per item shipped."""
     keyed = lookup_key(fulfillment, sellers, "seller_id", "seller_sk", "seller_sk_fk")
     keyed = lookup_key(keyed, products, "product_id", "product_sk", "product_sk_fk")
@@ -178,4 +191,4 @@ def seller_fulfillment_fact(fulfillment: DataFrame, sellers: DataFrame, products
         rule.is_high_freight("freight_ratio", inclusive=True).alias("high_freight_item_flag"), "acquisition_source",
         *_AUDIT,
     )
-    return dense_key(fact, ["order_id", "order_item_id"], "fulfillment_fact_sk", fulfillment)
+    return _own_key(fact, ["order_id", "order_item_id"], "fulfillment_fact_sk", fulfillment, numbered)
