@@ -34,8 +34,8 @@ def _flat(r) -> DataFrame:
 
 # The messages arrive in so many parts by order, and an empty one in between.
 _PARTS, _EMPTY_AT = 5, 2
-# Topics keep their messages compressed; these are not kept for long.
-_PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+# Topics keep their messages compressed.
+_PACKED = {"compression": "gzip"}
 
 
 def _topic(r) -> list[list[str]]:
@@ -165,7 +165,7 @@ _LATEST = f"""(SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITIO
     SELECT {_SELECT} FROM {_LATEST} WHERE CAST(event_timestamp AS TIMESTAMP) >
         (SELECT max(CAST(event_timestamp AS TIMESTAMP)) - INTERVAL '24' HOUR FROM flat_events)"""))
 def _(r):
-    return _played(r, "latest").live().drop("event_time")
+    return _played(r, "latest", expire_hours=24).live().drop("event_time")
 
 
 @query("stream_latest_state", "T10 T14", sql(f"""

@@ -16,12 +16,13 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tamarind.functions.temporal import wall_clock
 from tamarind.operators.dedupe import latest_per_key
+from tamarind.sources.tables import empty_like
 from tamarind.sources.versions import Files, Pointer
 from tamarind.streaming.events import flatten, flatten_all, parse
 from tamarind.streaming.measures import (
@@ -106,8 +107,9 @@ class EventStore:
         return {t: f for t, f in folds.items() if self.tables is None or t in self.tables}
 
     def _latest(self, parts: DataFrame) -> DataFrame:
-        newest = latest_per_key(parts, ["order_id"], "event_time")
-        return newest if self.expire_hours is None else unexpired(newest, self.expire_hours)
+        # what has expired goes before the rows meet: an order's newest event goes last
+        alive = parts if self.expire_hours is None else unexpired(parts, self.expire_hours)
+        return latest_per_key(alive, ["order_id"], "event_time")
 
     @property
     def _pointer(self) -> Pointer:
@@ -117,30 +119,49 @@ class EventStore:
         seen, state = self._pointer.current()
         return seen, {"batches": [], "upto": -1, "newest": None, "leaving": [], "left": [], **state}
 
+    @staticmethod
+    def _before(state: dict[str, Any], hours: int) -> Column:
+        """So many hours before the newest event of the batches in the manifest."""
+        return F.lit(state["newest"]).cast("timestamp_ntz") - F.make_dt_interval(hours=F.lit(hours))
+
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """Sink of ``foreachBatch`` over messages from :func:`flatten_all`.
 
-        The parsed messages are written first and read back for each aggregate: they
-        are parsed once, and a lost executor does not send the batch to the source
-        again. Whether an event is late is decided against the manifest before the
-        batch, hence in the same way when the batch is tried again.
+        Several tables: the parsed messages are written first and read back for each
+        aggregate, so that they are parsed once, and a lost executor does not send the
+        batch to the source again. One table: its aggregate is written from the messages
+        themselves, and only invalid ones are stored. Whether an event is late or has
+        expired is decided against the manifest before the batch, hence in the same way
+        when the batch is tried again.
         """
         seen, state = self._manifest()
         if batch_id <= state["upto"] or batch_id in state["batches"] or batch.isEmpty():
             return
-        events = f"{self.root}/events/batch_id={batch_id}"
-        newest = Observation(f"newest_{batch_id}")
+        observed = Observation(f"newest_{batch_id}")
         time = F.when(F.col("is_valid"), wall_clock("event_timestamp"))
         timed = batch.withColumn("event_time", time)
-        limit = F.lit(state["newest"]).cast("timestamp_ntz") - F.make_dt_interval(hours=F.lit(self.late_hours))
-        timed = timed.withColumn("is_late", F.coalesce(F.col("event_time") < limit, F.lit(False)))
-        timed.observe(newest, F.max("event_time").cast("string").alias("t")).write.mode("overwrite").parquet(events)
-        flat = self.spark.read.parquet(events).where("is_valid").drop("is_valid", "value")
+        late = F.coalesce(F.col("event_time") < self._before(state, self.late_hours), F.lit(False))
+        timed = timed.withColumn("is_late", late).observe(
+            observed, F.max("event_time").cast("string").alias("t"), F.count_if(~F.col("is_valid")).alias("invalid")
+        )
+        events = f"{self.root}/events/batch_id={batch_id}"
+        alone = len(self._folds) == 1
+        if not alone:
+            timed.write.mode("overwrite").parquet(events)
+            timed = self.spark.read.parquet(events)
+        flat = timed.where("is_valid").drop("is_valid", "value")
         for table, (fold, _) in self._folds.items():
-            given = flat if table in ("days", "late") else flat.drop("event_time", "is_late")
+            given = flat
+            if table == "latest" and self.expire_hours is not None and state["newest"]:
+                given = given.where(F.col("event_time") > self._before(state, self.expire_hours))
+            given = given if table in ("days", "late") else given.drop("event_time", "is_late")
             fold(given).write.mode("overwrite").parquet(f"{self.root}/{table}/batch_id={batch_id}")
+        if alone:
+            broken = batch.select("is_valid", "value")
+            broken = broken.where("NOT is_valid") if observed.get.get("invalid") else empty_like(broken)
+            broken.write.mode("overwrite").parquet(events)
         state["batches"] = [*state["batches"], batch_id]
-        state["newest"] = max(filter(None, (state["newest"], newest.get.get("t"))), default=None)
+        state["newest"] = max(filter(None, (state["newest"], observed.get.get("t"))), default=None)
         self._pointer.switch(seen, state)
         if self.fold_every and batch_id and batch_id % self.fold_every == 0:
             # the stream has committed all batches before this one
@@ -202,7 +223,7 @@ class EventStore:
 
     def live(self, hours: int = 24) -> DataFrame:
         """Newest event per order that has not expired."""
-        return unexpired(self.read("latest"), hours)
+        return self._latest(unexpired(self._parts("latest", self._manifest()[1]), hours))
 
     def _rejects(self, state: dict[str, Any], upto: int | None = None) -> DataFrame:
         events = [f"{self.root}/events/batch_id={b}" for b in state["batches"] if upto is None or b <= upto]
@@ -242,8 +263,7 @@ def running_latest(parsed: DataFrame, hours: int = 24) -> DataFrame:
 def live_orders(updates: DataFrame, hours: int = 24) -> DataFrame:
     """The newest event per order within ``hours`` of the newest of all, from the updates
     of :func:`running_latest`."""
-    newest = latest_per_key(updates.drop("window_start"), ["order_id"], "event_time")
-    return unexpired(newest, hours)
+    return latest_per_key(unexpired(updates.drop("window_start"), hours), ["order_id"], "event_time")
 
 
 def running_counts(parsed: DataFrame) -> DataFrame:

@@ -279,3 +279,39 @@ def test_topic_takes_less_room_than_its_messages_and_gives_the_same_days(spark,
     assert sum(p.read_bytes()[:2] == b"\x1f\x8b" for p in topic.rglob("part-*")) > 5, "several files a part"
     days = flat.groupBy(F.substring("event_timestamp", 1, 10).alias("d")).count().collect()
     assert sum(n + late for n, late in got.values()) == flat.count() and {d: sum(n) for d, n in got.items()} == {d.d: d["count"] for d in days}
+
+
+def test_a_store_of_one_table_keeps_no_valid_messages(spark, tmp_path):
+    lone = {t: EventStore(spark, f"{tmp_path}/{t}", fold_every=0, tables=(t,)) for t in ("counters", "metrics", "days")}
+    full = EventStore(spark, f"{tmp_path}/full", fold_every=0, late_hours=24)
+    for n, lines in enumerate((FIRST, SECOND, [message("o4", 2)])):
+        batch = flatten_all(parse(spark.createDataFrame([(m,) for m in lines], "value string")))
+        for store in (full, *lone.values()):
+            store.apply(batch, n)
+    for table, store in lone.items():
+        assert sorted(map(str, store.read(table).collect())) == sorted(map(str, full.read(table).collect()))
+        assert spark.read.parquet(f"{store.root}/events").count() == 2 == store.rejects().count()
+        store.fold(1)
+        assert sorted(map(str, store.read(table).collect())) == sorted(map(str, full.read(table).collect()))
+        assert sorted(r.value for r in store.rejects().collect()) == sorted(r.value for r in full.rejects().collect())
+
+
+def test_expired_events_are_dropped_before_their_orders_meet(spark, tmp_path):
+    batches = [
+        [message("o1", 0), message("o2", 50), message("o3", 60)],
+        [message("o1", 1), message("o3", 60, order_status="canceled"), message("o2", 20), message("o4", 37)],
+        [message("o2", 61), message("o4", 30), message("o5", 85)],
+    ]
+    short = EventStore(spark, f"{tmp_path}/short", fold_every=0, tables=("latest",), expire_hours=24)
+    full = EventStore(spark, f"{tmp_path}/full", fold_every=0)
+    for n, lines in enumerate(batches):
+        for store in (short, full):
+            store.apply(flatten_all(parse(spark.createDataFrame([(m,) for m in lines], "value string"))), n)
+    assert spark.read.parquet(f"{short.root}/latest/batch_id=1").count() == 2
+    wanted = {"o5": "delivered"}
+    for store in (short, full):
+        assert {r.order_id: r.order_status for r in store.live().collect()} == wanted
+    assert {r.order_id: r.order_status for r in full.live(26).collect()} == {**wanted, "o2": "delivered", "o3": "canceled"}
+    for live in (full.live(), live_orders(full.read("latest").withColumn("window_start", F.lit(0)))):
+        plan = live._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("row_number()") < plan.index("scalar-subquery")
