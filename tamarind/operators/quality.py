@@ -97,50 +97,45 @@ def issue_table(rule: Rule, tables: Tables, at: Column | None = None) -> DataFra
 
 
 # What a row tells the count of a rule: that it violates it; a key that must occur once;
-# such a key that has a null; a key that must have a parent; a parent's key.
-_VIOLATES, _KEY, _NULL_KEY, _CHILD, _PARENT = "violates", "key", "null key", "child", "parent"
+# a key that must have a parent; a parent's key.
+_VIOLATES, _KEY, _CHILD, _PARENT = "violates", "key", "child", "parent"
 
 
 def _key(*cols: str) -> Column:
-    """A key as text, so that keys of all tables go through one aggregate."""
+    """A key as text, so that keys of all tables go through one aggregate. Each part of
+    several is led by its length, so that different keys stay different."""
     parts = [F.col(c).cast("string") for c in cols]
-    return parts[0] if len(parts) == 1 else F.to_json(F.array(*parts))
+    if len(parts) == 1:
+        return parts[0]
+    return F.concat_ws(",", *[F.coalesce(F.concat(F.length(p), F.lit(":"), p), F.lit("null")) for p in parts])
 
 
-def _tells(what: str, subject: str, key: Column | None, when: Column | None = None) -> Column:
-    """One statement of a row; none where ``when`` does not hold."""
+def _tells(key: Column | None, flag: Column, n: int, when: Column | None = None) -> Column:
+    """One statement of a row about a key: a fact that holds for the key, and whether the row
+    is counted; none where ``when`` does not hold."""
     told = F.struct(
-        F.lit(what).alias("what"),
-        F.lit(subject).alias("subject"),
-        (F.lit(None) if key is None else key).cast("string").alias("key"),
+        (F.lit(None) if key is None else key).cast("string").alias("key"), flag.alias("flag"), F.lit(n).alias("n")
     )
     return told if when is None else F.when(is_true(when), told)
 
 
-def _domain(rule: ForeignKey) -> str:
-    return f"{rule.parent}.{rule.parent_col}"
-
-
 def _statements(rule: Rule) -> list[tuple[str, str, Column]]:
-    """What the rows of each table tell about a rule, as (table, subject, statement)."""
+    """What the rows of each table tell about a rule, as (table, kind, statement)."""
+    no = F.lit(False)
     if isinstance(rule, NotNull):
-        return [(rule.table, rule.name, _tells(_VIOLATES, rule.name, None, any_null(*rule.cols)))]
+        return [(rule.table, _VIOLATES, _tells(None, no, 1, any_null(*rule.cols)))]
     if isinstance(rule, Holds):
-        return [(rule.table, rule.name, _tells(_VIOLATES, rule.name, None, ~is_true(F.expr(rule.condition))))]
+        return [(rule.table, _VIOLATES, _tells(None, no, 1, ~is_true(F.expr(rule.condition))))]
     if isinstance(rule, Unique):
-        nulls = any_null(*rule.cols)
-        key = F.to_json(F.array(*[F.col(c).cast("string") for c in rule.cols]))
-        told = F.coalesce(_tells(_NULL_KEY, rule.name, key, nulls), _tells(_KEY, rule.name, key))
-        return [(rule.table, rule.name, told)]
+        return [(rule.table, _KEY, _tells(_key(*rule.cols), any_null(*rule.cols), 1))]
     child, parent = F.col(rule.col).isNotNull(), F.col(rule.parent_col).isNotNull()
     asked = is_true(F.expr(rule.where)) if rule.where else F.lit(True)
-    subject = f"{_domain(rule)}<{rule.name}"
     told = [
-        (rule.table, subject, _tells(_CHILD, subject, _key(rule.col), asked & child)),
-        (rule.parent, _domain(rule), _tells(_PARENT, _domain(rule), _key(rule.parent_col), parent)),
+        (rule.table, _CHILD, _tells(_key(rule.col), no, 1, asked & child)),
+        (rule.parent, _PARENT, _tells(_key(rule.parent_col), F.lit(True), 0, parent)),
     ]
     if not rule.ignore_null:
-        told.append((rule.table, rule.name, _tells(_VIOLATES, rule.name, None, asked & ~child)))
+        told.append((rule.table, _VIOLATES, _tells(None, no, 1, asked & ~child)))
     return told
 
 
@@ -149,34 +144,32 @@ def summarise(rules: Sequence[Rule], tables: Tables) -> DataFrame:
 
     Every row tells what it knows: rules that it violates, keys that must be unique, keys
     that need a parent, keys that are one. Statements of all tables meet in one aggregate
-    by key, which takes the place of a grouping per constraint and a join per foreign key.
-    They are combined before the shuffle, so a hot key sends one row per task.
+    by rule and key, which takes the place of a grouping per constraint and a join per
+    foreign key. They are combined before the shuffle, so a hot key sends one row per task;
+    the rule is a number and the aggregate holds a flag and a count only, so that a row of
+    it is little more than its key.
     """
-    told: dict[str, dict[str, Column]] = {}
+    numbers = {name: i for i, name in enumerate(dict.fromkeys(rule.name for rule in rules))}
+    told: dict[str, dict[tuple[str, str], Column]] = {}
     for rule in rules:
-        for table, subject, statement in _statements(rule):
-            # several rules may need the same parent key, which is told once
-            told.setdefault(table, {})[subject] = statement
+        for table, kind, statement in _statements(rule):
+            told.setdefault(table, {})[rule.name, kind] = statement.withField("rule", F.lit(_number(numbers, rule.name, kind)))
     parts = [
-        tables[table].select(F.explode(F.array_compact(F.array(*said.values()))).alias("s")).select("s.*")
+        tables[table].select(F.explode(F.array(*said.values())).alias("s")).where("s IS NOT NULL").select("s.*")
         for table, said in told.items()
     ]
-    single = reduce(DataFrame.unionAll, parts).groupBy("what", "subject", "key").agg(F.count("*").alias("n"))
-    # a parent's statement and those of its children come together under the parent's column
-    about = F.when(F.col("what") == _CHILD, F.substring_index("subject", "<", 1)).otherwise(F.col("subject"))
-    asks = F.struct(F.substring_index("subject", "<", -1).alias("dq_rule"), "what", "n")
-    by_key = single.groupBy(about.alias("about"), "key").agg(
-        F.max(F.col("what") == _PARENT).alias("known"), F.collect_list(F.when(F.col("what") != _PARENT, asks)).alias("asked")
-    )
-    issues = (
-        F.when(F.col("a.what") == _VIOLATES, F.col("a.n"))
-        .when(F.col("a.what") == _CHILD, F.when(F.col("known"), 0).otherwise(F.col("a.n")))
-        .otherwise(((F.col("a.n") > 1) | (F.col("a.what") == _NULL_KEY)).cast("long"))
-    )
-    counts = by_key.select("known", F.explode("asked").alias("a")).groupBy("a.dq_rule").agg(F.sum(issues).alias("n"))
-    spark = single.sparkSession
-    names = spark.createDataFrame([(r.name,) for r in rules], "dq_rule string")
-    return names.join(counts, "dq_rule", "left").select("dq_rule", F.coalesce("n", F.lit(0)).alias("issue_count"))
+    by_key = reduce(DataFrame.unionAll, parts).groupBy("rule", "key").agg(F.max("flag").alias("flag"), F.sum("n").alias("n"))
+    repeated = (F.col("flag") | (F.col("n") > 1)).cast("long")
+    issues = F.when(F.col("rule") % 2 == 1, repeated).when(~F.col("flag"), F.col("n")).otherwise(0)
+    counts = by_key.groupBy(F.floor(F.col("rule") / 2).alias("number")).agg(F.sum(issues).alias("issues"))
+    spark = by_key.sparkSession
+    names = spark.createDataFrame([(r.name, numbers[r.name]) for r in rules], "dq_rule string, number long")
+    return names.join(counts, "number", "left").select("dq_rule", F.coalesce("issues", F.lit(0)).alias("issue_count"))
+
+
+def _number(numbers: Mapping[str, int], name: str, kind: str) -> int:
+    """A rule's number, odd where its keys must occur once."""
+    return 2 * numbers[name] + (kind == _KEY)
 
 
 _OUTCOME = "dq_rule string, issue_count bigint, validation_error string"
@@ -186,9 +179,10 @@ def check_rules(spark: SparkSession, rules: Sequence[Rule], tables: Tables) -> l
     """(rule, issues, error) of every rule, a row of each reaching the driver.
 
     All rules that can be planned run as one job. A rule that cannot (its table or column is
-    absent) is one issue with the reason. If the job fails, it is repeated with the halves of
-    the rules, so that a rule that fails on some row is one issue too and the others still
-    count (Q15).
+    absent) is one issue with the reason. If the job fails, it is repeated apart for the rules
+    with conditions of their own, which a row can make fail, and for the others, then with
+    halves of those that still fail; so a rule that fails on some row is one issue too and the
+    others still count (Q15), mostly by one more job.
     """
     failed: dict[str, str] = {}
     sound: list[Rule] = []
@@ -207,6 +201,9 @@ def check_rules(spark: SparkSession, rules: Sequence[Rule], tables: Tables) -> l
             if len(some) == 1:
                 failed[some[0].name] = _reason(error)
                 return {}
+            frail = [r for r in some if isinstance(r, Holds) or getattr(r, "where", None)]
+            if 0 < len(frail) < len(some):
+                return counted([r for r in some if r not in frail]) | counted(frail)
             half = len(some) // 2
             return counted(some[:half]) | counted(some[half:])
 

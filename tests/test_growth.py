@@ -5,6 +5,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from tamarind.catalog import load
+from tamarind.operators import quality
 from tamarind.plans import gold, silver, staging
 
 
@@ -82,3 +83,40 @@ def test_facts_are_numbered_for_those_who_read_the_number(spark):
     before = folders(spark)
     assert gold._own_key(fact, ["order_id"], "sk", fact, False).columns == ["order_id"] and not new_names(spark, before)
     assert sorted(map(tuple, gold._own_key(fact, ["order_id"], "sk", fact, True).collect())) == [(1, "a"), (2, "b")]
+
+
+def test_rules_are_counted_by_one_shuffle_of_narrow_keys(spark, rows):
+    child = spark.createDataFrame(
+        [(1, "a,1:b", None), (1, "a", "1:b"), (2, None, "x"), (2, None, "x"), (3, "k", "v"), (3, "k", "v"), (None, "k", "w")],
+        "fk long, a string, b string",
+    )
+    parent = spark.createDataFrame([("1",), ("1",), (None,)], "pk string")
+    rules = [
+        quality.Unique("pair", "c", ("a", "b")),
+        quality.Unique("single", "c", ("fk",)),
+        quality.ForeignKey("known", "c", "fk", "p", "pk"),
+        quality.ForeignKey("known_or_null", "c", "fk", "p", "pk", ignore_null=True),
+        quality.ForeignKey("itself", "p", "pk", "p", "pk", where="pk <> 'z'"),
+        quality.NotNull("present", "c", ("a", "b")),
+        quality.Holds("small", "c", "fk < 3"),
+        quality.Holds("none", "c", "true"),
+    ]
+    counts = quality.summarise(rules, {"c": child, "p": parent})
+    expected = {r.name: r.issues({"c": child, "p": parent}).count() for r in rules}
+    assert {r.dq_rule: r.issue_count for r in counts.collect()} == expected
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "to_json" not in plan and "filter(array" not in plan
+    by_key = [line for line in plan.splitlines() if "Aggregate" in line and "key" in line.split("]")[0]]
+    assert len(by_key) == 1, "the parents' keys meet those of the children in the only aggregate by key"
+
+
+def test_a_rule_that_fails_costs_the_others_one_more_job(spark, monkeypatch):
+    t = spark.createDataFrame([(i, "x") for i in range(5)], "id long, s string")
+    sound = [quality.NotNull(f"n{i}", "t", ("id",)) for i in range(3)] + [quality.Unique(f"u{i}", "t", ("s",)) for i in range(4)]
+    rules = [*sound[:2], quality.Holds("number", "t", "CAST(s AS INT) > 0"), quality.Holds("low", "t", "id < 4"), *sound[2:]]
+    jobs, plain = [], quality.summarise
+    monkeypatch.setattr(quality, "summarise", lambda some, tables: jobs.append([r.name for r in some]) or plain(some, tables))
+    found = {name: (n, error is not None) for name, n, error in quality.check_rules(spark, rules, {"t": t})}
+    assert found == {**{f"n{i}": (0, False) for i in range(3)}, **{f"u{i}": (1, False) for i in range(4)},
+                     "number": (1, True), "low": (1, False)}
+    assert sum("u0" in names for names in jobs) == 2
