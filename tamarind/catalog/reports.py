@@ -8,6 +8,7 @@ from tamarind.catalog.base import query
 from tamarind.catalog.oracle import days, pct, rnd, sql
 from tamarind.catalog.roles import role_sql
 from tamarind.plans import reports
+from tamarind.session import stored
 
 
 @query("late_magnitude", "X01", sql(f"""
@@ -286,9 +287,9 @@ _PCT = f"""(SELECT order_id, variance, {rnd('abs(CAST(variance AS DOUBLE)) * 100
                AS mode_percentage
     FROM {_PCT} WHERE variance > 0"""))
 def _(r):
-    r.keep("orders", "payments", "costed")
+    r.keep("orders", "recon")
     # the sketch's rank error allows for the next value
-    stats = reports.variance_stats(r.recon)
+    stats = reports.variance_stats(r.use("recon"))
     return stats.withColumn("median_percentage", F.round("median_percentage", 1))
 
 
@@ -318,9 +319,9 @@ _WANTED = f"order_id IN (SELECT order_id FROM {_PCT} WHERE variance > 0 AND p >=
     UNION ALL SELECT order_id, 'order', 0, order_status, CAST(total_order_cost AS DOUBLE) FROM costed
     WHERE {_WANTED}"""))
 def _(r):
-    r.keep("orders", "items", "payments", "costed")
+    r.keep("orders", "item_values", "payments", "costed")
     wanted = reports.with_variance_pct(reports.overpaid(r.recon)).where("variance_percentage >= 20").select("order_id")
-    return reports.drill_down(wanted, r.use("payments"), r.use("items"), r.use("costed"))
+    return reports.drill_down(stored(wanted, "wanted"), r.use("payments"), r.use("item_values"), r.use("costed"))
 
 
 @query("unpaid_order_status", "X34", sql("""

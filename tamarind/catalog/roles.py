@@ -257,6 +257,15 @@ class Roles:
     def items(self) -> silver.Entity:
         return silver.order_items(self.role("raw_items"), self.use("orders"))
 
+    @cached_property
+    def item_values(self) -> DataFrame:
+        """Items with their keys and values only. These need no learned limit date, so that
+        nothing has to be stored for them."""
+        built = self._kept.get("items")
+        if built is None:
+            built = silver.order_items(self.role("raw_items"), self.use("orders"), silver.lazily).rows
+        return built.select("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value")
+
     @cached_property
     def payments(self) -> silver.Entity:
         return silver.payments(self.role("raw_payments"), self.use("orders"))
@@ -289,7 +298,7 @@ class Roles:
 
     @cached_property
     def pairs(self) -> DataFrame:
-        return staging.order_sellers(self.use("items"))
+        return staging.order_sellers(self.use("item_values"))
 
     @cached_property
     def totals(self) -> DataFrame:
@@ -350,7 +359,7 @@ class Roles:
 
     @cached_property
     def costed(self) -> DataFrame:
-        return staging.orders_with_costs(self.use("orders"), self.use("items"), self.use("pairs"))
+        return staging.orders_with_costs(self.use("orders"), self.use("item_values"), self.use("pairs"))
 
     @cached_property
     def recon(self) -> DataFrame:

@@ -5,6 +5,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from tamarind.catalog import load
+from tamarind.functions import fixed
 from tamarind.operators import quality
 from tamarind.plans import gold, silver, staging
 
@@ -120,3 +121,37 @@ def test_a_rule_that_fails_costs_the_others_one_more_job(spark, monkeypatch):
     assert found == {**{f"n{i}": (0, False) for i in range(3)}, **{f"u{i}": (1, False) for i in range(4)},
                      "number": (1, True), "low": (1, False)}
     assert sum("u0" in names for names in jobs) == 2
+
+
+def shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_items_and_payments_are_dealt_by_order_once(spark, rows):
+    orders = spark.createDataFrame([("o1", "shipped"), ("o2", "shipped")], "order_id string, order_status string").withColumns(
+        {c: F.lit("2024-01-01").cast("timestamp_ntz") for c in fixed.MILESTONES}
+    )
+    items = spark.createDataFrame(
+        [("o1", "1", "p", "s", None, "9", "1"), ("o1", "1", "p", "s", None, "9", "1"), ("o1", "1", "p", "r", None, "9", "1"),
+         ("o1", "2", "p", None, None, "8", "1"), ("lost", "1", "p", "s", None, "9", "1"), (None, "1", "p", "s", None, "9", "1")],
+        "order_id string, order_item_id string, product_id string, seller_id string, shipping_limit_date string, price string, "
+        "freight_value string",
+    )
+    payments = spark.createDataFrame(
+        [("o1", "1", "boleto", "1", "5"), ("o1", "1", "boleto", "1", "5"), ("o1", "1", "boleto", "1", "6"), ("lost", "1", "x", "1", "5"),
+         (None, "1", "x", "1", "5"), (None, "1", "x", "1", "5")],
+        "order_id string, payment_sequential string, payment_type string, payment_installments string, payment_value string",
+    )
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sold, paid = silver.order_items(items, orders, silver.lazily), silver.payments(payments, orders)
+        values = sold.rows.select("order_id", "order_item_id", "seller_id", "price", "freight_value")
+        assert shuffles(values) == 2 == shuffles(paid.rows), "the orders and their rows, each once"
+        assert shuffles(staging.orders_with_costs(orders, values)) == 3
+        assert [r[:3] for r in rows(values)] == [("o1", 1, "r"), ("o1", 2, None)]
+        assert [int(r.payment_value) for r in paid.rows.orderBy("payment_value").collect()] == [5, 6]
+        assert rows(paid.rejects, "order_id") == [(None,), ("lost",)] == rows(sold.rejects.where("error_reason <> ''").where(
+            "order_id IS NULL OR order_id = 'lost'"), "order_id")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
