@@ -97,7 +97,7 @@ def _starts(totals: DataFrame, parts: int) -> DataFrame:
 
 
 def _placed(keys: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Distinct keys in global order, stored with their partition and place in it."""
+    """Distinct keys, and what is beside them, in global order, stored with their partition and place in it."""
     laid = keys.repartitionByRange(*order).sortWithinPartitions(*order)
     laid = laid.withColumn(_AT, F.monotonically_increasing_id())
     return stored(laid, "keys").withColumn(_PART, F.shiftright(F.col(_AT), _POSITION_BITS))
@@ -108,22 +108,25 @@ def _parts(placed: DataFrame) -> int:
     return len(placed.inputFiles())
 
 
-def number_keys(keys: DataFrame, order: Sequence[str], name: str) -> DataFrame:
-    """The distinct keys with ``name``: 1..n without gaps, in their order."""
-    placed = _placed(keys.select(*order), order)
+def number_keys(keys: DataFrame, order: Sequence[str], name: str, carried: Sequence[str] = ()) -> DataFrame:
+    """The distinct keys with ``name``: 1..n without gaps, in their order, and with the
+    ``carried`` columns."""
+    placed = _placed(keys.select(*order, *carried), order)
     starts = _starts(placed.groupBy(_PART).agg(F.count("*").alias(_N)), _parts(placed))
     number = F.col("__offset") + _position() + 1
-    return placed.join(starts, _PART).select(*order, number.cast("long").alias(name))
+    return placed.join(starts, _PART).select(*order, number.cast("long").alias(name), *carried)
 
 
-def dense_key_of(df: DataFrame, order: Sequence[str], name: str, source: DataFrame | None = None) -> DataFrame:
+def dense_key_of(
+    df: DataFrame, order: Sequence[str], name: str, source: DataFrame | None = None, carried: Sequence[str] = ()
+) -> DataFrame:
     """Add ``name``: 1..n in the order of a natural key that is unique in ``df``.
 
     ``source`` may name a stored frame with the same keys, one row each; then what ``df``
-    is made of is not computed for the numbering.
+    is made of is not computed for the numbering. Its ``carried`` columns come along.
     """
-    numbers = number_keys(source if source is not None else df, order, name)
-    return attach(df, numbers, order, null_safe=True).select(name, *df.columns)
+    numbers = number_keys(source if source is not None else df, order, name, carried)
+    return attach(df, numbers, order, null_safe=True).select(name, *df.columns, *carried)
 
 
 def dense_key(

@@ -5,6 +5,7 @@ Fixed values: the column lists of the dimensions and facts, in their published o
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 from functools import reduce
 
@@ -15,7 +16,7 @@ from tamarind.functions import classify as rule
 from tamarind.functions.predicates import is_true
 from tamarind.functions.temporal import calendar_attributes, date_key
 from tamarind.operators import ranged
-from tamarind.operators.joins import lookup_key
+from tamarind.operators.joins import Keys, key_map, lookup_key
 from tamarind.plans.silver import stamped
 from tamarind.session import stored
 
@@ -28,10 +29,29 @@ def dense_key(df: DataFrame, order: list[str], name: str, source: DataFrame | No
     return ranged.dense_key_of(df, order, name, source)
 
 
-def _own_key(df: DataFrame, order: list[str], name: str, source: DataFrame, numbered: bool) -> DataFrame:
-    """A fact with its surrogate key, unless the caller has no use for that key: what only
-    adds up a fact's rows spares their numbering."""
-    return dense_key(df, order, name, source) if numbered else df
+# A key to look up: (dimension, natural key, surrogate key, name in the fact).
+Lookup = tuple[DataFrame, Keys, str, str]
+
+
+def _looked_up(df: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
+    for dim, on, key, as_ in lookups:
+        df = lookup_key(df, dim, on, key, as_)
+    return df
+
+
+def _own_key(
+    df: DataFrame, order: list[str], name: str, source: DataFrame, numbered: bool, lookups: Sequence[Lookup] = ()
+) -> DataFrame:
+    """A fact with its surrogate key and those of large dimensions. These are looked up on
+    the natural keys alone and come with the number, so the wide rows are moved once,
+    whatever the number of dimensions. A caller that has no use for the fact's own key
+    spares the numbering: what only adds up a fact's rows reads few columns of them.
+    """
+    if not numbered:
+        return _looked_up(df, lookups)
+    ids = [c for _, on, _, _ in lookups for c in key_map(on)]
+    narrow = _looked_up(source.select(*dict.fromkeys([*order, *ids])), lookups)
+    return ranged.dense_key_of(df, order, name, narrow, [as_ for *_, as_ in lookups])
 
 
 def calendar_bounds(*dates: tuple[DataFrame, str]) -> DataFrame:
@@ -115,33 +135,37 @@ def order_sales_fact(
     numbered: bool = True,
 ) -> DataFrame:
     """One row per item sold (D10). Orders without payment keep a null payment key."""
-    keyed = lookup_key(sales, products, "product_id", "product_sk", "product_sk_fk")
-    keyed = lookup_key(keyed, sellers, "seller_id", "seller_sk", "seller_sk_fk")
-    keyed = lookup_key(keyed, customers, "customer_id", "customer_sk", "customer_sk_fk")
+    lookups = [
+        (products, "product_id", "product_sk", "product_sk_fk"), (sellers, "seller_id", "seller_sk", "seller_sk_fk"),
+        (customers, "customer_id", "customer_sk", "customer_sk_fk"),
+    ]
+    keyed = _own_key(sales, ["order_id", "order_item_id"], "sales_fact_sk", sales, numbered, lookups)
     keyed = lookup_key(
         keyed, payment_types, ["payment_type", "installment_flag"], "payment_type_sk", "payment_type_sk_fk"
     )
-    fact = keyed.select(
-        "order_id", "order_item_id", "product_sk_fk", "seller_sk_fk", "customer_sk_fk", "payment_type_sk_fk",
+    return keyed.select(
+        *["sales_fact_sk"][:numbered], "order_id", "order_item_id", "product_sk_fk", "seller_sk_fk", "customer_sk_fk", "payment_type_sk_fk",
         date_key("order_purchase_timestamp").alias("sales_date_sk"), "price", "freight_value", "gross_item_value",
         "total_order_item_value", "allocated_payment_value", "item_sales_ratio", "freight_ratio",
         "product_volume_cm3", "seller_item_count_in_order", "total_payment_installments", "installment_flag",
         "high_ticket_order_flag", rule.is_high_freight("freight_ratio").alias("high_freight_item_flag"), *_AUDIT,
     )
-    return _own_key(fact, ["order_id", "order_item_id"], "sales_fact_sk", sales, numbered)
 
 
 def order_delivery_fact(
     delivery: DataFrame, customers: DataFrame, sellers: DataFrame, statuses: DataFrame, numbered: bool = True
 ) -> DataFrame:
     """One row per order with three date roles."""
-    keyed = lookup_key(delivery, customers, "customer_id", "customer_sk", "customer_sk_fk")
-    keyed = lookup_key(keyed, sellers, {"primary_seller_id": "seller_id"}, "seller_sk", "seller_sk_fk")
+    lookups = [
+        (customers, "customer_id", "customer_sk", "customer_sk_fk"),
+        (sellers, {"primary_seller_id": "seller_id"}, "seller_sk", "seller_sk_fk"),
+    ]
+    keyed = _own_key(delivery, ["order_id"], "delivery_fact_sk", delivery, numbered, lookups)
     keyed = lookup_key(
         keyed, statuses, ["order_status", "delivery_status_category"], "delivery_status_sk", "delivery_status_sk_fk"
     )
-    fact = keyed.select(
-        "order_id", "customer_sk_fk", "seller_sk_fk", "delivery_status_sk_fk",
+    return keyed.select(
+        *["delivery_fact_sk"][:numbered], "order_id", "customer_sk_fk", "seller_sk_fk", "delivery_status_sk_fk",
         date_key("order_purchase_timestamp").alias("purchase_date_sk"),
         date_key("order_estimated_delivery_date").alias("estimated_delivery_date_sk"),
         date_key("order_delivered_customer_date").alias("actual_delivery_date_sk"),
@@ -155,17 +179,17 @@ def order_delivery_fact(
         (F.col("days_diff_estimated") <= 0).alias("on_time_delivery_flag"),
         (F.col("days_diff_estimated") > 0).alias("late_delivery_flag"), *_AUDIT,
     )
-    return _own_key(fact, ["order_id"], "delivery_fact_sk", delivery, numbered)
 
 
 def customer_reviews_fact(
     reviews: DataFrame, sellers: DataFrame, sentiments: DataFrame, numbered: bool = True
 ) -> DataFrame:
     """One row per review."""
-    keyed = lookup_key(reviews, sellers, {"primary_seller_id": "seller_id"}, "seller_sk", "seller_sk_fk")
+    lookups = [(sellers, {"primary_seller_id": "seller_id"}, "seller_sk", "seller_sk_fk")]
+    keyed = _own_key(reviews, ["review_id", "order_id"], "review_fact_sk", reviews, numbered, lookups)
     keyed = lookup_key(keyed, sentiments, "sentiment_category", "review_sentiment_sk", "review_sentiment_sk_fk")
-    fact = keyed.select(
-        "review_id", "order_id", "seller_sk_fk", "review_sentiment_sk_fk",
+    return keyed.select(
+        *["review_fact_sk"][:numbered], "review_id", "order_id", "seller_sk_fk", "review_sentiment_sk_fk",
         date_key("review_creation_date").alias("review_date_sk"),
         date_key("review_answer_timestamp").alias("response_date_sk"),
         "review_score", F.col("review_response_delay_days").alias("review_response_days"), "delivery_duration_days",
@@ -174,21 +198,21 @@ def customer_reviews_fact(
         (F.col("review_score") == 5).alias("excellent_rating_flag"), "is_multi_seller_order", "sentiment_category",
         "delivery_experience_segment", "delivery_status_category", "distance_bucket", *_AUDIT,
     )
-    return _own_key(fact, ["review_id", "order_id"], "review_fact_sk", reviews, numbered)
 
 
 def seller_fulfillment_fact(
     fulfillment: DataFrame, sellers: DataFrame, products: DataFrame, numbered: bool = True
 ) -> DataFrame:
     """One row per item shipped."""
-    keyed = lookup_key(fulfillment, sellers, "seller_id", "seller_sk", "seller_sk_fk")
-    keyed = lookup_key(keyed, products, "product_id", "product_sk", "product_sk_fk")
-    fact = keyed.select(
-        "order_id", "order_item_id", "seller_sk_fk", "product_sk_fk",
+    lookups = [
+        (sellers, "seller_id", "seller_sk", "seller_sk_fk"), (products, "product_id", "product_sk", "product_sk_fk"),
+    ]
+    keyed = _own_key(fulfillment, ["order_id", "order_item_id"], "fulfillment_fact_sk", fulfillment, numbered, lookups)
+    return keyed.select(
+        *["fulfillment_fact_sk"][:numbered], "order_id", "order_item_id", "seller_sk_fk", "product_sk_fk",
         date_key("order_purchase_timestamp").alias("purchase_date_sk"), "price", "freight_value", "freight_ratio",
         "product_volume_cm3", "seller_item_count_in_order", "seller_monthly_orders", "workload_bucket",
         "is_overloaded_seller", is_true(rule.is_high_workload("workload_bucket")).alias("high_workload_flag"),
         rule.is_high_freight("freight_ratio", inclusive=True).alias("high_freight_item_flag"), "acquisition_source",
         *_AUDIT,
     )
-    return _own_key(fact, ["order_id", "order_item_id"], "fulfillment_fact_sk", fulfillment, numbered)

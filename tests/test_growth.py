@@ -155,3 +155,23 @@ def test_items_and_payments_are_dealt_by_order_once(spark, rows):
             "order_id IS NULL OR order_id = 'lost'"), "order_id")
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_large_dimensions_are_looked_up_on_narrow_rows(spark, rows):
+    fact = spark.range(200).selectExpr(
+        "CAST(199 - id AS STRING) AS order_id", "id % 7 AS a", "IF(id % 5 = 0, NULL, id % 11) AS b", "repeat('x', 50) AS wide"
+    )
+    dims = [spark.range(6).selectExpr("id AS a", "id + 100 AS a_sk"), spark.range(11).selectExpr("id AS k", "id + 200 AS b_sk")]
+    lookups = [(dims[0], "a", "a_sk", "a_fk"), (dims[1], {"b": "k"}, "b_sk", "b_fk")]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        keyed = gold._own_key(fact, ["order_id"], "sk", fact, True, lookups)
+        plan = keyed._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") <= 5, "the rows, their keys, the starts of the ranges; none for a dimension"
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    columns = ["order_id", "a_fk", "b_fk", "wide"]
+    plain = gold._own_key(fact, ["order_id"], "sk", fact, False, lookups)
+    assert rows(keyed.select(*columns)) == rows(plain.select(*columns)) and plain.count() == 200
+    assert [r.order_id for r in keyed.orderBy("sk").collect()] == sorted(str(i) for i in range(200))
