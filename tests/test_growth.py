@@ -175,3 +175,12 @@ def test_large_dimensions_are_looked_up_on_narrow_rows(spark, rows):
     plain = gold._own_key(fact, ["order_id"], "sk", fact, False, lookups)
     assert rows(keyed.select(*columns)) == rows(plain.select(*columns)) and plain.count() == 200
     assert [r.order_id for r in keyed.orderBy("sk").collect()] == sorted(str(i) for i in range(200))
+
+
+def test_damaged_tables_are_read_once(spark, rows):
+    from tamarind.catalog.model import _damaged
+
+    table = spark.range(25).selectExpr("nullif(id, 7) AS sk", "id AS x")
+    damaged = _damaged(table, "sk")
+    assert rows(damaged) == rows(table.where("sk % 10 <> 3").unionAll(table.where("sk % 10 = 4")))
+    assert damaged._jdf.queryExecution().optimizedPlan().toString().count("Range") == 1
