@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tamarind.catalog.roles import Roles
-from tamarind.session import adaptive
+from tamarind.session import ADAPTIVE, STORING, adaptive
 
 DIGITS = 6
 
@@ -23,7 +23,7 @@ class Query:
     sql: str | None
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        return present(self.build(Roles(adaptive(spark), sf_dir)))
+        return present(self.build(Roles(adaptive(spark, ADAPTIVE | STORING), sf_dir)))
 
 
 REGISTRY: dict[str, Query] = {}

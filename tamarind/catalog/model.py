@@ -8,9 +8,17 @@ from pyspark.sql import functions as F
 
 from tamarind.catalog.base import cols, query
 from tamarind.catalog.oracle import CTES, pct, rnd, sql
+from tamarind.operators.joins import attach
 from tamarind.operators.quality import count_sheet, missing_counts, null_key_counts, summarise
 from tamarind.operators.ranged import dense_key
-from tamarind.plans import gold, marts
+from tamarind.plans import gold, marts, staging
+from tamarind.session import by_buckets
+
+
+# Dimensions that facts look up by a natural key: stored, so that Spark knows their size.
+_LOOKED_UP = (
+    "dim_customer", "dim_seller", "dim_product", "dim_delivery_status", "dim_review_sentiment", "dim_payment_type",
+)
 
 
 class Star:
@@ -22,13 +30,31 @@ class Star:
 
     def __getitem__(self, name: str):
         if name not in self._built:
-            self._built[name] = getattr(self, "_" + name)()
+            built = getattr(self, "_" + name)()
+            self._built[name] = self.r.scratch.write(built, name) if name in _LOOKED_UP else built
         return self._built[name]
 
+    def keep_by_order(self, *names: str) -> None:
+        """Store members of a few rows per order that several facts use."""
+        for name in names:
+            self._built[name] = self.r.scratch.write_bucketed(self[name], name, ["order_id"])
+
     def rows(self, fact: str):
         """A fact without its own surrogate key, for what only adds up its rows."""
         return getattr(self, "_" + fact)(numbered=False)
 
+    def _item_keys(self):
+        """What facts of items want of products and sellers, per item."""
+        products = self["dim_product"].select("product_id", "product_volume_cm3", F.col("product_sk").alias("product_sk_fk"))
+        sellers = self["dim_seller"].select("seller_id", "acquisition_source", F.col("seller_sk").alias("seller_sk_fk"))
+        return staging.item_lookups(self.r.use("items"), ("product_id", products), ("seller_id", sellers))
+
+    def _order_keys(self):
+        """The customer key per order: there are fewer orders than items."""
+        customers = self["dim_customer"].select("customer_id", F.col("customer_sk").alias("customer_sk_fk"))
+        placed = self.r.use("orders").select("order_id", "customer_id").where("order_id IS NOT NULL")
+        return by_buckets(attach(placed, customers, "customer_id").drop("customer_id"), ["order_id"])
+
     def _dim_customer(self):
         self.r.keep("customers")
         return gold.customer_dimension(self.r.use("customers"))
@@ -67,10 +93,12 @@ class Star:
         return gold.payment_type_dimension(self.r.use("paid_pairs"))
 
     def _fct_order_sales(self, numbered=True):
-        self.r.keep("sales")
+        self.r.keep_by_order("orders")
+        self.r.keep("items")
+        sales = attach(self.r.sales_with(self["item_keys"].drop("acquisition_source")), self["order_keys"], "order_id")
         return gold.order_sales_fact(
-            self.r.use("sales"), self["dim_product"], self["dim_seller"], self["dim_customer"], self["dim_payment_type"],
-            numbered,
+            sales, self["dim_product"], self["dim_seller"], self["dim_customer"], self["dim_payment_type"], numbered,
+            self.r.use("items"),
         )
 
     def _fct_order_delivery(self, numbered=True):

@@ -9,7 +9,7 @@ times, points outside the country, unknown keys, repeated keys.
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +18,9 @@ from tamarind.plans import reports, silver, staging
 from tamarind.session import scratch_path
 from tamarind.sources.tables import Lake
 
+# Entities that lie in a stored pass already: their rows only filter it.
+STORED = ("items",)
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
 
 _STATES = "SP,RJ,MG,ES,PR,SC,RS,GO,MT,MS,DF,BA,PE,CE,PB,RN,AL,SE,PI,MA,AM,PA,AC,RO,RR,AP,TO"
@@ -226,14 +229,17 @@ class Roles:
     def keep(self, *names: str) -> None:
         for name in names:
             if name not in self._kept:
-                self._kept[name] = self.scratch.write(self.use(name), name)
+                self._kept[name] = self.use(name) if name in STORED else self.scratch.write(self.use(name), name)
+
+    def _by_order(self, name: str, df: DataFrame) -> DataFrame:
+        return self.scratch.write_bucketed(df, name, ["order_id"])
 
     def keep_by_order(self, *names: str) -> None:
         """Keep entities of at most a few rows per order in buckets of the order, so that
         they join and aggregate on it without a shuffle."""
         for name in names:
             if name not in self._kept:
-                self._kept[name] = self.scratch.write_bucketed(self.use(name), name, ["order_id"])
+                self._kept[name] = self._by_order(name, self.use(name))
 
     @cached_property
     def geolocation(self) -> silver.Entity:
@@ -255,14 +261,16 @@ class Roles:
 
     @cached_property
     def items(self) -> silver.Entity:
-        return silver.order_items(self.role("raw_items"), self.use("orders"))
+        # judged in buckets of the order, which is where they have met it
+        return silver.order_items(self.role("raw_items"), self.use("orders"), partial(self._by_order, "judged_items"))
 
     @cached_property
     def item_values(self) -> DataFrame:
         """Items with their keys and values only. These need no learned limit date, so that
         nothing has to be stored for them."""
-        built = self._kept.get("items")
-        if built is None:
+        if "items" in vars(self):
+            built = self.use("items")
+        else:
             built = silver.order_items(self.role("raw_items"), self.use("orders"), silver.lazily).rows
         return built.select("order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value")
 
@@ -312,14 +320,19 @@ class Roles:
     def paid_pairs(self) -> DataFrame:
         self.keep_by_order("orders")
         self.keep("items")
-        self.keep_by_order("pairs", "order_payments")
+        self.keep_by_order("order_payments")
         return staging.paid_pairs(self.use("orders"), self.use("order_payments"), self.use("totals"), self.use("pairs"))
 
     @cached_property
     def sales(self) -> DataFrame:
+        self.keep("products")
+        return self.sales_with(None)
+
+    def sales_with(self, found: DataFrame | None) -> DataFrame:
+        """Sales with what has been looked up for the items, if anything has."""
         self.keep_by_order("orders")
-        self.keep("items", "products")
-        self.keep_by_order("pairs", "order_payments")
+        self.keep("items")
+        self.keep_by_order("order_payments")
         return staging.sales(
             self.use("items"),
             self.use("orders"),
@@ -327,13 +340,13 @@ class Roles:
             self.use("totals"),
             self.use("products"),
             self.use("pairs"),
+            found,
         )
 
     @cached_property
     def delivery(self) -> DataFrame:
         self.keep_by_order("orders")
         self.keep("items")
-        self.keep_by_order("pairs")
         return staging.delivery(self.use("orders"), self.use("totals"), self.use("customers"), self.use("sellers"))
 
     @cached_property

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from functools import reduce
 from operator import and_
 
@@ -22,17 +22,21 @@ def key_map(on: Keys) -> dict[str, str]:
     return dict(on) if isinstance(on, Mapping) else {k: k for k in on}
 
 
-def attach(left: DataFrame, right: DataFrame, on: Keys, how: str = "left", *, null_safe: bool = False) -> DataFrame:
+def attach(
+    left: DataFrame, right: DataFrame, on: Keys, how: str = "left", *, null_safe: bool | Collection[str] = False
+) -> DataFrame:
     """Join keeping the left key columns only.
 
-    A null key matches nothing, unless ``null_safe`` (J13). No broadcast hint is
+    A null key matches nothing, unless ``null_safe`` (J13), which may name some of the left
+    keys: sides dealt by one of the others meet without a shuffle. No broadcast hint is
     given: Spark broadcasts a side when its measured size allows, and splits hot
     partitions of the larger side otherwise.
     """
     keys = key_map(on)
     right = right.withColumnsRenamed({r: _RIGHT + r for r in keys.values()})
     pairs = [(F.col(a), F.col(_RIGHT + b)) for a, b in keys.items()]
-    condition = reduce(and_, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
+    safe = set(null_safe if not isinstance(null_safe, bool) else keys if null_safe else ())
+    condition = reduce(and_, [a.eqNullSafe(b) if k in safe else a == b for k, (a, b) in zip(keys, pairs)])
     joined = left.join(right, condition, how)
     return joined.drop(*[_RIGHT + r for r in keys.values()])
 

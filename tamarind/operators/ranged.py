@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamarind.operators.joins import attach
-from tamarind.session import ready_for_checkpoints, scratch_path, stored
+from tamarind.session import by_buckets, ready_for_checkpoints, scratch_path, stored
 from tamarind.sources.tables import bucketed_table
 
 # monotonically_increasing_id() puts the partition number above this bit and the
@@ -129,6 +129,33 @@ def dense_key_of(
     return attach(df, numbers, order, null_safe=True).select(name, *df.columns, *carried)
 
 
+def dense_key_within(
+    df: DataFrame, order: Sequence[str], name: str, source: DataFrame | None = None, rows_per_key: int = ROWS_PER_KEY
+) -> DataFrame:
+    """As :func:`dense_key_of`, for rows that lie in buckets of the first column of their key:
+    only the values of that column are numbered and moved, each with its number of rows, and
+    its rows are counted where they lie. If one has more than ``rows_per_key`` rows, whole keys
+    are numbered by ranges.
+    """
+    first, *rest = order
+    rows = source if source is not None else df
+    placed = _placed(rows.groupBy(first).agg(F.count("*").alias(_N)), [first])
+    if not placed.where(F.col(_N) > rows_per_key).isEmpty():
+        return dense_key_of(df, order, name, source)
+    joined = attach(df, by_buckets(_firsts(placed).select(first, _FIRST), [first]), first)
+    # a missing value comes before all others, so no rows come before its own
+    among = F.row_number().over(Window.partitionBy(first).orderBy(*(rest or [first])))
+    return joined.select((F.coalesce(_FIRST, F.lit(0)) + among).cast("long").alias(name), *df.columns)
+
+
+def _firsts(placed: DataFrame) -> DataFrame:
+    """Keys that were placed with their number of rows, with the rows before each of them."""
+    before = Window.partitionBy(_PART).orderBy(_AT).rowsBetween(Window.unboundedPreceding, -1)
+    starts = _starts(placed.groupBy(_PART).agg(F.sum(_N).alias(_N)), _parts(placed))
+    counted = placed.withColumn(_FIRST, F.coalesce(F.sum(_N).over(before), F.lit(0))).join(starts, _PART)
+    return counted.withColumn(_FIRST, F.col("__offset") + F.col(_FIRST))
+
+
 def dense_key(
     df: DataFrame, order: Sequence[str], name: str, *, distinct: bool = False, rows_per_key: int = ROWS_PER_KEY
 ) -> DataFrame:
@@ -141,10 +168,7 @@ def dense_key(
     order = list(order)
     rest = [c for c in df.columns if c not in order]
     placed = _placed(df.groupBy(*order).agg(F.count("*").alias(_N)), order)
-    before = Window.partitionBy(_PART).orderBy(_AT).rowsBetween(Window.unboundedPreceding, -1)
-    starts = _starts(placed.groupBy(_PART).agg(F.sum(_N).alias(_N)), _parts(placed))
-    keys = placed.withColumn(_FIRST, F.coalesce(F.sum(_N).over(before), F.lit(0))).join(starts, _PART)
-    keys = keys.select(*order, _N, (F.col("__offset") + F.col(_FIRST)).alias(_FIRST))
+    keys = _firsts(placed).select(*order, _N, _FIRST)
     among = Window.partitionBy(*order).orderBy(*(rest or order))
     upto = among.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     found = (F.col(_FIRST) + F.count(F.lit(1)).over(upto)).cast("long").alias(name)

@@ -29,6 +29,8 @@ def dense_key(df: DataFrame, order: list[str], name: str, source: DataFrame | No
     return ranged.dense_key_of(df, order, name, source)
 
 
+_ITEM = ["order_id", "order_item_id"]
+
 # A key to look up: (dimension, natural key, surrogate key, name in the fact).
 Lookup = tuple[DataFrame, Keys, str, str]
 
@@ -54,6 +56,15 @@ def _own_key(
     return ranged.dense_key_of(df, order, name, narrow, [as_ for *_, as_ in lookups])
 
 
+def _item_key(sales: DataFrame, name: str, source: DataFrame | None, numbered: bool, lookups: Sequence[Lookup]) -> DataFrame:
+    """As :func:`_own_key`, for facts of items; keys that the rows have brought along are not
+    looked up again. ``source`` names items in buckets of their order, which stay there."""
+    lookups = [one for one in lookups if one[3] not in sales.columns]
+    if source is None or not numbered:
+        return _own_key(sales, _ITEM, name, sales, numbered, lookups)
+    return ranged.dense_key_within(_looked_up(sales, lookups), _ITEM, name, source)
+
+
 def calendar_bounds(*dates: tuple[DataFrame, str]) -> DataFrame:
     """One row: the first and the last day of the years that the date columns touch."""
     spans = [df.agg(F.min(F.to_date(c)).alias("first"), F.max(F.to_date(c)).alias("last")) for df, c in dates]
@@ -132,14 +143,15 @@ def payment_type_dimension(sales: DataFrame) -> DataFrame:
 
 def order_sales_fact(
     sales: DataFrame, products: DataFrame, sellers: DataFrame, customers: DataFrame, payment_types: DataFrame,
-    numbered: bool = True,
+    numbered: bool = True, items: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per item sold (D10). Orders without payment keep a null payment key."""
+    """One row per item sold (D10). Orders without payment keep a null payment key. ``items``
+    are the rows of the sales in buckets of their order, where they lie so."""
     lookups = [
         (products, "product_id", "product_sk", "product_sk_fk"), (sellers, "seller_id", "seller_sk", "seller_sk_fk"),
         (customers, "customer_id", "customer_sk", "customer_sk_fk"),
     ]
-    keyed = _own_key(sales, ["order_id", "order_item_id"], "sales_fact_sk", sales, numbered, lookups)
+    keyed = _item_key(sales, "sales_fact_sk", items, numbered, lookups)
     keyed = lookup_key(
         keyed, payment_types, ["payment_type", "installment_flag"], "payment_type_sk", "payment_type_sk_fk"
     )

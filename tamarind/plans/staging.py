@@ -13,6 +13,7 @@ from tamarind.operators.aggregates import rate
 from tamarind.operators.joins import attach
 from tamarind.operators.windows import previous_active
 from tamarind.plans.silver import stamped
+from tamarind.session import by_buckets
 
 _FUNNEL = "MARKETPLACE_MARKETING_FUNNEL"
 
@@ -94,6 +95,21 @@ def order_totals(pairs: DataFrame) -> DataFrame:
 
 
 _PAIR = ["order_id", "seller_id"]
+_ITEM = ["order_id", "order_item_id"]
+
+
+def item_lookups(items: DataFrame, *tables: tuple[str, DataFrame]) -> DataFrame:
+    """What is known of each item in tables of other keys, as (key, table): one row per item
+    with its order and number, dealt by order. Only the keys travel to those tables, and what
+    is found there travels back."""
+    found = items.select(*_ITEM, *[key for key, _ in tables])
+    for key, table in tables:
+        found = attach(found, table, key)
+    return by_buckets(found.drop(*[key for key, _ in tables]), ["order_id"])
+
+
+def _with_found(items: DataFrame, found: DataFrame) -> DataFrame:
+    return attach(items, found, _ITEM, null_safe=["order_item_id"])
 
 
 def paid_pairs(orders: DataFrame, payments_per_order: DataFrame, totals: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -113,17 +129,18 @@ def sales(
     totals: DataFrame,
     products: DataFrame,
     pairs: DataFrame,
+    found: DataFrame | None = None,
 ) -> DataFrame:
     """Items with the order's payment allocated by their share of its value.
 
     Everything known per order is joined to one row per order and seller; stored in
-    buckets of the order, none of these tables is shuffled for it. The items themselves
-    then cross the network twice only: once for their pair and once for their product.
+    buckets of the order, none of these tables is shuffled for it, nor are the items, whose
+    order is known. A caller that looks up more than the volume gives what it ``found``.
     """
     shared = paid_pairs(orders, payments_per_order, totals, pairs)
-    enriched = attach(
-        attach(items, shared, _PAIR, null_safe=True), products.select("product_id", "product_volume_cm3"), "product_id"
-    )
+    if found is None:
+        found = item_lookups(items, ("product_id", products.select("product_id", "product_volume_cm3")))
+    enriched = _with_found(attach(items, shared, _PAIR, null_safe=["seller_id"]), found)
     measured = (
         enriched.withColumn("gross_item_value", F.col("price") + F.col("freight_value"))
         .withColumns(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,10 +17,18 @@ ADAPTIVE = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# For plans over stored tables. Rows that lie by some of a join's keys stay where they lie;
+# shuffle files go when the statement that wrote them ends, as what it was for is stored by
+# then (a frame that is run again writes them again).
+STORING = {
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+}
+
 
-def adaptive(spark: SparkSession) -> SparkSession:
+def adaptive(spark: SparkSession, settings: Mapping[str, str] = ADAPTIVE) -> SparkSession:
     """Apply the adaptive settings to a session that somebody else created."""
-    for key, value in ADAPTIVE.items():
+    for key, value in settings.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
@@ -46,7 +54,7 @@ def build_session(
     if data_bytes is not None:
         partitions = str(initial_partitions(data_bytes))
         builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", partitions)
-    for key, value in {**ADAPTIVE, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
+    for key, value in {**ADAPTIVE, **STORING, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -83,10 +91,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+# Stored tables are read a few times at most, so they are compressed well.
+CODEC = "zstd"
+
+
+def by_buckets(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows dealt as tables in buckets of the keys are, so that they meet such tables where
+    these lie: only these rows are moved."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def stored(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """The frame as a table in the shared scratch folder: computed once, lineage cut.
     What a table remembers of its rows' places (a running number, a task's number) stays
     as it was written, also when executors are lost."""
     path = scratch_path(df.sparkSession, name)
-    (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path)
+    (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path, compression=CODEC)
     return df.sparkSession.read.schema(df.schema).parquet(path)

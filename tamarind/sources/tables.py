@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tamarind.session import stored
+from tamarind.session import CODEC, stored
 from tamarind.sources.versions import Files, Pointer
 
 LINEAGE = ("_ingested_at", "_source_file")
@@ -55,7 +55,7 @@ def bucketed_table(df: DataFrame, path: str, keys: Sequence[str], buckets: int,
     name = f"{BUCKETED}.t_{uuid.uuid5(uuid.NAMESPACE_URL, path).hex}"
     create_namespaces(spark, BUCKETED)
     drop_tables(spark, name)
-    writer = df.write.format("parquet").mode("overwrite").option("path", path)
+    writer = df.write.format("parquet").mode("overwrite").option("path", path).option("compression", CODEC)
     writer.bucketBy(buckets, *keys).sortBy(*order).saveAsTable(name)
     return spark.table(name)
 
