@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tamarind.functions.numbers import MONEY, share
 from tamarind.operators.joins import attach, lookup_key
 from tamarind.operators.quality import ForeignKey, Rule, Unique, count_sheet
+from tamarind.session import CODEC
 from tamarind.sources.jdbc import Warehouse
 from tamarind.sources.tables import reset_namespace
 
@@ -90,7 +91,7 @@ def load_mart(mart: Mart, gold: Mapping[str, DataFrame]) -> dict[str, DataFrame]
     spark = gold[mart.fact].sparkSession
     reset_namespace(spark, mart.name)
     for table in mart.tables:
-        gold[table].write.mode("overwrite").saveAsTable(f"{mart.name}.{table}")
+        gold[table].write.mode("overwrite").option("compression", CODEC).saveAsTable(f"{mart.name}.{table}")
     return {t: spark.table(f"{mart.name}.{t}") for t in mart.tables}
 
 

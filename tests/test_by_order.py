@@ -48,7 +48,7 @@ def folder(spark, tmp_path_factory):
     return str(root)
 
 
-FACTS = ("fact_sales",)
+FACTS = ("fact_sales", "mart_load",)
 
 
 @pytest.mark.parametrize("name", FACTS)
@@ -92,6 +92,12 @@ def test_facts_of_items_move_keys_only(spark, folder, unlike_small, name):
     assert moved and len(wide) == (name == "fact_sales"), "only for the few payment types, which are broadcast elsewhere"
 
 
+def test_marts_are_compressed_well(spark, folder):
+    built(spark, folder, "mart_load")
+    files = spark.table("sales_mart.fct_order_sales").inputFiles()
+    assert files and all(".zstd." in f for f in files)
+
+
 def test_null_safe_may_name_some_keys(spark, rows):
     left = spark.createDataFrame([("a", None, 1), ("a", "x", 2), (None, "x", 3)], "k string, s string, v int")
     right = spark.createDataFrame([("a", None, 10), ("a", "x", 20), (None, "x", 30)], "k string, s string, w int")
