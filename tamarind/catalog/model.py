@@ -115,8 +115,10 @@ class Star:
 
     def _fct_seller_fulfillment(self, numbered=True):
         self.r.keep_by_order("orders")
-        self.r.keep("items", "sellers", "fulfilled")
-        return gold.seller_fulfillment_fact(self.r.use("fulfilled"), self["dim_seller"], self["dim_product"], numbered)
+        self.r.keep("items", "sellers")
+        return gold.seller_fulfillment_fact(
+            self.r.fulfilled_with(self["item_keys"]), self["dim_seller"], self["dim_product"], numbered, self.r.use("items")
+        )
 
 
 @query("dense_surrogate_key", "D01 W10", sql("""

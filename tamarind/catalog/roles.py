@@ -357,11 +357,15 @@ class Roles:
 
     @cached_property
     def fulfilled(self) -> DataFrame:
+        self.keep("products")
+        return self.fulfilled_with(None)
+
+    def fulfilled_with(self, found: DataFrame | None) -> DataFrame:
+        """Fulfillment with what has been looked up for the items, if anything has."""
         self.keep_by_order("orders")
-        self.keep("items", "products")
-        self.keep_by_order("pairs")
+        self.keep("items")
         return staging.fulfillment(
-            self.use("items"), self.use("orders"), self.use("products"), self.use("sellers"), self.use("pairs")
+            self.use("items"), self.use("orders"), self.use("products"), self.use("sellers"), self.use("pairs"), found
         )
 
     @cached_property

@@ -213,13 +213,14 @@ def customer_reviews_fact(
 
 
 def seller_fulfillment_fact(
-    fulfillment: DataFrame, sellers: DataFrame, products: DataFrame, numbered: bool = True
+    fulfillment: DataFrame, sellers: DataFrame, products: DataFrame, numbered: bool = True,
+    items: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per item shipped."""
+    """One row per item shipped (D13); ``items`` as in the fact of the sales."""
     lookups = [
         (sellers, "seller_id", "seller_sk", "seller_sk_fk"), (products, "product_id", "product_sk", "product_sk_fk"),
     ]
-    keyed = _own_key(fulfillment, ["order_id", "order_item_id"], "fulfillment_fact_sk", fulfillment, numbered, lookups)
+    keyed = _item_key(fulfillment, "fulfillment_fact_sk", items, numbered, lookups)
     return keyed.select(
         *["fulfillment_fact_sk"][:numbered], "order_id", "order_item_id", "seller_sk_fk", "product_sk_fk",
         date_key("order_purchase_timestamp").alias("purchase_date_sk"), "price", "freight_value", "freight_ratio",

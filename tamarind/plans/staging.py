@@ -194,13 +194,20 @@ def _by_month(df: DataFrame, ts: str) -> DataFrame:
 
 
 def fulfillment(
-    items: DataFrame, orders: DataFrame, products: DataFrame, sellers: DataFrame, pairs: DataFrame
+    items: DataFrame, orders: DataFrame, products: DataFrame, sellers: DataFrame, pairs: DataFrame,
+    found: DataFrame | None = None,
 ) -> DataFrame:
     """Items with the seller's monthly workload.
 
     The distinct orders of a seller and month are counted on one row per order and
-    seller, not on the items; the items join that row once.
+    seller, not on the items; that row travels back to the items, which stay by their order.
+    A caller that looks up more of product and seller gives what it ``found``.
     """
+    if found is None:
+        found = item_lookups(
+            items, ("product_id", products.select("product_id", "product_volume_cm3")),
+            ("seller_id", sellers.select("seller_id", "acquisition_source")),
+        )
     dated = attach(
         pairs.select(*_PAIR, "seller_item_count_in_order"),
         orders.select("order_id", "order_purchase_timestamp"),
@@ -208,14 +215,8 @@ def fulfillment(
     )
     active = _by_month(dated, "order_purchase_timestamp")
     monthly = active.groupBy("seller_id", *_MONTH).agg(F.count("order_id").alias("seller_monthly_orders"))
-    loaded = attach(
-        attach(active, monthly, ["seller_id", *_MONTH]).drop(*_MONTH),
-        sellers.select("seller_id", "acquisition_source"),
-        "seller_id",
-    )
-    enriched = attach(
-        attach(items, loaded, _PAIR, null_safe=True), products.select("product_id", "product_volume_cm3"), "product_id"
-    )
+    loaded = by_buckets(attach(active, monthly, ["seller_id", *_MONTH]).drop(*_MONTH), ["order_id"])
+    enriched = _with_found(attach(items, loaded, _PAIR, null_safe=["seller_id"]), found)
     measured = enriched.withColumns(
         {
             "freight_ratio": ratio("freight_value", F.col("price") + F.col("freight_value")),

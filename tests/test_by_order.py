@@ -48,7 +48,7 @@ def folder(spark, tmp_path_factory):
     return str(root)
 
 
-FACTS = ("fact_sales", "mart_load",)
+FACTS = ("fact_sales", "mart_load", "fact_fulfillment", "fk_missing_counts",)
 
 
 @pytest.mark.parametrize("name", FACTS)
@@ -83,7 +83,7 @@ def moves(df):
     return list(below(df._jdf.queryExecution().executedPlan().initialPlan()))
 
 
-@pytest.mark.parametrize("name", ["fact_sales"])
+@pytest.mark.parametrize("name", ["fact_sales", "fact_fulfillment"])
 def test_facts_of_items_move_keys_only(spark, folder, unlike_small, name):
     df, kept = built(spark, folder, name)
     assert not kept & {"items", "pairs", "sales", "fulfilled"} and "judged_items" in kept
@@ -92,6 +92,12 @@ def test_facts_of_items_move_keys_only(spark, folder, unlike_small, name):
     assert moved and len(wide) == (name == "fact_sales"), "only for the few payment types, which are broadcast elsewhere"
 
 
+@pytest.mark.parametrize("name", ["fk_missing_counts"])
+def test_counts_store_items_once(spark, folder, name):
+    _, kept = built(spark, folder, name)
+    assert "judged_items" in kept and not kept & {"items", "pairs", "sales", "fulfilled", "judged", "delivery"}
+
+
 def test_marts_are_compressed_well(spark, folder):
     built(spark, folder, "mart_load")
     files = spark.table("sales_mart.fct_order_sales").inputFiles()
