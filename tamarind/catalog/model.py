@@ -103,14 +103,14 @@ class Star:
 
     def _fct_order_delivery(self, numbered=True):
         self.r.keep_by_order("orders")
-        self.r.keep("items", "sellers", "delivery")
+        self.r.keep("items", "sellers", *["delivery"][:numbered])
         return gold.order_delivery_fact(
             self.r.use("delivery"), self["dim_customer"], self["dim_seller"], self["dim_delivery_status"], numbered
         )
 
     def _fct_customer_reviews(self, numbered=True):
         self.r.keep_by_order("orders")
-        self.r.keep("items", "sellers", "judged")
+        self.r.keep("items", "sellers", *["judged"][:numbered])
         return gold.customer_reviews_fact(self.r.use("judged"), self["dim_seller"], self["dim_review_sentiment"], numbered)
 
     def _fct_seller_fulfillment(self, numbered=True):
@@ -381,4 +381,6 @@ def _(r):
     for t in CTES if t.startswith("fct_"))))
 def _(r):
     s = Star(r)
+    r.keep_by_order("orders")
+    s.keep_by_order("item_keys")
     return count_sheet({fact: s.rows(fact) for fact in dict.fromkeys(m.fact for m in marts.MARTS)})
