@@ -280,7 +280,8 @@ class Roles:
 
     @cached_property
     def reviews(self) -> silver.Entity:
-        return silver.reviews(self.role("raw_reviews"), self.use("orders"), silver.lazily, silver.kept_newest)
+        kept_newest = partial(self._by_order, "newest_reviews")
+        return silver.reviews(self.role("raw_reviews"), self.use("orders"), silver.lazily, kept_newest)
 
     @property
     def review_rejects(self) -> DataFrame:

@@ -48,7 +48,7 @@ def folder(spark, tmp_path_factory):
     return str(root)
 
 
-FACTS = ("fact_sales", "mart_load", "fact_fulfillment", "fk_missing_counts", "mart_counts",)
+FACTS = ("fact_sales", "fact_fulfillment", "fk_missing_counts", "pk_fk_check", "mart_counts", "mart_load")
 
 
 @pytest.mark.parametrize("name", FACTS)
@@ -92,7 +92,7 @@ def test_facts_of_items_move_keys_only(spark, folder, unlike_small, name):
     assert moved and len(wide) == (name == "fact_sales"), "only for the few payment types, which are broadcast elsewhere"
 
 
-@pytest.mark.parametrize("name", ["mart_counts", "fk_missing_counts"])
+@pytest.mark.parametrize("name", ["mart_counts", "fk_missing_counts", "pk_fk_check"])
 def test_counts_store_items_once(spark, folder, name):
     _, kept = built(spark, folder, name)
     assert "judged_items" in kept and not kept & {"items", "pairs", "sales", "fulfilled", "judged", "delivery"}
